@@ -1,0 +1,2 @@
+"""Reserved. Every job of this library is a batch job over dated partitions;
+there are no watermarks, windows or stateful stream operators to offer."""
