@@ -126,24 +126,28 @@ def _blocked(
         return spark.createDataFrame([], "id string, partner string, sim double")
     plan = spark.createDataFrame([(c, b, right_blocks[c]) for c, b in left_blocks.items()], "cell int, lbs int, rbs int")
 
-    def blocks(rows: DataFrame, own: str, other: str, own_name: str, other_name: str) -> DataFrame:
-        mine = F.pmod(F.xxhash64("id"), F.col(own)).cast("int")
-        theirs = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
-        return rows.join(F.broadcast(plan), "cell").select(
-            "cell", mine.alias(own_name), theirs.alias(other_name), "id", "u"
-        )
-
-    lefts = blocks(routes, "lbs", "rbs", "lb", "rb")
-    rights = blocks(homes, "rbs", "lbs", "rb", "lb")
+    block = F.pmod(F.xxhash64("id"), F.col("own")).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.col("other") - 1))
+
+    def blocks(rows: DataFrame, own: str, other: str) -> DataFrame:
+        """Each row in its block, once for every block of the other side."""
+        counts = plan.select("cell", F.col(own).alias("own"), F.col(other).alias("other"))
+        return rows.join(F.broadcast(counts), "cell")
+
+    lefts = blocks(routes, "lbs", "rbs").select("cell", block.alias("lb"), copies.alias("rb"), "id", "u")
+    # Fresh names: both sides may come from one table.
+    rights = blocks(homes, "rbs", "lbs").select(
+        F.col("cell").alias("rcell"), copies.alias("rlb"), block.alias("rrb"), F.col("id").alias("partner"), F.col("u").alias("v")
+    )
 
     def multiply(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
             return pd.DataFrame({"id": [], "partner": [], "sim": []})
-        b = b.sort_values("id", ignore_index=True)
-        names = b["id"].to_numpy(dtype=object)
+        b = b.sort_values("partner", ignore_index=True)
+        names = b["partner"].to_numpy(dtype=object)
         # Place of each left id among the right ids: partners start there.
         start = np.searchsorted(names, a["id"].to_numpy(dtype=object), side="right")
-        ua, ub = np.stack(a["u"].to_numpy()), np.stack(b["u"].to_numpy())
+        ua, ub = np.stack(a["u"].to_numpy()), np.stack(b["v"].to_numpy())
         out = []
         for lo in range(0, len(a), 512):
             sims = np.round(ua[lo : lo + 512] @ ub.T, DECIMALS)
@@ -157,10 +161,8 @@ def _blocked(
             out.append(pd.DataFrame({"id": a["id"].to_numpy()[lo + i], "partner": names[j], "sim": sims[i, j]}))
         return pd.concat(out, ignore_index=True)
 
-    unit = ["cell", "lb", "rb"]
-    return lefts.groupBy(*unit).cogroup(rights.groupBy(*unit)).applyInPandas(
-        multiply, "id string, partner string, sim double"
-    )
+    units = rights.groupBy("rcell", "rlb", "rrb")
+    return lefts.groupBy("cell", "lb", "rb").cogroup(units).applyInPandas(multiply, "id string, partner string, sim double")
 
 
 def _size(units: DataFrame) -> tuple[int, float]:
