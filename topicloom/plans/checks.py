@@ -454,7 +454,7 @@ _check("g4_best_partner_max", "SELECT id, partner, round(sim, 6) AS sim FROM m0_
 _check("g5_best_partner_first", "SELECT id, partner, round(sim, 5) AS sim FROM u0_best", "u0_best")
 _check("g6_greedy_matching", "SELECT id, partner FROM m0_kept", "m0_kept")
 _check("g7_merge_pairs", "SELECT id, size, round(norm, 5) AS norm, round(vec[1], 5) AS x0 FROM m1", "m1")
-_check("g7_merge_pairs_unit", "SELECT id, size, round(round(norm, 5), 4) AS norm, round(round(vec[1], 5), 4) AS x0 FROM u1", "u1")
+_check("g7_merge_pairs_unit", "SELECT id, size, round(norm, 5) AS norm, round(vec[1], 6) AS x0 FROM u1", "u1")
 _check("g8_subject_clusters", "SELECT id, size, round(norm, 5) AS norm, round(vec[1], 5) AS x0 FROM m2", "m2")
 _check("g8_cluster_members", "SELECT id AS cid, ids FROM m2", "m2")
 _check("g9_assign_class_id", "SELECT id, class_id, size FROM m1_class", "m1_class")

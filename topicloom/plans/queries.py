@@ -618,7 +618,8 @@ def g7_merge_pairs(spark, sf):
 def g7_merge_pairs_unit(spark, sf):
     points = src.doc_points(spark, sf).select("id", fn.truncate6("vec").alias("vec"), fn.vec_norm("vec").alias("norm"), F.lit(1).cast("bigint").alias("size"))
     found = similarity.best_partner(points, THRES, "first", "dot")
-    return _merged(cluster.merge_pairs(points, cluster.greedy_matching(found), "unit")).withColumns({"norm": F.round("norm", 4), "x0": F.round("x0", 4)})
+    merged = cluster.merge_pairs(points, cluster.greedy_matching(found), "unit")
+    return merged.select("id", "size", F.round("norm", 5).alias("norm"), F.round(F.col("vec")[0], 6).alias("x0"))
 
 
 @query
