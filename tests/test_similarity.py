@@ -40,7 +40,7 @@ def brute(rows, thres, pick=None, dot=False):
 @pytest.mark.parametrize("thres", [0.5, 0.95])
 def test_self_join(spark, thres):
     rows = cloud(1)
-    got = cosine_self_join(spark.createDataFrame(rows, "id string, vec array<double>"), thres, block_rows=9).collect()
+    got = cosine_self_join(spark.createDataFrame(rows, "id string, vec array<double>"), thres, block_rows=20).collect()
     assert {(r.id, r.partner) for r in got} == set(brute(rows, thres))
     assert len(got) == len({(r.id, r.partner) for r in got})
 
@@ -50,14 +50,14 @@ def test_self_join(spark, thres):
 def test_best_partner(spark, thres, pick):
     rows = cloud(2)
     docs = spark.createDataFrame(rows, "id string, vec array<double>")
-    got = best_partner(docs, thres, pick, block_rows=9).collect()
+    got = best_partner(docs, thres, pick, block_rows=20).collect()
     assert {r.id: r.partner for r in got} == brute(rows, thres, pick)
 
 
 def test_best_partner_dot(spark):
     rows = cloud(3)
     docs = spark.createDataFrame(rows, "id string, vec array<double>")
-    got = best_partner(docs, 0.8, "first", "dot", block_rows=9).collect()
+    got = best_partner(docs, 0.8, "first", "dot", block_rows=20).collect()
     assert {r.id: r.partner for r in got} == brute(rows, 0.8, "first", dot=True)
 
 
@@ -112,7 +112,7 @@ def simulate(rows, thres, rounds):
 @pytest.mark.parametrize("rounds", [1, 3])
 def test_clusters(spark, rounds):
     rows = cloud(4, n=90)
-    found = cluster.subject_clusters(spark.createDataFrame(rows, "id string, vec array<double>"), 0.9, rounds, block_rows=9)
+    found = cluster.subject_clusters(spark.createDataFrame(rows, "id string, vec array<double>"), 0.9, rounds, block_rows=20)
     want = simulate(rows, 0.9, rounds)
     text = cluster.cluster_ids_text(found.members(), "cid").collect()
     assert sorted(r.ids for r in text) == sorted(want)

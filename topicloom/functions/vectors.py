@@ -76,7 +76,8 @@ def truncate6(a: Column | str) -> Column:
 
 
 def vec_sum(vec: Column | str, weight: Column | str | None = None) -> Column:
-    """Aggregate: element-wise sum, or the sum of ``weight * vec`` for weights >= 0."""
-    packed = array_to_vector(_col(vec).cast("array<double>"))
-    total = Summarizer.sum(packed) if weight is None else Summarizer.sum(packed, _col(weight))
-    return vector_to_array(total)
+    """Aggregate: element-wise sum, or the sum of ``weight * vec``.
+
+    Rows are scaled before they are summed, so weights may be zero or negative."""
+    scaled = _col(vec).cast("array<double>") if weight is None else vec_scale(vec, _col(weight).cast("double"))
+    return vector_to_array(Summarizer.sum(array_to_vector(scaled)))

@@ -41,17 +41,13 @@ def greedy_matching(pairs: DataFrame) -> DataFrame:
             F.lit(None).cast("boolean").alias("taken"),
         )
     )
-    decided: list[DataFrame] = []
-    while not state.isEmpty():
+    settled = None
+    waiting = True
+    while waiting:
         state = cut_lineage(_decide(state))
-        decided.append(state.where("taken is not null"))
-        if state.where("taken is null").isEmpty():
-            break
-    if not decided:
-        return pairs.select("id", "partner")
-    settled = decided[0]
-    for more in decided[1:]:
-        settled = settled.unionByName(more)
+        now = state.where("taken is not null")
+        settled = now if settled is None else settled.unionByName(now)
+        waiting = not state.where("taken is null").isEmpty()
     free = settled.where(~F.col("taken") & F.col("parent").isNotNull())
     return free.groupBy("parent").agg(F.min("id").alias("id")).select("id", F.col("parent").alias("partner"))
 

@@ -429,15 +429,15 @@ _check(
 )
 _check(
     "v8_doc_vectors_tfidf",
-    "SELECT id, words, round(round(coalesce(x0, 0.0::DOUBLE), 4), 2) AS x0, round(round(coalesce(x_last, 0.0::DOUBLE), 4), 2) AS x_last, "
-    "round(round(coalesce(norm, 0.0::DOUBLE), 4), 2) AS norm FROM (SELECT id, string_agg(word, ',' ORDER BY rank) AS words FROM tfidf GROUP BY id HAVING count(*) > 3) "
-    f"LEFT JOIN {_vectors('w_dim', 'x * weight')} USING (id)",
+    "SELECT id, words, round(x0 / norm, 5) AS x0, round(x_last / norm, 5) AS x_last, round(ln(norm), 6) AS norm "
+    "FROM (SELECT id, string_agg(word, ',' ORDER BY rank) AS words FROM tfidf GROUP BY id HAVING count(*) > 3) "
+    f"JOIN {_vectors('w_dim', 'x * weight')} USING (id) WHERE norm > 0",
     "w_dim",
     "pt",
 )
 
 # ---------------------------------------------------------------- graphs and clusters
-_check("g1_cooccurrence_edges", "SELECT id, word, neighbour FROM edge", "edge")
+_check("g1_cooccurrence_edges", "SELECT id, word, string_agg(neighbour, ',' ORDER BY neighbour) AS neighbours FROM edge GROUP BY id, word", "edge")
 _check("g2_textrank", f"SELECT id, word, round(ln(s), {TR_DIGITS}) AS score FROM tr", "tr")
 CTE["degree"] = (["link"], "SELECT a AS k, count(*) FILTER (f > 0) AS d FROM link GROUP BY a")
 CTE["dlink"] = (["link", "degree"], "SELECT a, b, f / greatest(d, 1) AS f FROM link JOIN degree ON k = b")

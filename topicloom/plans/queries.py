@@ -538,8 +538,7 @@ def v5_cosine(spark, sf):
 
 
 def _vector_rows(rows: DataFrame, with_norm: bool) -> DataFrame:
-    names = F.col("words") if "struct" not in rows.schema["words"].dataType.simpleString() else F.transform("words", lambda x: x["word"])
-    cols = ["id", fn.join_tokens(names).alias("words"), F.round(F.col("vec")[0], 4).alias("x0"), F.round(F.col("vec")[F.size("vec") - 1], 4).alias("x_last")]
+    cols = ["id", fn.join_tokens("words").alias("words"), F.round(F.col("vec")[0], 4).alias("x0"), F.round(F.col("vec")[F.size("vec") - 1], 4).alias("x_last")]
     return rows.select(*cols, F.round("norm", 4).alias("norm")) if with_norm else rows.select(*cols)
 
 
@@ -560,7 +559,10 @@ def v7_doc_vectors_sum(spark, sf):
 @query
 def v8_doc_vectors_tfidf(spark, sf):
     lists = stats.doc_tfidf_lists(src.docs(spark, sf))
-    return _vector_rows(docvec.doc_vectors(lists, src.word_vec(spark, sf), "tfidf"), True).withColumns({"x0": F.round("x0", 2), "x_last": F.round("x_last", 2), "norm": F.round("norm", 2)})
+    rows = docvec.doc_vectors(lists, src.word_vec(spark, sf), "tfidf").where("norm > 0")
+    names = fn.join_tokens(F.transform("words", lambda x: x["word"])).alias("words")
+    first, last = F.col("vec")[0] / F.col("norm"), F.col("vec")[F.size("vec") - 1] / F.col("norm")
+    return rows.select("id", names, F.round(first, 5).alias("x0"), F.round(last, 5).alias("x_last"), F.round(F.ln("norm"), 6).alias("norm"))
 
 
 # ---------------------------------------------------------------- graphs and clusters
@@ -568,7 +570,8 @@ def v8_doc_vectors_tfidf(spark, sf):
 
 @query
 def g1_cooccurrence_edges(spark, sf):
-    return textrank.cooccurrence_edges(src.docs(spark, sf))
+    edges = textrank.cooccurrence_edges(src.docs(spark, sf))
+    return edges.groupBy("id", "word").agg(fn.join_tokens(F.sort_array(F.collect_list("neighbour"))).alias("neighbours"))
 
 
 @query
