@@ -75,9 +75,14 @@ def truncate6(a: Column | str) -> Column:
     return F.transform(_col(a), lambda x: (x * 1000000).cast("bigint") / F.lit(1000000.0))
 
 
-def vec_sum(vec: Column | str, weight: Column | str | None = None) -> Column:
-    """Aggregate: element-wise sum, or the sum of ``weight * vec``.
-
-    Rows are scaled before they are summed, so weights may be zero or negative."""
-    scaled = _col(vec).cast("array<double>") if weight is None else vec_scale(vec, _col(weight).cast("double"))
+def vec_sum(vec: Column | str, weight: Column | str | None = None, size: int | None = None) -> Column:
+    """Aggregate: element-wise sum, or the sum of ``weight * vec`` (weights of any sign).
+
+    With the ``size`` of the vectors each component is a plain sum, which hash aggregation keeps
+    in fixed-width buffers; without it Spark's summarizer finds the size."""
+    v = _col(vec).cast("array<double>")
+    if size is not None:
+        parts = [v[i] if weight is None else v[i] * _col(weight) for i in range(size)]
+        return F.array(*[F.sum(p) for p in parts])
+    scaled = v if weight is None else vec_scale(v, _col(weight).cast("double"))
     return vector_to_array(Summarizer.sum(array_to_vector(scaled)))

@@ -22,28 +22,49 @@ def cooccurrence_edges(
     docs: DataFrame, key: str = "id", words: str = "words", before: int = BEFORE, after: int = AFTER
 ) -> DataFrame:
     """(id, word, neighbour): distinct neighbours within ``before`` tokens to the left and
-    ``after`` tokens to the right of any occurrence. A word may neighbour itself."""
-    w = F.col(words)
+    ``after`` tokens to the right of any occurrence. A word may neighbour itself.
+
+    The pairs of a document are made distinct where its row lies, so none of the nine-fold
+    repeated tokens is shuffled."""
+    schema = T.StructType(
+        [T.StructField(key, docs.schema[key].dataType), T.StructField("word", T.StringType()), T.StructField("neighbour", T.StringType())]
+    )
+
+    def pair_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0)
+            names, documents = _coded(batch.column(1))
+            for row, codes in documents:
+                own, seq = np.unique(codes, return_inverse=True)
+                word, other = _neighbour_pairs(seq, len(own), before, after)
+                if len(word):
+                    columns = [ids.take(pa.array(np.full(len(word), row))), names.take(pa.array(own[word])), names.take(pa.array(own[other]))]
+                    yield pa.record_batch(columns, names=[key, "word", "neighbour"])
+
+    return _listed(docs, key, words).mapInArrow(pair_batches, schema)
+
+
+def _listed(docs: DataFrame, key: str, words: str) -> DataFrame:
+    return docs.select(key, F.coalesce(F.col(words), F.array().cast("array<string>")).alias(words))
 
-    def around(x, i):
-        left = F.slice(w, F.greatest(i - before, F.lit(0)) + 1, F.least(i, F.lit(before)))
-        right = F.slice(w, i + 2, F.lit(after))
-        return F.struct(x.alias("word"), F.array_distinct(F.concat(left, right)).alias("near"))
 
-    spots = docs.select(key, F.explode_outer(F.transform(w, around)).alias("s"))
-    pairs = spots.select(key, "s.word", F.explode_outer("s.near").alias("neighbour"))
-    return pairs.where(F.col("neighbour").isNotNull()).distinct()
+def _coded(lists: pa.ListArray) -> tuple[pa.Array, Iterator[tuple[int, np.ndarray]]]:
+    """The distinct words of a batch and, for each document that has any, its word codes."""
+    terms = lists.flatten().dictionary_encode()
+    codes = terms.indices.to_numpy().astype(np.int64)
+    ends = np.cumsum(np.diff(lists.offsets.to_numpy()))
+    spans = enumerate(zip(np.r_[0, ends[:-1]], ends, strict=True))
+    return terms.dictionary, ((row, codes[lo:hi]) for row, (lo, hi) in spans if hi > lo)
 
 
 def _neighbour_pairs(seq: np.ndarray, size: int, before: int, after: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (word, other word) index pairs of one token sequence."""
+    """Distinct (word, neighbour) index pairs of one token sequence."""
     found = [seq[k:] * size + seq[:-k] for k in range(1, before + 1) if k < len(seq)]
     found += [seq[:-k] * size + seq[k:] for k in range(1, after + 1) if k < len(seq)]
     if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     pairs = np.unique(np.concatenate(found))
-    word, other = pairs // size, pairs % size
-    return word[word != other], other[word != other]
+    return pairs // size, pairs % size
 
 
 def _iterate(
@@ -90,19 +111,15 @@ def textrank(
 
     def score_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, lists = batch.column(0), batch.column(1)
-            terms = lists.flatten().dictionary_encode()
-            names = np.array(terms.dictionary.to_pylist(), dtype=object)
+            ids = batch.column(0)
+            names, documents = _coded(batch.column(1))
             alphabetic = np.empty(len(names), np.int64)
-            alphabetic[np.argsort(names)] = np.arange(len(names))
-            codes = terms.indices.to_numpy().astype(np.int64)
-            ends = np.cumsum(np.diff(lists.offsets.to_numpy()))
+            alphabetic[np.argsort(np.array(names.to_pylist(), dtype=object))] = np.arange(len(names))
             rows, picked, scores, ranks, sizes = [], [], [], [], []
-            for row, (lo, hi) in enumerate(zip(np.r_[0, ends[:-1]], ends, strict=True)):
-                if lo == hi:
-                    continue
-                own, seq = np.unique(codes[lo:hi], return_inverse=True)
+            for row, codes in documents:
+                own, seq = np.unique(codes, return_inverse=True)
                 word, other = _neighbour_pairs(seq, len(own), before, after)
+                word, other = word[word != other], other[word != other]
                 score = _iterate(word, other, len(own), d, max_iter, tol, degree_norm)
                 order = np.lexsort((alphabetic[own], -np.round(np.log(score), 9)))
                 n = len(own)
@@ -115,7 +132,7 @@ def textrank(
                 yield pa.record_batch(
                     [
                         ids.take(pa.array(np.concatenate(rows))),
-                        terms.dictionary.take(pa.array(np.concatenate(picked))),
+                        names.take(pa.array(np.concatenate(picked))),
                         pa.array(np.concatenate(scores)),
                         pa.array(np.concatenate(ranks)),
                         pa.array(np.concatenate(sizes)),
@@ -123,8 +140,7 @@ def textrank(
                     names=[key, "word", "score", "rank", "n_words"],
                 )
 
-    listed = docs.select(key, F.coalesce(F.col(words), F.array().cast("array<string>")).alias(words))
-    return listed.mapInArrow(score_batches, schema)
+    return _listed(docs, key, words).mapInArrow(score_batches, schema)
 
 
 def textrank_by_doc(docs: DataFrame, key: str = "id", words: str = "words", msg: str = "msg", **options) -> DataFrame:

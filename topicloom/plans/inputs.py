@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from topicloom.functions.text import letter_runs
 from topicloom.operators.segment import explode_tokens, segment
+from topicloom.session import cut_lineage
 from topicloom.sources.tables import spread
 
 # A character table that folds accented letters, standing in for a table of
@@ -38,8 +39,9 @@ def nature_rule(word: Column) -> Column:
 
 
 def lexicon(spark: SparkSession, sf: str) -> DataFrame:
+    """(word, nature, freq). Jobs read it as a stored table, so it is stored once here too."""
     counts = tokens(spark, sf).groupBy("word").agg(F.count("*").alias("freq"))
-    return counts.select("word", nature_rule(F.col("word")).alias("nature"), "freq")
+    return cut_lineage(counts.select("word", nature_rule(F.col("word")).alias("nature"), "freq"))
 
 
 def tagged(spark: SparkSession, sf: str) -> DataFrame:
