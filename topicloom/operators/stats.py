@@ -175,7 +175,12 @@ class TermVectors(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable,
         found = schema[self.getInputCol()].dataType
         if not isinstance(found, T.ArrayType):
             raise TypeError(f"The input column must be ArrayType, but got {found}.")
-        cell = T.StructType().add("num_features", "int").add("indices", "array<int>").add("values", "array<double>")
+        cell = (
+            T.StructType()
+            .add("num_features", T.IntegerType())
+            .add("indices", T.ArrayType(T.IntegerType()))
+            .add("values", T.ArrayType(T.DoubleType()))
+        )
         return T.StructType([*schema.fields, T.StructField(self.getOutputCol(), cell)])
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
