@@ -89,9 +89,9 @@ def test_matching_small(spark):
 
 
 def test_matching_chain_and_forest(spark):
-    chain = [(f"{i:04d}", f"{i + 1:04d}") for i in range(300)]
+    chain = [(f"{i:04d}", f"{i + 1:04d}") for i in range(120)]
     random.seed(5)
-    forest = [(f"f{i:04d}", f"f{min(i + 1 + int(random.expovariate(0.15)), 400):04d}") for i in range(400)]
+    forest = [(f"f{i:04d}", f"f{min(i + 1 + int(random.expovariate(0.15)), 150):04d}") for i in range(150)]
     star = [(f"s{i:03d}", "s999") for i in range(50)] + [("s999", "t")]
     check_matching(spark, chain + forest + star)
 

@@ -44,7 +44,7 @@ def greedy_matching(pairs: DataFrame) -> DataFrame:
     settled = None
     waiting = True
     while waiting:
-        state = cut_lineage(_decide(state))
+        state = cut_lineage(_decide(state, settled))
         now = state.where("taken is not null")
         settled = now if settled is None else settled.unionByName(now)
         waiting = not state.where("taken is null").isEmpty()
@@ -52,8 +52,9 @@ def greedy_matching(pairs: DataFrame) -> DataFrame:
     return free.groupBy("parent").agg(F.min("id").alias("id")).select("id", F.col("parent").alias("partner"))
 
 
-def _decide(state: DataFrame) -> DataFrame:
-    """One round. ``state`` holds the undecided nodes and those decided in the last round."""
+def _decide(state: DataFrame, settled: DataFrame | None) -> DataFrame:
+    """One round. ``state`` holds the undecided nodes and those decided in the last round; links
+    may lead to a node decided in any round, all of which are in ``settled``."""
     below = (
         state.where("parent is not null")
         .groupBy(F.col("parent").alias("id"))
@@ -63,10 +64,11 @@ def _decide(state: DataFrame) -> DataFrame:
             F.bool_or(F.coalesce(~F.col("taken"), F.lit(False))).alias("struck"),
         )
     )
-    seen = state.select(
+    open_nodes = state.where("taken is null")
+    seen = (open_nodes if settled is None else open_nodes.unionByName(settled)).select(
         F.col("id").alias("ref"), F.col("ref").alias("ref_ref"), F.col("odd").alias("ref_odd"), F.col("taken").alias("ref_taken")
     )
-    live = state.where("taken is null").drop("taken").join(below, "id", "left").join(seen, "ref", "left")
+    live = open_nodes.drop("taken").join(below, "id", "left").join(seen, "ref", "left")
     differs = F.col("odd") != F.col("ref_taken")
     taken = (
         F.when(F.col("struck"), True)
