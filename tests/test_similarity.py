@@ -111,8 +111,8 @@ def simulate(rows, thres, rounds):
 
 @pytest.mark.parametrize("rounds", [1, 3])
 def test_clusters(spark, rounds):
-    rows = cloud(4, n=90)
-    found = cluster.subject_clusters(spark.createDataFrame(rows, "id string, vec array<double>"), 0.9, rounds, block_rows=20)
+    rows = cloud(4, n=45)
+    found = cluster.subject_clusters(spark.createDataFrame(rows, "id string, vec array<double>"), 0.9, rounds)
     want = simulate(rows, 0.9, rounds)
     text = cluster.cluster_ids_text(found.members(), "cid").collect()
     assert sorted(r.ids for r in text) == sorted(want)
@@ -123,7 +123,7 @@ def test_clusters(spark, rounds):
 
 
 def test_unit_clusters_have_unit_length(spark):
-    rows = [(i, (np.array(v) / np.linalg.norm(v)).tolist()) for i, v in cloud(5, n=60) if any(v)]
+    rows = [(i, (np.array(v) / np.linalg.norm(v)).tolist()) for i, v in cloud(5, n=30) if any(v)]
     found = cluster.subject_clusters(spark.createDataFrame(rows, "id string, vec array<double>"), 0.8, 2, "unit")
     assert all(abs(r.norm - 1) < 1e-4 for r in found.table.collect())
     assert found.members().count() == len(rows)
