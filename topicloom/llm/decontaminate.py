@@ -12,7 +12,7 @@ Many stretches of many documents are searched in step, so each step is a few num
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -137,14 +137,15 @@ def _occurrences(tables: list[Table], piece: Piece):
     return words, np.cumsum(edges)[:-1] > 0, items
 
 
-def _pass(docs: DataFrame, text: str, key: str, ids: list, benchmark: list[str | None], window: int) -> DataFrame:
-    """One row per document: word count, runs of hit words, ids of the items found."""
+def _pass(docs: DataFrame, text: str, carry: list[str], ids: list, benchmark: list[str | None], window: int, number: int) -> DataFrame:
+    """The columns of ``carry`` with word counts, runs of hit words and ids of the items found."""
     shared = docs.sparkSession.sparkContext.broadcast(build_tables(benchmark, window))  # bounded by PATTERN_WORDS
+    names = [*carry, "_words", f"_hits{number}", f"_items{number}"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = shared.value
         for batch in batches:
-            for piece in pieces(batch.column(1)):
+            for piece in pieces(batch.column(len(carry))):
                 words, hit, items = _occurrences(tables, piece)
                 spans = []
                 for a, b in zip(words.offsets[:-1], words.offsets[1:], strict=True):
@@ -153,49 +154,52 @@ def _pass(docs: DataFrame, text: str, key: str, ids: list, benchmark: list[str |
                 found = [sorted({str(ids[x]) for x in items.get(i, ())}) for i in range(len(piece))]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(piece.rows.start, len(piece)),
+                        *(batch.column(i).slice(piece.rows.start, len(piece)) for i in range(len(carry))),
                         pa.array(words.counts, pa.int64()),
                         pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                         pa.array(found, pa.list_(pa.string())),
                     ],
-                    names=[key, "n_words", "hits", "items"],
+                    names=names,
                 )
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, n_words long, hits {HITS}, items array<string>")
+    shape = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in carry)
+    return docs.select(*carry, F.col(text).alias("_text")).mapInArrow(run, f"{shape}_words long, _hits{number} {HITS}, _items{number} array<string>")
 
 
 def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,
     text: str = "text",
-    key: str = "doc_id",
+    carry: Sequence[str] = ("doc_id",),
     item_key: str = "item_id",
     item_text: str = "text",
     window: int = WINDOW,
     pattern_words: int = PATTERN_WORDS,
 ) -> DataFrame:
-    """Per document row: ``n_words``, ``hits`` (runs of hit words, end exclusive) and ``items`` (ids as text).
+    """Per document row the columns of ``carry``, then ``n_words``, ``hits`` (runs of hit words, end
+    exclusive) and ``items`` (ids as text, sorted).
 
     Null and empty texts have no words and no hits; null or empty items give no window; repeated
-    items count once per id. The benchmark passes through the driver in parts of at most
-    ``pattern_words`` words (by its sizes in characters, an upper bound). Each part costs one pass
-    over the documents; with several parts, rows are merged by ``key``, which must then be unique.
+    items count once per id, items without an id are left out; other columns are left out. The
+    benchmark passes through the driver in parts of about ``pattern_words`` words (by its size in
+    characters, an upper bound). Each part costs one pass over the documents. No shuffle takes place.
     """
-    sizes = benchmark.select(item_key, F.coalesce(item_text, F.lit("")).alias("_text")).where(F.col(item_key).isNotNull())
-    total = sizes.agg(F.sum(F.length("_text"))).first()[0] or 0
+    rows = benchmark.select(F.col(item_key).alias("_id"), F.coalesce(item_text, F.lit("")).alias("_text")).where("_id is not null")
+    total = rows.agg(F.sum(F.length("_text"))).first()[0] or 0
     parts = -(-total // (2 * pattern_words)) or 1  # a word and its separator take two characters at least
-    found = None
-    sizes = sizes.withColumn("_part", F.pmod(F.xxhash64(item_key, "_text"), F.lit(parts)))
+    rows = rows.withColumn("_part", F.pmod(F.xxhash64("_id", "_text"), F.lit(parts)))
+    found, through = docs.select(*dict.fromkeys([*carry, text])), list(dict.fromkeys([*carry, text])) if parts > 1 else list(carry)
     for part in range(parts):
-        rows = sizes.where(F.col("_part") == part).orderBy(item_key, "_text").collect()
-        one = _pass(docs, text, key, [r[0] for r in rows], [r[1] for r in rows], window)
-        found = one if found is None else cut_lineage(found.unionByName(one))
-    if parts > 1:
-        found = found.groupBy(key).agg(
-            F.first("n_words").alias("n_words"), F.collect_list("hits").alias("_all"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
-        )
-        found = found.withColumn("hits", merged(F.col("_all"))).select(key, "n_words", "hits", "items")
-    return found
+        items = rows.where(F.col("_part") == part).orderBy("_id", "_text").collect()
+        found = _pass(found, text, through, [r[0] for r in items], [r[1] for r in items], window, part)
+        if parts > 1:
+            found = cut_lineage(found.withColumnRenamed("_words", "n_words") if part == parts - 1 else found.drop("_words"))
+            through += [f"_hits{part}", f"_items{part}"]
+    if parts == 1:
+        return found.select(*carry, F.col("_words").alias("n_words"), F.col("_hits0").alias("hits"), F.col("_items0").alias("items"))
+    hits = merged(F.array(*[f"_hits{i}" for i in range(parts)]))
+    items = F.array_sort(F.array_distinct(F.flatten(F.array(*[f"_items{i}" for i in range(parts)]))))
+    return found.select(*carry, "n_words", hits.alias("hits"), items.alias("items"))
 
 
 def merged(lists):
