@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicloom.llm import decontaminate as wu_manber
+from topicloom.llm import secrets
 from topicloom.llm.mixing import mix_sources
+from topicloom.llm.ngram_join import ngram_join
 from topicloom.llm.quality_rules import quality_rules
 
 
@@ -14,10 +16,26 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join(_table(spark, sf, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules(_table(spark, sf, "documents"))
 
 
+def op5_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    spans = F.col("secrets")
+    return secrets.scan(_table(spark, sf, "documents").select("doc_id", "text")).select(
+        "doc_id",
+        secrets.of_kind(spans, "assign").alias("n_assign"),
+        secrets.of_kind(spans, "access").alias("n_access"),
+        secrets.of_kind(spans, "hex").alias("n_hex"),
+        F.sha2(secrets.joined(secrets.base_only(spans)), 256).alias("base_sha256"),
+        secrets.joined(spans).alias("spans"),
+    )
+
+
 def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     found = wu_manber.decontaminate(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
     n_hit = wu_manber.hit_words("hits")
@@ -36,7 +54,9 @@ def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op3_quality_rules": op3_quality_rules,
+    "op5_secret_scan": op5_secret_scan,
     "op6_decontamination": op6_decontamination,
     "op8_mixing": op8_mixing,
 }

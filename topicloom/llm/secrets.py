@@ -26,6 +26,8 @@ MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 8, 16, 32
 
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
+# ASCII code of the first token character, and the codes from there to the last.
+FIRST, ALPHABET = 43, 80
 SCALE = 10_000
 # Least entropy in bits of a window by character class: only hexadecimal digits, letters and digits
 # of one case, anything else.
@@ -65,32 +67,32 @@ def _spans(found: Column, kind: str, rank: int) -> Column:
 def window_weight(token: Column, window: int = WINDOW) -> Column:
     """Least sum of count weights over the windows of a token (the highest entropy)."""
     weights = F.array(*[F.lit(w) for w in COUNT_WEIGHTS])
-    chars = F.split(token, "")
-
-    def code(c: Column) -> Column:
-        return F.ascii(c)
-
-    zero = F.struct(F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0).alias("sum"), F.lit(0).alias("n"), F.lit(1 << 30).alias("best"))
+    start = F.struct(
+        F.transform(F.split(token, ""), lambda c: F.ascii(c) - FIRST).alias("codes"),
+        F.array_repeat(F.lit(0), ALPHABET).alias("counts"),
+        F.lit(0).alias("sum"),
+        F.lit(0).alias("n"),
+        F.lit(1 << 30).alias("best"),
+    )
 
     def step(s: Column, c: Column) -> Column:
-        """One character enters; once the window is full, the one that left it goes out first."""
-        full = s["n"] >= window
-        gone = F.when(full, code(F.get(chars, s["n"] - window))).otherwise(-1)
-        entered = code(c)
-        same = gone == entered
-        out = F.when(gone >= 0, F.get(s["counts"], gone)).otherwise(0)
-        into = F.get(s["counts"], entered)
-        change = F.when(same, 0).otherwise(
-            F.when(gone >= 0, F.get(weights, out - 1) - F.get(weights, out)).otherwise(0) + F.get(weights, into + 1) - F.get(weights, into)
-        )
-        counts = F.when(same, s["counts"]).otherwise(
-            F.transform(s["counts"], lambda x, i: x + (i == entered).cast("int") - (i == gone).cast("int"))
-        )
-        total = s["sum"] + change
+        """One character enters; once the window is full, the one that falls out goes first."""
+        code = F.ascii(c) - FIRST
+        gone = F.when(s["n"] >= window, F.get(s["codes"], s["n"] - window)).otherwise(-1)
+        out, into = F.get(s["counts"], gone), F.get(s["counts"], code)
+        change = F.when(gone >= 0, F.get(weights, out - 1) - F.get(weights, out)).otherwise(0) + F.get(weights, into + 1) - F.get(weights, into)
+        counts = F.transform(s["counts"], lambda x, i: x + (i == code).cast("int") - (i == gone).cast("int"))
+        total = F.when(gone == code, s["sum"]).otherwise(s["sum"] + change)
         n = s["n"] + 1
-        return F.struct(counts.alias("counts"), total.alias("sum"), n.alias("n"), F.when(n >= window, F.least(s["best"], total)).otherwise(s["best"]).alias("best"))
+        return F.struct(
+            s["codes"].alias("codes"),
+            F.when(gone == code, s["counts"]).otherwise(counts).alias("counts"),
+            total.alias("sum"),
+            n.alias("n"),
+            F.when(n >= window, F.least(s["best"], total)).otherwise(s["best"]).alias("best"),
+        )
 
-    return F.aggregate(chars, zero, step, lambda s: s["best"])
+    return F.aggregate(F.split(token, ""), start, step, lambda s: s["best"])
 
 
 def limit_of(bits: float, window: int = WINDOW) -> int:
