@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicloom.llm import decontaminate as wu_manber
-from topicloom.llm import secrets
+from topicloom.llm import quality_model, secrets
+from topicloom.llm.html_text import extract_text
 from topicloom.llm.mixing import mix_sources
 from topicloom.llm.ngram_join import ngram_join
 from topicloom.llm.quality_rules import quality_rules
+from topicloom.llm.url_filter import filter_urls
+from topicloom.llm.warc import archive_round_trip
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -20,10 +23,19 @@ def op1_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join(_table(spark, sf, "documents"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    return quality_model.score(docs, quality_model.fit(docs, _table(spark, sf, "labels")))
+
+
 def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules(_table(spark, sf, "documents"))
 
 
+def op4_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    return extract_text(_table(spark, sf, "pages"))
+
+
 def op5_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     spans = F.col("secrets")
     return secrets.scan(_table(spark, sf, "documents").select("doc_id", "text")).select(
@@ -53,12 +65,24 @@ def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mix_sources(_table(spark, sf, "documents"))
 
 
+def op9_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_urls(_table(spark, sf, "pages")).drop("bin")
+
+
+def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return archive_round_trip(_table(spark, sf, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_quality_rules": op3_quality_rules,
+    "op4_html_text": op4_html_text,
     "op5_secret_scan": op5_secret_scan,
     "op6_decontamination": op6_decontamination,
     "op8_mixing": op8_mixing,
+    "op9_url_filter": op9_url_filter,
+    "op10_warc": op10_warc,
 }
 
 SQL = {
@@ -86,4 +110,12 @@ SQL = {
         SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
             sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op10_warc": r"""
+        WITH payloads AS (
+            SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS digest, strlen(coalesce(html, '')) AS bytes FROM pages),
+        firsts AS (SELECT digest, min(page_id) AS first FROM payloads WHERE bytes >= 100 GROUP BY digest)
+        SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
+            CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN page_id > first THEN first END AS refers_to
+        FROM payloads LEFT JOIN firsts USING (digest)""",
 }
