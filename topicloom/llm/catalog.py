@@ -11,6 +11,7 @@ from topicloom.llm.html_text import extract_text
 from topicloom.llm.mixing import mix_sources
 from topicloom.llm.ngram_join import ngram_join
 from topicloom.llm.quality_rules import quality_rules
+from topicloom.llm.substring_dedup import dedup_substrings
 from topicloom.llm.url_filter import filter_urls
 from topicloom.llm.warc import archive_round_trip
 
@@ -61,6 +62,10 @@ def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op7_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return dedup_substrings(_table(spark, sf, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mix_sources(_table(spark, sf, "documents"))
 
@@ -80,6 +85,7 @@ QUERIES = {
     "op4_html_text": op4_html_text,
     "op5_secret_scan": op5_secret_scan,
     "op6_decontamination": op6_decontamination,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_mixing": op8_mixing,
     "op9_url_filter": op9_url_filter,
     "op10_warc": op10_warc,

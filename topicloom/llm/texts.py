@@ -7,7 +7,6 @@ longer document makes a piece of its own), so that temporary arrays stay small.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,19 +40,24 @@ def mix(x: np.ndarray) -> np.ndarray:
 BYTE_CODE = mix((np.arange(256, dtype=np.uint64) + U(1)) * _R)
 
 
-@lru_cache(maxsize=4)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    n = 1 << bits
-    up, down = np.full(n, _R, np.uint64), np.full(n, _R_INVERSE, np.uint64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse, kept for the longest piece so far."""
+    if len(_POWERS[0]) < n:
+        for i, base in enumerate((_R, _R_INVERSE)):
+            powers = np.full(1 << int(n).bit_length(), base, np.uint64)
+            powers[0] = 1
+            _POWERS[i] = np.multiply.accumulate(powers)
+    return _POWERS
 
 
 class Rolling:
     """64-bit hashes of any stretch of a byte array, from one cumulative sum."""
 
     def __init__(self, data: np.ndarray):
-        up, self.down = _powers(max(1, int(len(data)).bit_length()))
+        up, self.down = _powers(len(data) + 1)
         self.sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(BYTE_CODE[data] * up[: len(data)], out=self.sums[1:])
 
