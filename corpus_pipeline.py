@@ -9,8 +9,10 @@ from topicloom.session import scratch_path
 
 STAGES = [
     ("quality rules", stages.quality),
+    ("n-gram Jaccard join", stages.distinct_texts),
     ("benchmark decontamination", stages.decontaminated),
-    ("mixing", stages.mixed),
+    ("secret scans", stages.without_secrets),
+    ("mixing sources", stages.mixed),
 ]
 
 # Compression ratios, links found by set similarity and seeded draws are beyond SQL.

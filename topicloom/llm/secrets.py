@@ -155,3 +155,15 @@ def base_only(spans: Column) -> Column:
 
 def of_kind(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+
+
+def redacted(text: Column, spans: Column, mask: str = "[secret]") -> Column:
+    """The text with every span, or run of overlapping spans, replaced by ``mask``."""
+    start = F.struct(F.lit("").alias("done"), F.lit(0).alias("at"))
+
+    def step(s: Column, span: Column) -> Column:
+        between = F.substring(text, s["at"] + 1, span["start"] - s["at"])
+        grown = F.when(span["start"] >= s["at"], F.concat(s["done"], between, F.lit(mask))).otherwise(s["done"])
+        return F.struct(grown.alias("done"), F.greatest(s["at"], span["end"]).alias("at"))
+
+    return F.aggregate(spans, start, step, lambda s: F.concat(s["done"], F.substring(text, s["at"] + 1, F.length(text))))
