@@ -41,7 +41,8 @@ UNWANTED = {
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar", "form", "toolbar"}
 START = {"article": 10, "main": 10, "div": 5, "section": 5, "pre": 3, "td": 3, "blockquote": 3, "ol": -3, "ul": -3, "dl": -3, "dd": -3, "dt": -3, "li": -3, "h1": -5, "h2": -5, "h3": -5, "h4": -5, "h5": -5, "h6": -5, "th": -5}
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<([/!?]?)([a-zA-Z][^\s/>]*)?((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|([^<]+)|(<)", re.S)
+# Groups: closing mark, name and attributes of a tag; text; a "<" that opens nothing.
+TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>|([^<]+)|(<)", re.S)
 NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style|itemprop)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 SPLIT = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -148,9 +149,8 @@ class Tree:
                     text = unescape(m[4] or m[5])
                     self._text.append(text)
                     self._linked += len(text) if self._in_link else 0
-            elif m[2] is None or m[1] in ("!", "?"):
-                if m[1] is not None and m[1] not in ("!", "?", "/") and not m[0].startswith("<!--"):
-                    self._text.append(unescape(m[0]))  # a lone "<" with a ">" later on
+            elif m[2] is None:  # a comment or a declaration
+                continue
             elif m[1] == "/":
                 self._finish(m[2].lower())
             else:
