@@ -32,14 +32,11 @@ SCALE = 10_000
 # Least entropy in bits of a window by character class: only hexadecimal digits, letters and digits
 # of one case, anything else.
 LIMITS = {"hex": 3.0, "single": 3.4, "mixed": 3.7}
-# Candidates that are no secrets: dates and long numbers, UUIDs, paths of words, words joined by
-# signs with at most a short number in each part.
-ALLOW = (
-    r"^[0-9_+/=-]*$",
-    r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",
-    r"^([A-Z]?[a-z]*[0-9]{0,4}[_/=+-]*)$",
-    r"^(([A-Za-z]?[a-z]*|[A-Z]+|[0-9]{1,4})([_/=+-]+|$))+$",
-)
+# Candidates that are no secrets: dates and long numbers, UUIDs; and those made of words, capitals or
+# numbers with at most four digits in a row, joined by signs.
+ALLOW = (r"^[0-9_+/=-]*$", r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$")
+ALLOWED_PART = r"^([A-Za-z]?[a-z]*[0-9]{0,4}|[A-Z]+)$"
+SIGNS = "[_/=+-]"
 # Weight of a character that stands c times in a window.
 COUNT_WEIGHTS = [round(SCALE * c * math.log2(c)) if c else 0 for c in range(WINDOW + 1)]
 
@@ -107,7 +104,8 @@ def suspicious(token: Column, limits: dict[str, float] = LIMITS, allow: Sequence
         .when(~(token.rlike("[a-z]") & token.rlike("[A-Z]")), limit_of(limits["single"]))
         .otherwise(limit_of(limits["mixed"]))
     )
-    listed = F.lit(False)
+    # Part by part: a pattern that repeats a group would recurse as deep as the token is long.
+    listed = F.forall(F.split(token, SIGNS), lambda part: part.rlike(ALLOWED_PART))
     for pattern in allow:
         listed = listed | token.rlike(pattern)
     mixes = token.rlike("[0-9]") & token.rlike("[A-Za-z]")

@@ -59,7 +59,7 @@ def match_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]
 def _codes(text: Column) -> Column:
     """Symbol numbers of a text, with two of the first symbol in front."""
     plain = F.regexp_replace(F.translate(text, _UPPER, _LOWER), r"(?s)[^a-z0-9./_-]", "?")
-    return F.transform(F.split(F.concat(F.lit("^^"), plain), ""), lambda c: F.locate(c, SYMBOLS) - 1)
+    return F.transform(F.split(F.concat(F.lit("^^"), plain), ""), lambda c: F.position(c, F.lit(SYMBOLS)) - 1)
 
 
 def grams(text: Column) -> Column:
