@@ -172,7 +172,8 @@ def _sent(docs: DataFrame, tied: DataFrame, length: int) -> DataFrame:
     """(bucket, key, place, n, solved, body): the bytes of the shown runs; of runs in hot buckets the
     hashes of their windows instead, dealt by hash (``body`` holds (hash, place) pairs, n is 0)."""
     shown = tied.where("shown").groupBy("key").agg(F.collect_list(F.struct("place", "n", "bucket", "solved", "hot")).alias("_runs"))
-    joined = docs.join(shown.withColumnRenamed("key", "_key"), "_key").select("_key", "_text", "_runs")
+    # The id goes along, so that this shuffle of the texts is the one of the last join.
+    joined = docs.join(shown.withColumnRenamed("key", "_key"), "_key").select("_key", "_text", "_runs", "_id")
     names = ["bucket", "key", "place", "n", "solved", "body"]
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
 
@@ -180,7 +181,7 @@ def _sent(docs: DataFrame, tied: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             out: list[tuple] = []
             size = 0
-            for key, text, listed in zip(*batch.columns, strict=True):
+            for key, text, listed in zip(*batch.columns[:3], strict=True):
                 data, key = text.as_py().encode("utf-8", "surrogatepass"), key.as_py()
                 for r in listed.as_py():
                     body = data[r["place"] : r["place"] + r["n"] - 1 + length]
