@@ -1,4 +1,4 @@
-"""Queries of this folder, one per operator, and their SQL where SQL can express them."""
+"""Queries of this folder, one per operator; their SQL is in :mod:`topicloom.llm.checks`."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from topicloom.llm import decontaminate as wu_manber
 from topicloom.llm import quality_model, secrets
+from topicloom.llm.checks import SQL
 from topicloom.llm.html_text import extract_text
 from topicloom.llm.mixing import mix_sources
 from topicloom.llm.ngram_join import ngram_join
@@ -91,37 +92,4 @@ QUERIES = {
     "op10_warc": op10_warc,
 }
 
-SQL = {
-    "op6_decontamination": r"""
-        WITH doc_words AS (
-            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
-        item_words AS (
-            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
-        patterns AS (
-            SELECT DISTINCT item_id, least(10, len(w)) AS size, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS words
-            FROM (SELECT *, unnest(generate_series(1, greatest(1, len(w) - 9))) AS i FROM item_words WHERE len(w) > 0)),
-        sizes AS (SELECT DISTINCT size FROM patterns),
-        places AS (
-            SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS words
-            FROM (SELECT d.*, s.size, unnest(generate_series(1, len(w) - s.size + 1)) AS i FROM doc_words d JOIN sizes s ON len(d.w) >= s.size)),
-        found AS (SELECT doc_id, item_id, i, size FROM places JOIN patterns USING (size, words)),
-        hit AS (
-            SELECT doc_id, count(DISTINCT place) AS n_hit
-            FROM (SELECT doc_id, unnest(generate_series(i, i + size - 1)) AS place FROM (SELECT DISTINCT doc_id, i, size FROM found)) GROUP BY doc_id),
-        items AS (
-            SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
-            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM found) GROUP BY doc_id)
-        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-            sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-        FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
-    "op10_warc": r"""
-        WITH payloads AS (
-            SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS digest, strlen(coalesce(html, '')) AS bytes FROM pages),
-        firsts AS (SELECT digest, min(page_id) AS first FROM payloads WHERE bytes >= 100 GROUP BY digest)
-        SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
-            CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
-            CASE WHEN page_id > first THEN first END AS refers_to
-        FROM payloads LEFT JOIN firsts USING (digest)""",
-}
+__all__ = ["QUERIES", "SQL"]
