@@ -80,7 +80,7 @@ def test_ngram_join_finds_links_across_kept_lists(spark, texts, monkeypatch):
     """Short runs and blocks: most lists are kept, and pairs between components are searched."""
     from topicloom.llm import ngram_join as module
 
-    for name, value in (("RUN", 3), ("NEAREST", 1), ("BLOCK", 4), ("PARTNERS", 2), ("FLUSH", 200)):
+    for name, value in (("RUN", 3), ("NEAREST", 1), ("BLOCK", 4), ("ORDERS", 1), ("PARTNERS", 2), ("FLUSH", 200)):
         monkeypatch.setattr(module, name, value)
     rows = ngram_join(table(spark, texts)).collect()
     expected = plain_components(texts)

@@ -1,46 +1,65 @@
-"""Connected components of a link table by alternating stars, with reliable checkpoints."""
+"""Connected components of a link table: contraction inside partitions, pointer jumps between them."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from topicloom.session import cut_lineage
 
-# A node's neighbours are dealt over so many tasks: the centre of a star may have most of the links.
-PIECES = 16
-
 
-def _with_least(edges: DataFrame) -> DataFrame:
-    """(u, v, m): each edge with the least neighbour of u."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    dealt = least.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.lit(PIECES - 1))))
-    return edges.withColumn("_piece", F.pmod(F.xxhash64("v"), F.lit(PIECES)).cast("int")).join(dealt, ["u", "_piece"]).drop("_piece")
+def written(df: DataFrame, *marks: Column) -> tuple[DataFrame, dict]:
+    """``df`` written down, with its row count ``n`` and other aggregates, all in one job."""
+    seen = Observation()
+    out = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("n"), *marks))
+    return out, seen.get
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    found = _with_least(both).where("v > u")
-    return found.select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
+def stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, least node of its component) for all nodes of some links that are not the least themselves."""
+    nodes, place = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = place[: len(u)], place[len(u) :]
+    label = np.arange(len(nodes))
+    while True:
+        least = np.minimum(label[a], label[b])
+        new = label.copy()
+        for at in (a, b, label[a], label[b]):
+            np.minimum.at(new, at, least)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    other = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[other], nodes[label[other]]
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    """``edges`` point from the larger node u to the smaller v."""
-    found = _with_least(edges)
-    return found.select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u > v").distinct()
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    columns = [[c.to_numpy(zero_copy_only=False) for c in batch.columns] for batch in batches]
+    if columns:
+        u, v = stars(*(np.concatenate(c) for c in zip(*columns, strict=True)))
+        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``links`` (columns a, b): the least node it reaches.
 
-    Self-links, repeated and mirrored links make no difference; an empty table gives an empty one.
+    Each round turns the links of a partition into stars around their least nodes, and hands every
+    node on to the parent of its parent. Self-links, repeated and mirrored links make no
+    difference; an empty table gives an empty one.
     """
-    edges = cut_lineage(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     before = None
     for _ in range(rounds):
-        edges = cut_lineage(_small_star(_large_star(edges)))
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == before or now[0] == 0:
+        found = edges.repartition("u").mapInArrow(_contracted, "u long, v long")
+        # Both sides are shuffled for this join alone, so one that has most of the links can be split.
+        parents = found.select(F.col("u").alias("_u"), F.col("v").alias("_v")).hint("merge")
+        jumped = found.join(parents, F.col("v") == F.col("_u"), "left").select("u", F.coalesce("_v", "v").alias("v"))
+        edges, now = written(jumped, F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum"))
+        if now == before or now["n"] == 0:
             break
         before = now
     else:

@@ -8,14 +8,15 @@ at least T = ceil(t / (1 + t) * (n + m)) of them. The join runs in these steps:
    last. Two sets that link share a shingle among the first n - ceil(t * n) + 1 of each; these short
    inverted lists are built in buckets of shingles. The other lists are the long ones of DivideSkip:
    they yield no candidates.
-3. Short lists give candidate pairs, pruned by size and by place. A list of more than ``RUN`` sets
-   gives each set its nearest neighbours by size only, and is kept for step 5.
+3. Short lists give candidate pairs, pruned by size, by place and by tables of parities. A list of
+   more than ``RUN`` sets gives each set its neighbours by size and in some shuffled orders only, and
+   is kept for step 5.
 4. For each query set, an inverted index of its partners is searched: short lists are merged on a
    heap, candidates that the remaining long lists could still lift to T are probed there by binary
    search, and those that reach T are links. Links form components.
-5. In the kept lists, pairs whose sets are by now in different components are searched likewise, so
-   no link between components is lost, and a large group of near copies never meets itself pair by
-   pair.
+5. In the kept lists, all pairs of sets that are by then in different components are searched
+   likewise. So no link between components is lost, and a large group of near copies, which the
+   neighbours have joined, never meets itself pair by pair.
 """
 
 from __future__ import annotations
@@ -31,16 +32,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.llm.components import components
+from topicloom.llm.components import components, written
 from topicloom.llm.texts import LOWER, NOT_SPACE, Piece, Rolling, U, Words, combine, mix, pieces, windows
+from topicloom.operators.skew import lookup_join
 from topicloom.session import cut_lineage
 
 WORDS = 5
 PERCENT = 75
 CELL_BITS = 18
 SLICE = 1 << 13
-RUN = 32
-NEAREST = 3
+RUN = 8
+NEAREST = 2
 # Postings that a task gathers before it hands them out to the buckets.
 FLUSH = 1_000_000
 # Sets of one kept list that meet in one task; longer lists are cut in pairs of blocks.
@@ -48,6 +50,8 @@ BLOCK = 4_096
 # Partners of a query that are indexed together.
 PARTNERS = 256
 MU = 0.01
+# Shuffled orders in which the sets of a kept list meet their neighbours.
+ORDERS = 3
 POSTING = np.dtype([("token", "<u8"), ("key", "<i8"), ("n", "<u4"), ("place", "<u4")])
 
 
@@ -138,11 +142,29 @@ def search(query: np.ndarray, partners: list[np.ndarray], percent: int = PERCENT
     return [i for i, count in divide_skip(lists, t) if 100 * count >= percent * (n + len(partners[i]) - count)]
 
 
+def parities(tokens: np.ndarray) -> bytes:
+    """One bit per place of a table of at least as many places as shingles: whether an odd number of
+    shingles falls there. Two tables differ in no more places than the sets in shingles."""
+    size = max(64, 1 << int(max(1, len(tokens)) - 1).bit_length())
+    odd = np.bincount((tokens & U(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def may_link(n: int, m: int, a: bytes, b: bytes, percent: int = PERCENT) -> bool:
+    """Whether the parity tables of sets of n and m leave room for a link."""
+    x, y = (np.frombuffer(z, np.uint64) for z in (a, b))
+    if len(x) > len(y):
+        x, y = y, x
+    if len(x) < len(y):  # fold the longer table onto the shorter
+        y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum()) <= n + m - 2 * needed(n, m, percent)
+
+
 # --- step 1: classes, and the counting table of shingles
 
 
 def _signatures(docs: DataFrame, text: str, key: str, k: int) -> DataFrame:
-    """(doc_id, n, key) per row; and per task its slices of the counting table (slice, counts)."""
+    """(doc_id, n, key, bits) per row; and per task its slices of the counting table (slice, bits)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << CELL_BITS, np.int64)
@@ -156,9 +178,9 @@ def _signatures(docs: DataFrame, text: str, key: str, k: int) -> DataFrame:
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([_class(s) for s in sets], pa.int64()),
                         pa.nulls(len(sets), pa.int32()),
-                        pa.nulls(len(sets), pa.binary()),
+                        pa.array([parities(s) for s in sets], pa.binary()),
                     ],
-                    names=["doc_id", "n", "key", "slice", "counts"],
+                    names=["doc_id", "n", "key", "slice", "bits"],
                 )
         filled = [i for i in range(len(cells) // SLICE) if cells[i * SLICE : (i + 1) * SLICE].any()]
         none = pa.nulls(len(filled), pa.int64())
@@ -170,11 +192,11 @@ def _signatures(docs: DataFrame, text: str, key: str, k: int) -> DataFrame:
                 pa.array(filled, pa.int32()),
                 pa.array([cells[i * SLICE : (i + 1) * SLICE].astype("<u8").tobytes() for i in filled], pa.binary()),
             ],
-            names=["doc_id", "n", "key", "slice", "counts"],
+            names=["doc_id", "n", "key", "slice", "bits"],
         )
 
     kind = pa.int64()
-    return docs.select(F.col(key).cast("bigint").alias("doc_id"), text).mapInArrow(run, "doc_id long, n long, key long, slice int, counts binary")
+    return docs.select(F.col(key).cast("bigint").alias("doc_id"), text).mapInArrow(run, "doc_id long, n long, key long, slice int, bits binary")
 
 
 def _crowded(slices: DataFrame) -> np.ndarray:
@@ -239,10 +261,10 @@ def _postings(docs: DataFrame, text: str, crowded: np.ndarray, buckets: int, k:
 def _fits(n, m, i, j, percent: int):
     """Whether sets of n <= m shingles that first meet at places i and j may link."""
     t = -(-percent * (n + m) // (100 + percent))
-    return (100 * n >= percent * m) & (1 + np.minimum(n - i, m - j) - 1 >= t)
+    return (100 * n >= percent * m) & (np.minimum(n - i, m - j) >= t)
 
 
-def _bucket_pairs(rows: np.ndarray, crowded: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _bucket_pairs(rows: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first, second, kept): candidate pairs as rows of the short lists, and the lists kept for later."""
     rows = rows[np.lexsort((rows["key"], rows["n"], rows["token"]))]
     fresh = np.ones(len(rows), bool)
@@ -265,7 +287,17 @@ def _bucket_pairs(rows: np.ndarray, crowded: np.ndarray, percent: int) -> tuple[
         i = i[_fits(n[i], n[i + d], place[i], place[i + d], percent)]
         firsts.append(i)
         seconds.append(i + d)
+    long = np.flatnonzero(kept)
+    for turn in range(ORDERS):  # one fixed order for all lists, so that its pairs repeat from list to list
+        order = long[np.lexsort((mix(rows["key"][long].view(np.uint64) + U(turn)), rows["token"][long]))]
+        i, j = order[:-1], order[1:]
+        i, j = np.where(n[i] <= n[j], i, j), np.where(n[i] <= n[j], j, i)
+        near = (rows["token"][i] == rows["token"][j]) & _fits(n[i], n[j], place[i], place[j], percent)
+        firsts.append(i[near])
+        seconds.append(j[near])
     first, second = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (firsts, seconds))
+    swap = (n[first] == n[second]) & (rows["key"][first] > rows["key"][second])  # one form for each pair
+    first, second = np.where(swap, second, first), np.where(swap, first, second)
     code = mix(mix(rows["key"][first].view(np.uint64)) + rows["key"][second].view(np.uint64))
     _, once = np.unique(code, return_index=True)
     return rows[first[once]], rows[second[once]], rows[kept]
@@ -291,18 +323,18 @@ def _found(first: np.ndarray, second: np.ndarray, kept: np.ndarray) -> pa.Record
     )
 
 
-def _candidates(postings: DataFrame, crowded: np.ndarray, percent: int) -> DataFrame:
+def _candidates(postings: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, blobs = None, []
         for batch in batches:
             for b, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if b != bucket and blobs:
-                    yield _found(*_bucket_pairs(np.frombuffer(b"".join(blobs), POSTING), crowded, percent))
+                    yield _found(*_bucket_pairs(np.frombuffer(b"".join(blobs), POSTING), percent))
                     blobs = []
                 bucket = b
                 blobs.append(rows)
         if blobs:
-            yield _found(*_bucket_pairs(np.frombuffer(b"".join(blobs), POSTING), crowded, percent))
+            yield _found(*_bucket_pairs(np.frombuffer(b"".join(blobs), POSTING), percent))
 
     return postings.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, FOUND)
 
@@ -310,10 +342,25 @@ def _candidates(postings: DataFrame, crowded: np.ndarray, percent: int) -> DataF
 # --- step 4: search
 
 
+def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of document ids, a < b, without those whose parity tables rule a link out."""
+    bits = classes.select(F.col("rep").alias("b"), F.col("n").alias("m"), F.col("bits").alias("y"))
+    own = classes.select(F.col("rep").alias("a"), "n", F.col("bits").alias("x"))
+    met = pairs.select("a", "b").join(own.hint("merge"), "a").join(bits.hint("merge"), "b").select("a", "b", "n", "m", "x", "y")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fits = [may_link(*row, percent) for row in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
+
+    return met.mapInArrow(run, "a long, b long")
+
+
 def _links(docs: DataFrame, text: str, key: str, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """(a, b): the pairs of document ids (a < b) that link, found by searching each a's partners."""
     wanted = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
-    texts = docs.select(F.col(key).cast("bigint").alias("a"), F.col(text).alias("_text")).join(wanted, "a")
+    # While the list of ids is small enough to be broadcast, no text is shuffled.
+    texts = lookup_join(docs.select(F.col(key).cast("bigint").alias("a"), F.col(text).alias("_text")), wanted, "a", "left_semi")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -324,7 +371,7 @@ def _links(docs: DataFrame, text: str, key: str, pairs: DataFrame, k: int, perce
     tokens = texts.select("a", "_text").mapInArrow(sets, "b long, tokens binary")
     # Each query also sends its own set to itself; it comes first, as b > a for all partners.
     asked = pairs.select("a", "b").unionByName(pairs.select("a", F.col("a").alias("b")).distinct())
-    met = asked.join(tokens, "b").select("a", "b", "tokens").repartition("a").sortWithinPartitions("a", "b")
+    met = asked.join(tokens.hint("merge"), "b").select("a", "b", "tokens").repartition("a").sortWithinPartitions("a", "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query, mine, ids, partners = None, None, [], []
@@ -360,11 +407,17 @@ def _links(docs: DataFrame, text: str, key: str, pairs: DataFrame, k: int, perce
 # --- step 5: kept lists
 
 
-def _across(kept: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components in the kept lists (token, a, n, place, component)."""
-    sizes = kept.groupBy("token").agg(F.count("*").alias("_size"), F.min("component").alias("_low"), F.max("component").alias("_high"))
+def _open_lists(kept: DataFrame, parts: DataFrame) -> DataFrame:
+    """(token, a, n, place, component, _blocks, _own): the kept lists that hold several components,
+    with the number of blocks of a list and each row's own."""
+    named = kept.join(parts.withColumnRenamed("node", "a"), "a", "left").withColumn("component", F.coalesce("component", "a"))
+    sizes = named.groupBy("token").agg(F.count("*").alias("_size"), F.min("component").alias("_low"), F.max("component").alias("_high"))
     mixed = sizes.where("_low < _high").select("token", F.ceil(F.col("_size") / BLOCK).cast("int").alias("_blocks"))
-    rows = kept.join(mixed, "token").withColumn("_own", F.pmod(F.xxhash64("a"), F.col("_blocks")).cast("int"))
+    return named.join(mixed.hint("merge"), "token").withColumn("_own", F.pmod(F.xxhash64("a"), F.col("_blocks")).cast("int"))
+
+
+def _across(rows: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of different components in lists of :func:`_open_lists`."""
     met = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     met = met.select("token", F.least("_own", "_other").alias("x"), F.greatest("_own", "_other").alias("y"), "_own", "a", "n", "place", "component")
     met = met.repartition("token", "x", "y").sortWithinPartitions("token", "x", "y", "n", "a")
@@ -397,6 +450,16 @@ def _across(kept: DataFrame, percent: int) -> DataFrame:
     return met.mapInArrow(run, "a long, b long").distinct()
 
 
+def _united(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further links: the links are drawn between components, which are far fewer."""
+    a, b = (parts.select(F.col("node").alias(c), F.col("component").alias(f"_{c}")) for c in "ab")
+    ends = links.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+    merged = cut_lineage(components(ends))
+    old = parts.join(merged.select(F.col("node").alias("component"), F.col("component").alias("_c")), "component", "left")
+    new = merged.join(parts.select("node"), "node", "left_anti")
+    return cut_lineage(old.select("node", F.coalesce("_c", "component").alias("component")).unionByName(new))
+
+
 def ngram_join(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row of ``docs``.
 
@@ -407,28 +470,26 @@ def ngram_join(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int
     """
     spark = docs.sparkSession
     marks = cut_lineage(_signatures(docs, text, key, k))
-    rows = marks.where("slice is null").select("doc_id", "n", "key")
-    crowded = _crowded(marks.where("slice is not null").select("slice", "counts"))
-    classes = cut_lineage(rows.where("n > 0").groupBy("key", "n").agg(F.min("doc_id").alias("rep")))
+    own = marks.where("slice is null").select("doc_id", "n", "key")
+    crowded = _crowded(marks.where("slice is not null").select("slice", "bits"))
+    classes = marks.where("slice is null and n > 0").groupBy("key", "n").agg(F.min("doc_id").alias("rep"), F.first("bits").alias("bits"))
+    classes = cut_lineage(classes)
 
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = cut_lineage(_candidates(_postings(docs, text, crowded, buckets, k, percent), crowded, percent).distinct())
+    found = cut_lineage(_candidates(_postings(docs, text, crowded, buckets, k, percent), percent).distinct())
     named = classes.where("rep is not null")
     one = named.select(F.col("key").alias("a"), "n", F.col("rep").alias("_a"))
     other = named.select(F.col("key").alias("b"), F.col("n").alias("m"), F.col("rep").alias("_b"))
-    pairs = found.where("token is null").join(one, ["a", "n"]).join(other, ["b", "m"])
+    pairs = found.where("token is null").join(one.hint("merge"), ["a", "n"]).join(other.hint("merge"), ["b", "m"])
     pairs = cut_lineage(pairs.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).where("a < b").distinct())
-    links = cut_lineage(_links(docs, text, key, pairs, k, percent))
-    parts = cut_lineage(components(links))
+    likely = cut_lineage(_likely(pairs, named, percent))
+    parts = cut_lineage(components(_links(docs, text, key, likely, k, percent)))
 
     kept = found.where("token is not null").select("token", "a", "n", "place").join(one, ["a", "n"])
-    kept = kept.select("token", F.col("_a").alias("a"), "n", "place").join(parts.withColumnRenamed("node", "a"), "a", "left")
-    rest = _across(kept.withColumn("component", F.coalesce("component", "a")), percent)
-    rest = cut_lineage(rest.join(pairs, ["a", "b"], "left_anti"))
-    if not rest.isEmpty():
-        more = _links(docs, text, key, rest, k, percent)
-        parts = cut_lineage(components(links.unionByName(more)))
-
+    kept = cut_lineage(kept.select("token", F.col("_a").alias("a"), "n", "place"))
+    asked = _across(_open_lists(kept, parts), percent).join(pairs.hint("merge"), ["a", "b"], "left_anti")
+    more, size = written(_links(docs, text, key, cut_lineage(_likely(asked, named, percent)), k, percent))
+    parts = _united(parts, more) if size["n"] else parts
     of_class = classes.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("key", "n", F.coalesce("component", "rep").alias("component"))
     of_class = cut_lineage(of_class)  # so that the next join can be split where one class has most rows
-    return rows.join(of_class, ["key", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    return own.join(of_class, ["key", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
