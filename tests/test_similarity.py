@@ -127,3 +127,13 @@ def test_unit_clusters_have_unit_length(spark):
     found = cluster.subject_clusters(spark.createDataFrame(rows, "id string, vec array<double>"), 0.8, 2, "unit")
     assert all(abs(r.norm - 1) < 1e-4 for r in found.table.collect())
     assert found.members().count() == len(rows)
+
+
+def test_waiting_nodes_do_not_share_a_key(spark):
+    """Before any link is known, no row of a matching round joins on a null key."""
+    schema = "id string, parent string, ref string, odd boolean, taken boolean"
+    state = spark.createDataFrame([(f"{i:03d}", f"{i + 1:03d}", None, False, None) for i in range(50)], schema)
+    plan = cluster._decide(state, None)._jdf.queryExecution().optimizedPlan().toString()
+    assert "coalesce(ref" in plan
+    pairs = spark.createDataFrame([(f"{i:03d}", f"{i + 1:03d}") for i in range(200)], "id string, partner string")
+    assert {tuple(r) for r in cluster.greedy_matching(pairs).collect()} == {(f"{i:03d}", f"{i + 1:03d}") for i in range(0, 200, 2)}

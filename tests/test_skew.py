@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from topicloom.operators import filters, ranking
-from topicloom.operators.skew import dense_index, fits, lookup_join, salted_join, top_per_group
+from topicloom.operators.skew import dense_index, hot_keys, lookup_join, ranked_within, salted_join, table_bytes, top_per_group
 
 
 @pytest.fixture(scope="module")
@@ -27,8 +27,40 @@ def test_salted_join_equals_join(sides, how, heat):
 
 def test_lookup_join_falls_back(sides):
     left, right = sides
-    assert lookup_join(left, right, "key", max_rows=1).count() == left.join(right, "key").count()
-    assert fits(right, 5) and not fits(right, 4)
+    for max_bytes in (0, 1 << 20):
+        assert lookup_join(left, right, "key", max_bytes=max_bytes).count() == left.join(right, "key").count()
+    assert table_bytes(right) > table_bytes(right.where("v = 'a'")) > 0 == table_bytes(right.where("false"))
+
+
+def test_every_hot_key_is_split(spark):
+    """More hot keys than any fixed list would hold; each piece stays below the larger of both bounds."""
+    counts = spark.range(3_000).select(F.col("id").cast("string").alias("key"), (F.col("id") % 3 * 50 + 5).alias("n"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = counts.agg(F.sum("n")).first()[0]
+    assert hot_keys(counts, "key", "n", 10).count() == 0 and total / (4 * partitions) > 105
+    one = counts.unionByName(spark.createDataFrame([("big", 10 * total)], "key string, n long"))
+    found = hot_keys(one, "key", "n", 10).collect()
+    assert [r["key"] for r in found] == ["big"] and found[0]["_pieces"] >= 3 * partitions
+    spark.conf.set("spark.sql.shuffle.partitions", "1000")
+    try:
+        assert hot_keys(counts, "key", "n", 10).count() == 2_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+
+
+def test_ranked_within(spark):
+    rows = spark.range(300).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"), F.col("id").alias("v"))
+    got = {(r.g, r.v): r["rank"] for r in ranked_within(rows, "g", [F.desc("v")]).collect()}
+    assert got == {(i % 3 or None, i): (299 - i) // 3 + 1 for i in range(300)}
+
+
+def test_large_top_k_needs_no_single_task(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "SMALL_K", 5)
+    rows = spark.range(1_000).select((F.col("id") * 7919 % 1000).alias("x"))
+    top = ranking.top_k(rows, [F.desc("x")], 20)
+    assert sorted(r.x for r in top.collect()) == list(range(980, 1000))
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "SinglePartition" not in plan.split("Window")[0]
 
 
 def test_dense_index(spark):

@@ -1,10 +1,10 @@
 import math
 
 import pytest
+from pyspark.ml.feature import Normalizer
 from pyspark.sql import functions as F
 
 from topicloom.operators import embed, labels, segment, stats, textrank
-from topicloom.operators.segment import _segment_by_join, _segment_by_set, normalized
 
 
 def docs_of(spark, rows):
@@ -66,14 +66,37 @@ def test_han_segmentation_paths_agree(spark):
     lexicon = ["科学", "科学技术", "技术", "大学", "大学生", "生活", "喜欢", "中国", "人民", "中国人"]
     words = spark.createDataFrame([(w,) for w in lexicon], "word string")
     rows = spark.createDataFrame([(str(i), t) for i, t in enumerate(HAN)], "id string, msg string")
-    by_set = {r.id: r.words for r in _segment_by_set(rows, normalized("msg"), "words", words, "").collect()}
-    by_join = {r.id: r.words for r in _segment_by_join(rows, normalized("msg"), "words", words, "id", 8).collect()}
+    by_set = {r.id: r.words for r in segment.segment(rows, lexicon=words).collect()}
+    by_join = {r.id: r.words for r in segment.segment(rows, lexicon=words, max_bytes=0).collect()}
     assert by_set == by_join
     assert by_set["0"] == ["我", "喜欢", "科学技术", "和", "abc", "大学生", "活"]
     assert by_set["3"] == ["x", "中国人", "民", "mixed", "中国"]
     assert by_set["4"] == []
 
 
+def test_han_paths_take_long_words_and_obey_the_pattern(spark):
+    long = "一二三四五六七八九十"
+    words = spark.createDataFrame([(long,), ("科技",)], "word string")
+    rows = spark.createDataFrame([("1", f"x{long}科技 9科技"), ("1", f"x{long}科技 9科技"), ("2", None), ("3", "々一")], "id string, msg string")
+    for pattern, want in ((r"[\p{L}]+", ["x", long, "科技", "科技"]), (r"[\p{L}0-9]+", ["x", long, "科技", "9", "科技"])):
+        for max_bytes in (0, 1 << 20):
+            got = segment.segment(rows, lexicon=words, pattern=pattern, max_bytes=max_bytes).select("id", "words").collect()
+            assert sorted((r.id, r.words) for r in got if r.id == "1") == [("1", want)] * 2
+            assert [r.words for r in got if r.id == "2"] == [None] and len(got) == 4
+
+
+def test_repeated_search_texts_keep_their_own_words(spark):
+    """Three users search the same; both paths give each of them the same words and counts."""
+    log = spark.createDataFrame([(f"u{i}", "科技,camera") for i in range(3)], "imei string, key_word string")
+    index = spark.createDataFrame([("camera", "c1"), ("科技", "c2")], "word string, label string")
+    lexicon = spark.createDataFrame([("camera", "n", 1), ("科技", "n", 1)], "word string, nature string, freq long")
+    for key in (None, ["imei"]):
+        for max_bytes in (0, 1 << 20):
+            got = labels.match_labels(log, index, lexicon, key=key, by_lexicon=True, max_bytes=max_bytes).collect()
+            assert sorted(r.imei for r in got) == ["u0", "u1", "u2"]
+            assert all(r.words == ["科技", "camera"] and [tuple(x) for x in r.labels] == [("c1", 1), ("c2", 1)] for r in got)
+
+
 def test_user_words_win(spark):
     lexicon = spark.createDataFrame([("a", "n", 5000), ("b", "n", 1)], "word string, nature string, freq bigint")
     user = spark.createDataFrame([("a", "mbk"), ("c", "mbk")], "word string, nature string")
@@ -86,8 +109,10 @@ def test_term_vectors(spark):
     got = {r.id: (r.num_features, r.indices, r["values"]) for r in stats.term_vectors(docs).collect()}
     assert got == {"1": (2, [0, 1], [2.0, 1.0]), "2": (2, [], []), "3": (2, [0], [1.0])}
     stage = stats.TermVectors(inputCol="words", outputCol="f")
-    rows = {r.id: r.f["values"] for r in stage.transform(docs).collect()}
-    assert rows["1"] == [2.0, 1.0] and stage.getNumFeatures() == 2
+    made = stage.transform(docs)
+    rows = {r.id: r.f for r in made.collect()}
+    assert rows["1"].values.tolist() == [2.0, 1.0] and rows["1"].size == stage.getNumFeatures() == 2
+    assert "scaled" in Normalizer(inputCol="f", outputCol="scaled").transform(made).columns
     with pytest.raises(TypeError):
         stats.TermVectors(inputCol="msg").transform(docs)
 

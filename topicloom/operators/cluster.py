@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from topicloom.functions.vectors import truncate6, vec_add, vec_norm, vec_normalize
 from topicloom.operators.filters import drop_rule_words, min_cluster_size
 from topicloom.operators.similarity import BLOCK_ROWS, best_partner
-from topicloom.operators.skew import dense_index, salted_join
+from topicloom.operators.skew import dense_index, ranked_within, salted_join
 from topicloom.session import cut_lineage
 
 BAR = "|"
@@ -68,7 +68,10 @@ def _decide(state: DataFrame, settled: DataFrame | None) -> DataFrame:
     seen = (open_nodes if settled is None else open_nodes.unionByName(settled)).select(
         F.col("id").alias("ref"), F.col("ref").alias("ref_ref"), F.col("odd").alias("ref_odd"), F.col("taken").alias("ref_taken")
     )
-    live = open_nodes.drop("taken").join(below, "id", "left").join(seen, "ref", "left")
+    # Nodes without a link yet get a key of their own that meets nothing, so they spread over all tasks.
+    key = F.coalesce("ref", F.concat(F.lit("\0"), F.col("id"))).alias("_key")
+    waiting = open_nodes.drop("taken").join(below, "id", "left").select("*", key)
+    live = waiting.join(seen.withColumnRenamed("ref", "_key"), "_key", "left").drop("_key")
     differs = F.col("odd") != F.col("ref_taken")
     taken = (
         F.when(F.col("struck"), True)
@@ -181,15 +184,10 @@ def class_members(members: DataFrame, classes: DataFrame, cid: str = "id") -> Da
     return salted_join(members, named, "cid", heat="size").select("class_id", "member", "place")
 
 
-def cluster_ids_text(members: DataFrame, key: str = "class_id", limit: int = 1_000_000) -> DataFrame:
-    """(class_id, ids): member ids joined by bars, for export in row form.
+def cluster_ids_text(members: DataFrame, key: str = "class_id") -> DataFrame:
+    """(class_id, ids): member ids joined by bars, for the export of clusters whose ids fit a row.
 
-    A row must fit a task, so a cluster above ``limit`` members is an error; the long table has
-    no such bound."""
-    sizes = members.groupBy(key).agg(F.count("*").alias("_n"))
-    worst = sizes.agg(F.max("_n")).first()[0] or 0
-    if worst > limit:
-        raise ValueError(f"a cluster has {worst} members; keep the long form")
+    Everything else works on the long table, which has no such bound."""
     ordered = F.sort_array(F.collect_list(F.struct("place", "member")))
     return members.groupBy(key).agg(F.array_join(F.transform(ordered, lambda x: x["member"]), BAR).alias("ids"))
 
@@ -219,7 +217,8 @@ def missing_members(members: DataFrame, doc_words: DataFrame) -> DataFrame:
 def cluster_words(
     members: DataFrame, doc_words: DataFrame, rules: DataFrame | None = None, min_size: int | None = None
 ) -> DataFrame:
-    """(class_id, word, weight): counts or summed weights of the words of each cluster.
+    """(class_id, word, weight, rank): counts or summed weights of the words of each cluster, ranked by
+    falling weight (to six digits), then by word.
 
     ``rules`` drops words switched off by the rule table; ``min_size`` keeps clusters of more
     members. Sums are built before the shuffle and per word, so no task holds a cluster."""
@@ -227,4 +226,5 @@ def cluster_words(
     words = lookup_doc_words(kept, doc_words)
     if rules is not None:
         words = drop_rule_words(words, rules)
-    return words.groupBy("class_id", "word").agg(F.sum("weight").alias("weight"))
+    sums = words.groupBy("class_id", "word").agg(F.sum("weight").alias("weight"))
+    return ranked_within(sums, "class_id", [F.round("weight", 6).desc(), F.asc("word")])

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.operators.skew import lookup_join, salted_join, top_per_group
+from topicloom.operators.segment import explode_tokens
+from topicloom.operators.skew import BROADCAST_BYTES, lookup_join, salted_join, table_bytes, top_per_group
+from topicloom.session import cut_lineage
 
 # ---- fixed values: word lists and symbols that decide which words are dropped ----
 NAME_PREFIXES = ["小", "老", "阿"]
@@ -84,6 +87,31 @@ def semi_words(tokens: DataFrame, vocabulary: DataFrame, key: str = "word") -> D
     return lookup_join(tokens, vocabulary.select(key).distinct(), key, "left_semi")
 
 
+def keep_words(docs: DataFrame, words: DataFrame, drop: bool = False, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``docs`` with only those of their ``words`` (array) that are (with ``drop``: are not) in a word table.
+
+    The rule depends on the word alone. While the table is small enough to be broadcast, each row's
+    list is filtered where it lies. A larger one meets the tokens, numbered by row, in a join; then
+    the kept lists, and not the texts, go through the shuffles until the rows take them back.
+    """
+    words = cut_lineage(words.select("word").distinct())
+    if table_bytes(words) <= max_bytes:
+        shared = docs.sparkSession.sparkContext.broadcast({r[0] for r in words.toLocalIterator()})
+
+        @F.pandas_udf("array<string>")
+        def kept(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            known = shared.value
+            for lists in batches:
+                yield lists.map(lambda items: [] if items is None else [w for w in items if (w in known) != drop])
+
+        return docs.withColumn("words", kept("words"))
+    rows = cut_lineage(docs.withColumn("_row", F.monotonically_increasing_id()))
+    tokens = explode_tokens(rows, "_row").join(words, "word", "left_anti" if drop else "left_semi")
+    lists = tokens.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("pos", "word"))).alias("_w"))
+    found = F.coalesce(F.transform("_w", lambda x: x["word"]), F.array().cast("array<string>"))
+    return rows.join(lists, "_row", "left").withColumn("words", found).select(*docs.columns)
+
+
 def rare_words(word_nature: DataFrame, min_cnt: int = 3) -> DataFrame:
     """Words with any (word, nature) row below ``min_cnt``."""
     return word_nature.where(F.col("cnt") < min_cnt).select("word").distinct()

@@ -9,25 +9,24 @@ from pyspark.sql import functions as F
 
 from topicloom.functions.text import tag_prefixes
 from topicloom.operators.filters import SEARCH_NATURES, keep_nature, max_label_fanout
-from topicloom.operators.segment import explode_tokens, segment
-from topicloom.operators.skew import lookup_join, salted_join
-from topicloom.operators.stats import dedupe_map, word_classes
+from topicloom.operators.segment import segment
+from topicloom.operators.skew import lookup_join, ranked_within
+from topicloom.operators.stats import dedupe_map
 
 TOP_LABELS = 5
-# A dictionary row carries up to 399 labels.
-SMALL_DICTIONARY_ROWS = 50_000
 
 
 def word2label(label2word: DataFrame, word: str = "word", label: str = "class_id", cnt: str = "weight") -> DataFrame:
-    """(word, label, cnt): the inverted index as a long table, one row per word and label."""
-    return label2word.groupBy(F.col(word).alias("word"), F.col(label).alias("label")).agg(F.sum(cnt).alias("cnt"))
+    """(word, label, cnt, rank): the inverted index as a long table; labels of a word by falling count."""
+    sums = label2word.groupBy(F.col(word).alias("word"), F.col(label).alias("label")).agg(F.sum(cnt).alias("cnt"))
+    return ranked_within(sums, "word", [F.desc("cnt"), F.asc("label")])
 
 
 def lookup_labels(tokens: DataFrame, index: DataFrame) -> DataFrame:
     """Tokens with each of their labels: one row per token and label.
 
-    ``index`` holds (word, label). Its words are counted to find those whose tokens are cut."""
-    return salted_join(tokens, index.select("word", "label"), "word")
+    ``index`` holds (word, label); a word may have very many labels."""
+    return lookup_join(tokens, index.select("word", "label"), "word")
 
 
 def label_scores(terms: DataFrame, index: DataFrame, group: Sequence[str]) -> DataFrame:
@@ -44,8 +43,9 @@ def _score_log(
     key: Sequence[str] | None,
     lexicon: DataFrame | None,
     simplify: Mapping[str, str] | None,
+    **options,
 ) -> DataFrame:
-    """Words found in ``dictionary``(word, labels array, freq) and the best labels per log row.
+    """Words found in ``dictionary``(word, labels array) and the best labels per log row.
 
     Without a ``key`` equal rows are handled once and handed out as often as they occur. The
     labels of a row travel as arrays and are exploded only where the row's terms lie.
@@ -57,9 +57,9 @@ def _score_log(
         key = list(dict.fromkeys([*key, "imei", "key_word"]))
         rows = log.select(*key).withColumn("_copies", F.lit(1).cast("bigint"))
     carried = [*key, "_copies"]
-    cut = segment(rows, "key_word", "_words", lexicon=lexicon, simplify=simplify, key="key_word")
+    cut = segment(rows, "key_word", "_words", lexicon=lexicon, simplify=simplify, key=key, **options)
     terms = cut.select(*carried, F.posexplode_outer("_words").alias("pos", "word"))
-    found = lookup_join(terms, dictionary, "word", "left", heat="freq", max_rows=SMALL_DICTIONARY_ROWS)
+    found = lookup_join(terms, dictionary, "word", "left")
     together = found.repartition(*[F.col(c) for c in key])
     nothing = F.lit(None)
     term = F.struct(
@@ -92,7 +92,7 @@ def _score_log(
 
 
 def _tagged(lexicon: DataFrame, keep: Column) -> DataFrame:
-    return lexicon.where(keep).select("word", "freq")
+    return lexicon.where(keep).select("word")
 
 
 def match_labels(
@@ -104,15 +104,16 @@ def match_labels(
     key: Sequence[str] | None = None,
     simplify: Mapping[str, str] | None = None,
     by_lexicon: bool = False,
+    **options,
 ) -> DataFrame:
     """(imei, key_word, words, labels): the noun terms of each log row that are in the index
     (word, label) and the row's ``k`` best labels as (label, n).
 
-    Words of ``fanout`` or more labels are not used."""
+    Words of ``fanout`` or more labels are not used; ``options`` go to the segmentation."""
     label_type = index.schema["label"].dataType.simpleString()
     nouns = _tagged(lexicon, keep_nature(min_len=1))
     dictionary = max_label_fanout(index, fanout).join(nouns, "word")
-    return _score_log(log, dictionary, label_type, k, key, lexicon if by_lexicon else None, simplify)
+    return _score_log(log, dictionary, label_type, k, key, lexicon if by_lexicon else None, simplify, **options)
 
 
 def match_tags(
@@ -129,7 +130,7 @@ def match_tags(
     own = dedupe_map(tags.where(F.col("taglayer") != ""), "word", "taglayer")
     terms = _tagged(lexicon, keep_nature(prefixes=SEARCH_NATURES))
     labels = F.when(F.col("taglayer").isNotNull(), F.array("taglayer")).otherwise(F.array().cast("array<string>"))
-    dictionary = terms.join(own, "word", "left").select("word", "freq", labels.alias("labels"))
+    dictionary = terms.join(own, "word", "left").select("word", labels.alias("labels"))
     return _score_log(log, dictionary, "string", k, key, lexicon if by_lexicon else None, simplify)
 
 
@@ -173,7 +174,7 @@ def match_classes(
 def top_label(matched: DataFrame, labels: str = "class_names", keep_empty: bool = False) -> DataFrame:
     """(label, imei_count): log rows per label. ``keep_empty`` counts rows without a label as ''."""
     listed = F.when(F.size(labels) > 0, F.col(labels)).otherwise(F.array(F.lit(""))) if keep_empty else F.col(labels)
-    return matched.select(F.explode(listed).alias("label")).groupBy("label").agg(F.count("*").cast("int").alias("imei_count"))
+    return matched.select(F.explode(listed).alias("label")).groupBy("label").agg(F.count("*").alias("imei_count"))
 
 
 def tag_rollup(matched: DataFrame, tags: str = "labels", depth: int = 3, keep_empty: bool = False) -> DataFrame:
@@ -181,18 +182,5 @@ def tag_rollup(matched: DataFrame, tags: str = "labels", depth: int = 3, keep_em
     listed = F.when(F.size(tags) > 0, F.col(tags)).otherwise(F.array(F.lit(""))) if keep_empty else F.col(tags)
     paths = matched.select(F.explode(listed).alias("path"))
     levels = paths.groupBy("path").agg(F.count("*").alias("n")).select(F.explode(tag_prefixes("path", depth)).alias("tag"), "n")
-    return levels.groupBy("tag").agg(F.sum("n").cast("int").alias("cnt"))
-
-
-__all__ = [
-    "explode_tokens",
-    "label_scores",
-    "lookup_labels",
-    "match_classes",
-    "match_labels",
-    "match_tags",
-    "tag_rollup",
-    "top_label",
-    "word2label",
-    "word_classes",
-]
+    return levels.groupBy("tag").agg(F.sum("n").alias("cnt"))
+

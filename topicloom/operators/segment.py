@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicloom.functions.text import DEFAULT_PATTERN, letter_runs, to_half_width, to_simplified
-from topicloom.operators.skew import SMALL_ROWS, fits, lookup_join
+from topicloom.operators.skew import BROADCAST_BYTES, lookup_join, table_bytes
+from topicloom.session import cut_lineage
 
-# Runs of letters, where a run of Han characters is a run of its own.
-HAN_PATTERN = r"\p{IsHan}+|[\p{L}&&[^\p{IsHan}]]+"
+# Pieces of one run: Han characters, and whatever else the pattern allows.
+PIECES = r"\p{IsHan}+|[^\p{IsHan}]+"
 HAS_HAN = r"\p{IsHan}"
 UNKNOWN_NATURE = "x"
 USER_WORD_FREQ = 1024
@@ -33,63 +34,65 @@ def segment(
     lexicon: DataFrame | None = None,
     simplify: Mapping[str, str] | None = None,
     normalize: bool = True,
-    key: str = "id",
-    max_word: int = 8,
+    key: str | Sequence[str] = "id",
     pattern: str = DEFAULT_PATTERN,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add the ordered words of each text as an array column.
 
-    Spaced scripts are cut by ``pattern`` inside the JVM. With a lexicon, runs of Han
-    characters are cut by longest match: against a broadcast word set when the lexicon's
-    Han words are few enough, by joining candidate substrings otherwise (then ``key`` must
-    identify the rows).
+    Spaced scripts are cut by ``pattern`` inside the JVM. With a lexicon, the Han characters in each
+    of its runs are cut by longest match, up to the lexicon's longest word: against a broadcast
+    word set when the lexicon's Han words take no more than ``max_bytes``, by joining candidate
+    substrings otherwise. Both give the same words. ``key`` names columns that come with a row;
+    equal rows stay apart.
     """
     source = normalized(text, simplify) if normalize else F.col(text)
     if lexicon is None:
         return df.withColumn(out, letter_runs(source, pattern))
-    han_words = lexicon.where(F.col("word").rlike(HAS_HAN)).select("word").distinct()
-    if not fits(han_words, SMALL_ROWS):
-        return _segment_by_join(df, source, out, han_words, key, max_word)
-    return _segment_by_set(df, source, out, han_words, pattern)
+    han_words = cut_lineage(lexicon.where(F.col("word").rlike(HAS_HAN)).select(F.lower("word").alias("word")).distinct())
+    runs = F.flatten(F.transform(letter_runs(source, pattern), lambda run: F.regexp_extract_all(run, F.lit(PIECES), F.lit(0))))
+    longest = han_words.agg(F.max(F.length("word"))).first()[0]
+    if longest is None:
+        return df.withColumn(out, F.flatten(F.transform(runs, _single_characters)))
+    if table_bytes(han_words) > max_bytes:
+        return _segment_by_join(df, runs, out, han_words, longest)
+    return _segment_by_set(df, runs, out, han_words, longest)
 
 
-def _longest_cuts(run: str, is_word, max_word: int) -> list[str]:
+def _single_characters(run: Column) -> Column:
+    """A Han run without any known word falls into its characters."""
+    return F.when(run.rlike("^" + HAS_HAN), F.split(run, "")).otherwise(F.array(run))
+
+
+def _longest_cuts(run: str, words: set[str], longest: int) -> list[str]:
     cuts, at = [], 0
     while at < len(run):
-        size = next((n for n in range(min(max_word, len(run) - at), 1, -1) if is_word(run[at : at + n])), 1)
+        size = next((n for n in range(min(longest, len(run) - at), 1, -1) if run[at : at + n] in words), 1)
         cuts.append(run[at : at + size])
         at += size
     return cuts
 
 
-def _segment_by_set(df: DataFrame, source: Column, out: str, han_words: DataFrame, pattern: str) -> DataFrame:
-    spark = df.sparkSession
-    words = {row[0] for row in han_words.toLocalIterator()}  # at most SMALL_ROWS, checked
-    if not words:
-        return df.withColumn(out, letter_runs(source, HAN_PATTERN))
-    longest = max(map(len, words))
-    shared = spark.sparkContext.broadcast(words)
+def _segment_by_set(df: DataFrame, runs: Column, out: str, han_words: DataFrame, longest: int) -> DataFrame:
+    words = {row[0] for row in han_words.toLocalIterator()}  # of bounded size, checked
+    shared = df.sparkSession.sparkContext.broadcast(words)
 
     @F.pandas_udf("array<string>")
     def cut_runs(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known = shared.value
-        for runs in batches:
-            yield runs.map(
-                lambda items: None
-                if items is None
-                else [
-                    cut
-                    for run in items
-                    for cut in (_longest_cuts(run, known.__contains__, longest) if _starts_han(run) else [run])
-                ]
-            )
+        for rows in batches:
+            # Each distinct run of a batch is cut once.
+            cuts: dict[str, list[str]] = {}
+            for items in rows:
+                for run in () if items is None else items:
+                    if run not in cuts:
+                        cuts[run] = _longest_cuts(run, known, longest) if _starts_han(run) else [run]
+            yield rows.map(lambda items: None if items is None else [cut for run in items for cut in cuts[run]])  # noqa: B023
 
     # Only texts that hold Han characters travel to Python.
-    runs = letter_runs(source, HAN_PATTERN)
-    han_runs = F.when(source.rlike(HAS_HAN), runs)
     return (
         df.withColumn("_runs", runs)
-        .withColumn("_cuts", cut_runs(F.when(source.rlike(HAS_HAN), han_runs)))
+        .withColumn("_cuts", cut_runs(F.when(F.exists("_runs", lambda run: run.rlike("^" + HAS_HAN)), F.col("_runs"))))
         .withColumn(out, F.coalesce("_cuts", "_runs"))
         .drop("_runs", "_cuts")
     )
@@ -107,52 +110,52 @@ def _starts_han(run: str) -> bool:
     )
 
 
-def _segment_by_join(
-    df: DataFrame, source: Column, out: str, han_words: DataFrame, key: str, max_word: int
-) -> DataFrame:
-    """Longest match without holding the lexicon anywhere: candidates meet it in a join."""
-    runs = df.select(F.col(key).alias("_key"), F.posexplode(letter_runs(source, HAN_PATTERN)).alias("_run", "_text"))
+def _segment_by_join(df: DataFrame, runs: Column, out: str, han_words: DataFrame, longest: int) -> DataFrame:
+    """Longest match without holding the lexicon anywhere: candidates meet it in a join.
+
+    Rows are numbered and written down first, so that rows which look alike keep their own words.
+    """
+    rows = cut_lineage(df.withColumn("_key", F.monotonically_increasing_id()).withColumn("_runs", runs))
+    pieces = rows.select("_key", F.posexplode("_runs").alias("_run", "_text"))
     spot = F.sequence(F.lit(1), F.length("_text"))
-    # Substrings of 2..max_word characters at each place; a single character always matches.
+    # Substrings of up to ``longest`` characters at each place; a single character always matches.
     spans = F.flatten(
         F.transform(
             spot,
             lambda p: F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(max_word), F.length("_text") - p + 1)),
+                F.sequence(F.lit(1), F.least(F.lit(longest), F.length("_text") - p + 1)),
                 lambda n: F.struct(p.alias("at"), n.alias("n"), F.substr(F.col("_text"), p, n).alias("word")),
             ),
         )
     )
-    han = runs.where(F.col("_text").rlike("^" + HAS_HAN))
+    han = pieces.where(F.col("_text").rlike("^" + HAS_HAN))
     found = han.select("_key", "_run", F.explode(spans).alias("s")).select("_key", "_run", "s.*")
     single = found.where("n = 1").select("_key", "_run", "at", "n", "word")
-    known = lookup_join(found.where("n > 1"), han_words, "word", "left_semi").select("_key", "_run", "at", "n", "word")
+    known = found.where("n > 1").join(han_words, "word", "left_semi").select("_key", "_run", "at", "n", "word")
     best = single.unionByName(known).groupBy("_key", "_run", "at").agg(F.max_by("word", "n").alias("word"))
     per_run = best.groupBy("_key", "_run").agg(F.sort_array(F.collect_list(F.struct("at", "word"))).alias("spots"))
     # Walk the places: keep one, skip as many as its word is long.
-    walk = F.filter(
-        F.aggregate(
-            "spots",
-            F.struct(F.lit(1).alias("next"), F.array().cast("array<string>").alias("kept")),
-            lambda s, x: F.when(
-                x["at"] == s["next"],
-                F.struct(
-                    (s["next"] + F.length(x["word"])).alias("next"),
-                    F.concat(s["kept"], F.array(x["word"])).alias("kept"),
-                ),
-            ).otherwise(s),
-        )["kept"],
-        lambda w: w.isNotNull(),
-    )
+    walk = F.aggregate(
+        "spots",
+        F.struct(F.lit(1).alias("next"), F.array().cast("array<string>").alias("kept")),
+        lambda s, x: F.when(
+            x["at"] == s["next"],
+            F.struct(
+                (s["next"] + F.length(x["word"])).alias("next"),
+                F.concat(s["kept"], F.array(x["word"])).alias("kept"),
+            ),
+        ).otherwise(s),
+    )["kept"]
     cut = per_run.select("_key", "_run", walk.alias("_words"))
-    other = runs.where(~F.col("_text").rlike("^" + HAS_HAN)).select("_key", "_run", F.array("_text").alias("_words"))
-    rows = (
+    other = pieces.where(~F.col("_text").rlike("^" + HAS_HAN)).select("_key", "_run", F.array("_text").alias("_words"))
+    words = (
         cut.unionByName(other)
         .groupBy("_key")
         .agg(F.sort_array(F.collect_list(F.struct("_run", "_words"))).alias("_all"))
-        .select(F.col("_key").alias(key), F.flatten(F.transform("_all", lambda r: r["_words"])).alias(out))
+        .select("_key", F.flatten(F.transform("_all", lambda r: r["_words"])).alias(out))
     )
-    return df.join(rows, key, "left").withColumn(out, F.coalesce(out, F.array().cast("array<string>")))
+    empty = F.when(F.col("_runs").isNotNull(), F.array().cast("array<string>"))
+    return rows.join(words, "_key", "left").withColumn(out, F.coalesce(out, empty)).select(*df.columns, out)
 
 
 def explode_tokens(df: DataFrame, key: str = "id", words: str = "words") -> DataFrame:
@@ -165,10 +168,9 @@ def explode_tokens(df: DataFrame, key: str = "id", words: str = "words") -> Data
 
 def tag_tokens(tokens: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Add the part-of-speech tag of each token; words outside the lexicon get ``x``."""
-    tags = lexicon.select("word", "nature", "freq")
+    tags = lexicon.select("word", "nature")
     return (
-        lookup_join(tokens, tags, "word", "left", heat="freq")
-        .drop("freq")
+        lookup_join(tokens, tags, "word", "left")
         .withColumn("nature", F.coalesce("nature", F.lit(UNKNOWN_NATURE)))
     )
 

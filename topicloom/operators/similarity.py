@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from topicloom.functions.vectors import vec_norm
 from topicloom.operators.skew import dense_index
+from topicloom.session import cut_lineage
 
 BLOCK_ROWS = 2048
 MAX_PIVOTS = 1024
@@ -104,7 +105,8 @@ def _blocked(
                     cell, near = cells.home(np.stack(b["u"].to_numpy()))
                     yield b.assign(cell=cell.astype("int32"), near=near)
 
-        homes = right.mapInPandas(place, "id string, u array<double>, cell int, near double")
+        # Written down: placed twice, a row whose last bits differ could land in a cell that no plan knows.
+        homes = cut_lineage(right.mapInPandas(place, "id string, u array<double>, cell int, near double"))
         reach = homes.groupBy("cell").agg(F.min("near").alias("m")).collect()  # one row per pivot
         radius = np.full(len(pivots), -np.inf)
         for r in reach:
@@ -118,7 +120,7 @@ def _blocked(
                     yield b.assign(cells=[np.flatnonzero(v).astype("int32") for v in yes])
 
         visits = left.mapInPandas(route, "id string, u array<double>, cells array<int>")
-        routes = visits.select("id", "u", F.explode("cells").alias("cell"))
+        routes = cut_lineage(visits).select("id", "u", F.explode("cells").alias("cell"))
 
     right_blocks = _block_counts(homes, block_rows)
     left_blocks = {c: b for c, b in _block_counts(routes, block_rows).items() if c in right_blocks}
@@ -131,6 +133,9 @@ def _blocked(
 
     def blocks(rows: DataFrame, own: str, other: str) -> DataFrame:
         """Each row in its block, once for every block of the other side."""
+        if pivots is None:  # one cell
+            number = {"lbs": left_blocks[0], "rbs": right_blocks[0]}
+            return rows.withColumns({"own": F.lit(number[own]), "other": F.lit(number[other])})
         counts = plan.select("cell", F.col(own).alias("own"), F.col(other).alias("other"))
         return rows.join(F.broadcast(counts), "cell")
 

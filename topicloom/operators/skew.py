@@ -6,35 +6,54 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from topicloom.session import cut_lineage
 
 # Rows of one key that one task may take before the key is split.
 ROWS_PER_SALT = 2_000_000
-# Keys that may be split. The list is broadcast, so its length is fixed here; by the
-# pigeonhole rule a key outside it holds less than one in HOT_KEYS of all rows.
-HOT_KEYS = 1_000
-# Largest lookup table that is broadcast, in rows of a few short columns.
-SMALL_ROWS = 500_000
-# The same for rows that carry one 200-wide vector each.
-SMALL_VECTOR_ROWS = 300_000
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than it must."""
-    return df.limit(max_rows + 1).count() <= max_rows
+# A key is split once it holds more than its share of so many pieces per shuffle partition; so at
+# most that many keys are split, whatever the data.
+PIECES_PER_PARTITION = 4
+# Largest lookup table that is broadcast.
+BROADCAST_BYTES = 64 << 20
+
+
+def _value_bytes(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0))
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.NumericType, T.BooleanType)):
+            return F.coalesce(F.size(value) * 8, F.lit(0))
+        parts = F.transform(value, lambda x: _value_bytes(x, kind.elementType) + 16)
+        return F.coalesce(F.aggregate(parts, F.lit(0), lambda s, x: s + x), F.lit(0))
+    if isinstance(kind, T.StructType):
+        total = F.lit(0)
+        for field in kind.fields:
+            total = total + _value_bytes(value[field.name], field.dataType)
+        return total
+    return F.lit(8)
+
+
+def table_bytes(df: DataFrame) -> int:
+    """Size of a table in memory, from the lengths of its values; read it only if it is cheap to read."""
+    row = F.lit(32)
+    for field in df.schema.fields:
+        row = row + 16 + _value_bytes(F.col(f"`{field.name}`"), field.dataType)
+    return df.agg(F.sum(row.cast("bigint"))).first()[0] or 0
 
 
 def hot_keys(counts: DataFrame, key: str, n: str, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """The heaviest keys of a (key, n) table with the number of pieces each is cut in."""
-    return (
-        counts.where(F.col(n) > rows_per_salt)
-        .groupBy(key)
-        .agg(F.max(n).alias("_rows"))
-        .orderBy(F.desc("_rows"), key)
-        .limit(HOT_KEYS)
-        .select(key, F.ceil(F.col("_rows") / rows_per_salt).cast("int").alias("_pieces"))
-    )
+    """The heavy keys of a (key, n) table with the number of pieces each is cut in.
+
+    The size of a piece follows from the total, so the list is short enough to be broadcast and no
+    heavy key is left out of it.
+    """
+    partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per_key = counts.groupBy(key).agg(F.max(n).alias("_rows"))
+    share = F.ceil(per_key.agg(F.sum("_rows")).scalar() / (PIECES_PER_PARTITION * partitions))
+    size = F.greatest(F.lit(rows_per_salt), share)
+    return per_key.where(F.col("_rows") > size).select(key, F.ceil(F.col("_rows") / size).cast("int").alias("_pieces"))
 
 
 def salted_join(
@@ -47,9 +66,9 @@ def salted_join(
 ) -> DataFrame:
     """Equi-join whose hot left keys are cut in pieces and met by copies of the right rows.
 
-    ``heat`` names a column of ``right`` with the (expected) number of left rows of the key;
-    without it the left side is counted. Results equal the plain join for inner, left,
-    left_semi and left_anti.
+    ``heat`` names a column of ``right`` with the number of left rows of the key; without it the
+    left side is counted. Meant for sides that come grouped by the key, whose shuffles adaptive
+    execution can't split. Results equal the plain join for inner, left, left_semi and left_anti.
     """
     if heat is None:
         hot = hot_keys(left.groupBy(key).agg(F.count("*").alias("_n")), key, "_n", rows_per_salt)
@@ -68,18 +87,14 @@ def salted_join(
     return cut_left.join(copied_right, [key, "_salt"], how).drop("_salt")
 
 
-def lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    how: str = "inner",
-    heat: str | None = None,
-    max_rows: int = SMALL_ROWS,
-) -> DataFrame:
-    """Join to a lookup table: broadcast when its counted size allows, salted otherwise."""
-    if fits(right, max_rows):
-        return left.join(F.broadcast(right), key, how)
-    return salted_join(left, right, key, how, heat)
+def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Join to a lookup table, which is computed once and written down.
+
+    It is broadcast when its size allows. Otherwise both sides are shuffled for this join alone, so
+    adaptive execution sees the rows of each key as they are and splits hot ones.
+    """
+    right = cut_lineage(right)
+    return left.join(F.broadcast(right) if table_bytes(right) <= max_bytes else right, key, how)
 
 
 def top_per_group(
@@ -122,3 +137,16 @@ def dense_index(df: DataFrame, order: Sequence[Column | str], name: str = "index
         .withColumn(name, F.col("_start") + F.col("_place"))
         .drop("_part", "_place", "_start")
     )
+
+
+def ranked_within(df: DataFrame, group: Sequence[str] | str, order: Sequence[Column], rank: str = "rank") -> DataFrame:
+    """Rows with their rank (from 1) in their group, by a total order, however large a group is.
+
+    The rows are sorted by group and order over range partitions, which may cut a group, and
+    numbered as a whole; a group's first number is then taken off.
+    """
+    columns = df.columns
+    group = [group] if isinstance(group, str) else list(group)
+    numbered = dense_index(df, [*group, *order], "_nth").withColumn("_group", F.struct(*group))
+    first = numbered.groupBy("_group").agg(F.min("_nth").alias("_first"))
+    return lookup_join(numbered, first, "_group").select(*columns, (F.col("_nth") - F.col("_first") + 1).alias(rank))

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Transformer
+from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -16,7 +21,7 @@ from topicloom.operators.skew import dense_index, salted_join
 
 
 def word_nature_count(tagged: DataFrame) -> DataFrame:
-    return tagged.groupBy("word", "nature").agg(F.count("*").cast("int").alias("cnt"))
+    return tagged.groupBy("word", "nature").agg(F.count("*").alias("cnt"))
 
 
 def term_frequency(docs: DataFrame, key: str = "id", words: str = "words") -> DataFrame:
@@ -26,6 +31,27 @@ def term_frequency(docs: DataFrame, key: str = "id", words: str = "words") -> Da
     return explode_tokens(docs, key, words).groupBy(key, "word").agg(F.count("*").alias("tf"))
 
 
+def token_counts(docs: DataFrame, key: str = "id", words: str = "words") -> DataFrame:
+    """(id, word, tf) like :func:`term_frequency`, counted inside each row: no shuffle, and the words
+    of a document stay in its task."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            terms = lists.flatten().dictionary_encode()
+            sizes = np.diff(lists.offsets.to_numpy())
+            rows = np.repeat(np.arange(len(lists)), sizes)
+            width = max(len(terms.dictionary), 1)
+            pairs, tf = np.unique(rows * width + terms.indices.to_numpy(zero_copy_only=False), return_counts=True)
+            yield pa.record_batch(
+                [batch.column(0).take(pa.array(pairs // width)), terms.dictionary.take(pa.array(pairs % width)), pa.array(tf.astype(np.int64))],
+                names=[key, "word", "tf"],
+            )
+
+    listed = docs.select(key, F.coalesce(F.col(words), F.array().cast("array<string>")).alias(words))
+    return listed.mapInArrow(count, f"`{key}` {docs.schema[key].dataType.simpleString()}, word string, tf long")
+
+
 def document_frequency(tf: DataFrame) -> DataFrame:
     """(word, df, tf): number of documents and of tokens per word.
 
@@ -130,22 +156,28 @@ def term_vectors(docs: DataFrame, key: str = "id", words: str = "words", index:
     The vocabulary stays a table; it is never held by the driver or by one task.
     """
     index = term_index(docs, words) if index is None else index
-    width = index.agg(F.count("*").cast("int")).scalar()
+    width = index.agg(F.count("*")).scalar()
     terms = salted_join(term_frequency(docs, key, words), index, "word", heat="heat")
-    pairs = F.sort_array(F.collect_list(F.struct(F.col("index").cast("int").alias("i"), F.col("tf").cast("double").alias("v"))))
+    pairs = F.sort_array(F.collect_list(F.struct(F.col("index").alias("i"), F.col("tf").cast("double").alias("v"))))
     vectors = terms.groupBy(key).agg(pairs.alias("p"))
     return docs.select(key).join(vectors, key, "left").select(
         key,
         width.alias("num_features"),
-        F.coalesce(F.col("p.i"), F.array().cast("array<int>")).alias("indices"),
+        F.coalesce(F.col("p.i"), F.array().cast("array<bigint>")).alias("indices"),
         F.coalesce(F.col("p.v"), F.array().cast("array<double>")).alias("values"),
     )
 
 
+@F.udf(VectorUDT())
+def ml_vector(num_features, indices, values):
+    """The cells of :func:`term_vectors` as the vector type that ML stages read."""
+    return SparseVector(num_features, indices, values)
+
+
 class TermVectors(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """ML-pipeline form of :func:`term_vectors`: adds a struct(num_features, indices, values)."""
+    """ML-pipeline form of :func:`term_vectors`: adds a sparse vector column."""
 
-    numFeatures = Param(Params._dummy(), "numFeatures", "number of features (> 0)", TypeConverters.toInt)
+    numFeatures = Param(Params._dummy(), "numFeatures", "how many terms the vectors count", TypeConverters.toInt)
     keyCol = Param(Params._dummy(), "keyCol", "column that identifies the rows", TypeConverters.toString)
 
     @keyword_only
@@ -159,7 +191,7 @@ class TermVectors(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable,
 
     def setNumFeatures(self, value: int) -> TermVectors:
         if value <= 0:
-            raise ValueError("numFeatures must be > 0")
+            raise ValueError(f"a vector needs at least one feature, not {value}")
         return self._set(numFeatures=value)
 
     def setInputCol(self, value: str) -> TermVectors:
@@ -174,14 +206,8 @@ class TermVectors(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable,
     def transformSchema(self, schema: T.StructType) -> T.StructType:
         found = schema[self.getInputCol()].dataType
         if not isinstance(found, T.ArrayType):
-            raise TypeError(f"The input column must be ArrayType, but got {found}.")
-        cell = (
-            T.StructType()
-            .add("num_features", T.IntegerType())
-            .add("indices", T.ArrayType(T.IntegerType()))
-            .add("values", T.ArrayType(T.DoubleType()))
-        )
-        return T.StructType([*schema.fields, T.StructField(self.getOutputCol(), cell)])
+            raise TypeError(f"term vectors are made of word arrays, not of {found.simpleString()}")
+        return T.StructType([*schema.fields, T.StructField(self.getOutputCol(), VectorUDT())])
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         self.transformSchema(dataset.schema)
@@ -189,5 +215,5 @@ class TermVectors(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable,
         index = term_index(dataset, self.getInputCol())
         self.setNumFeatures(max(index.count(), 1))
         made = term_vectors(dataset, key, self.getInputCol(), index)
-        cell = F.struct("num_features", "indices", "values").alias(self.getOutputCol())
+        cell = ml_vector("num_features", "indices", "values").alias(self.getOutputCol())
         return dataset.join(made.select(key, cell), key)

@@ -109,33 +109,21 @@ def textrank(
         ]
     )
 
+    rank = _ranker(d, max_iter, tol, degree_norm, before, after)
+
     def score_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
-            names, documents = _coded(batch.column(1))
-            alphabetic = np.empty(len(names), np.int64)
-            alphabetic[np.argsort(np.array(names.to_pylist(), dtype=object))] = np.arange(len(names))
-            rows, picked, scores, ranks, sizes = [], [], [], [], []
-            for row, codes in documents:
-                own, seq = np.unique(codes, return_inverse=True)
-                word, other = _neighbour_pairs(seq, len(own), before, after)
-                word, other = word[word != other], other[word != other]
-                score = _iterate(word, other, len(own), d, max_iter, tol, degree_norm)
-                order = np.lexsort((alphabetic[own], -np.round(np.log(score), 9)))
-                n = len(own)
-                rows.append(np.full(n, row))
-                picked.append(own[order])
-                scores.append(score[order])
-                ranks.append(np.arange(1, n + 1))
-                sizes.append(np.full(n, n))
-            if rows:
+            names, ranked = rank(batch.column(1))
+            if ranked:
+                rows, picked, scores = zip(*ranked, strict=True)
+                sizes = np.array([len(p) for p in picked])
                 yield pa.record_batch(
                     [
-                        ids.take(pa.array(np.concatenate(rows))),
+                        batch.column(0).take(pa.array(np.repeat(rows, sizes))),
                         names.take(pa.array(np.concatenate(picked))),
                         pa.array(np.concatenate(scores)),
-                        pa.array(np.concatenate(ranks)),
-                        pa.array(np.concatenate(sizes)),
+                        pa.array(np.concatenate([np.arange(1, n + 1) for n in sizes])),
+                        pa.array(np.repeat(sizes, sizes)),
                     ],
                     names=[key, "word", "score", "rank", "n_words"],
                 )
@@ -143,14 +131,63 @@ def textrank(
     return _listed(docs, key, words).mapInArrow(score_batches, schema)
 
 
-def textrank_by_doc(docs: DataFrame, key: str = "id", words: str = "words", msg: str = "msg", **options) -> DataFrame:
-    """(id, msg, textrank): per document its words and scores, best first."""
-    scores = textrank(docs, key, words, **options)
-    item = F.struct("rank", "word", "score")
-    lists = scores.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("_r"))
-    ranked = F.transform("_r", lambda x: F.struct(x["word"], x["score"]))
-    empty = F.array().cast("array<struct<word:string,score:double>>")
-    return docs.join(lists, key, "left").select(key, msg, F.coalesce(ranked, empty).alias("textrank"))
+def _ranker(d: float, max_iter: int, tol: float, degree_norm: bool, before: int, after: int):
+    """A function from a list column to (distinct words, [(row, word codes by falling score, scores)])."""
+
+    def rank(lists: pa.ListArray) -> tuple[pa.Array, list[tuple[int, np.ndarray, np.ndarray]]]:
+        names, documents = _coded(lists)
+        alphabetic = np.empty(len(names), np.int64)
+        alphabetic[np.argsort(np.array(names.to_pylist(), dtype=object))] = np.arange(len(names))
+        ranked = []
+        for row, codes in documents:
+            own, seq = np.unique(codes, return_inverse=True)
+            word, other = _neighbour_pairs(seq, len(own), before, after)
+            word, other = word[word != other], other[word != other]
+            score = _iterate(word, other, len(own), d, max_iter, tol, degree_norm)
+            order = np.lexsort((alphabetic[own], -np.round(np.log(score), 9)))
+            ranked.append((row, own[order], score[order]))
+        return names, ranked
+
+    return rank
+
+
+def textrank_by_doc(
+    docs: DataFrame,
+    key: str = "id",
+    words: str = "words",
+    msg: str = "msg",
+    d: float = 0.85,
+    max_iter: int = 20,
+    tol: float = 1e-5,
+    degree_norm: bool = False,
+    before: int = BEFORE,
+    after: int = AFTER,
+) -> DataFrame:
+    """(id, msg, textrank): per document its words and scores, best first. All of it stays in the row."""
+    rank = _ranker(d, max_iter, tol, degree_norm, before, after)
+    item = pa.struct([("word", pa.string()), ("score", pa.float64())])
+
+    def list_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, ranked = rank(batch.column(2))
+            sizes = np.zeros(batch.num_rows, np.int64)
+            for row, picked, _ in ranked:
+                sizes[row] = len(picked)
+            codes = np.concatenate([p for _, p, _ in ranked]) if ranked else np.zeros(0, np.int64)
+            scores = np.concatenate([s for _, _, s in ranked]) if ranked else np.zeros(0)
+            items = pa.StructArray.from_arrays([names.take(pa.array(codes)).cast(pa.string()), pa.array(scores)], fields=list(item))
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), items)
+            yield pa.record_batch([batch.column(0), batch.column(1), lists], names=[key, msg, "textrank"])
+
+    schema = T.StructType(
+        [
+            T.StructField(key, docs.schema[key].dataType),
+            T.StructField(msg, docs.schema[msg].dataType),
+            T.StructField("textrank", T.ArrayType(T.StructType([T.StructField("word", T.StringType()), T.StructField("score", T.DoubleType())]))),
+        ]
+    )
+    listed = docs.select(key, msg, F.coalesce(F.col(words), F.array().cast("array<string>")).alias(words))
+    return listed.mapInArrow(list_batches, schema)
 
 
 def textrank_total(scores: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from topicloom.functions.text import NARROW, WIDE
 from topicloom.operators.filters import OTHER_STOP_WORDS, PLACE_SUFFIXES, SYMBOLS
-from topicloom.plans.inputs import ACCENTS
+from topicloom.plans.inputs import ACCENTS, HAN_LETTERS, HAN_MIN_FREQ
 from topicloom.plans.queries import PREFIXES, SUFFIXES, THRES, TOP_WORDS, TR_DIGITS, VOTES
 
 SQL: dict[str, str] = {}
@@ -86,14 +86,14 @@ CTE: dict[str, tuple[list[str], str]] = {
         ["lex", "pt"],
         f"SELECT word, vec FROM (SELECT word, {HASH} % (SELECT count(*) FROM embeddings) AS vec_id FROM lex WHERE nature = 'n') JOIN pt USING (vec_id)",
     ),
-    "pair": (["pt"], "SELECT a.vec_id, a.vec AS a, b.vec AS b FROM pt a JOIN pt b ON b.vec_id = a.vec_id + 1"),
+    "pair": (["pt"], "SELECT a.vec_id, a.vec AS a, b.vec AS b FROM pt a JOIN pt b ON b.vec_id = (a.vec_id + 1) % (SELECT count(*) FROM embeddings)"),
     "lp": (
         ["tok"],
         "SELECT DISTINCT word, label FROM (SELECT word, lang AS label FROM tok UNION ALL SELECT word, source FROM tok)",
     ),
     "log": (
         [],
-        f"SELECT CAST(conv_id AS VARCHAR) AS imei, turn, text AS key_word, {_words('text')} AS words FROM conversations WHERE role = 'user'",
+        f"SELECT CAST(conv_id AS VARCHAR) AS imei, turn, text AS key_word, {_words('text')} AS words FROM conversations",
     ),
     "lt": (["log"], "SELECT imei, turn, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS pos FROM log"),
     "score": (["lt", "lp"], "SELECT imei, turn, label, count(*) AS n FROM lt JOIN lp USING (word) GROUP BY ALL"),
@@ -114,10 +114,58 @@ CTE: dict[str, tuple[list[str], str]] = {
         "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY imei, turn ORDER BY n DESC, s_id) AS rank FROM "
         "(SELECT imei, turn, s_id, name, count(*) AS n FROM lt JOIN cd USING (word) JOIN hier ON hier.id = s_id GROUP BY ALL)) WHERE rank <= 5",
     ),
-    "wn": (["tag"], "SELECT word, nature, CAST(count(*) AS INTEGER) AS cnt FROM tag GROUP BY word, nature"),
+    "wn": (["tag"], "SELECT word, nature, count(*) AS cnt FROM tag GROUP BY word, nature"),
 }
 RECURSIVE = {"iter": "iter(k, it, s)"}
 
+
+def _han(text: str) -> str:
+    return f"translate({text}, 'abcdefghijklmnopqrstuvwxyz', {_q(HAN_LETTERS)})"
+
+
+def _walked(name: str, rows: str, keys: str) -> None:
+    """Longest match of the Han lexicon, place by place, in the distinct pieces of some words."""
+    CTE[f"{name}_piece"] = (
+        [*rows.split(), "han_lex"],
+        f"SELECT {keys}, pos, unnest(p) AS piece, generate_subscripts(p, 1) AS part FROM "
+        f"(SELECT {keys}, pos, regexp_extract_all({_han('word')}, '\\p{{Han}}+|[^\\p{{Han}}]+') AS p FROM {rows})",
+    )
+    CTE[f"{name}_spot"] = (
+        [f"{name}_piece"],
+        "SELECT piece, a AS place, max(n) AS n FROM (SELECT piece, a, unnest(generate_series(2, least(40, length(piece) - a + 1))) AS n FROM "
+        f"(SELECT piece, unnest(generate_series(1, length(piece))) AS a FROM (SELECT DISTINCT piece FROM {name}_piece WHERE regexp_matches(piece, '^\\p{{Han}}')))) "
+        "WHERE substr(piece, a, n) IN (SELECT word FROM han_lex) GROUP BY ALL",
+    )
+    CTE[f"{name}_walk"] = (
+        [f"{name}_piece", f"{name}_spot"],
+        f"SELECT DISTINCT piece, 1::BIGINT, CASE WHEN regexp_matches(piece, '^\\p{{Han}}') THEN coalesce(n, 1) ELSE length(piece) END FROM {name}_piece "
+        f"LEFT JOIN (SELECT piece, n FROM {name}_spot WHERE place = 1) USING (piece) "
+        f"UNION ALL SELECT w.piece, w.place + w.n, coalesce(s.n, 1) FROM {name}_walk w LEFT JOIN {name}_spot s ON s.piece = w.piece AND s.place = w.place + w.n "
+        "WHERE w.place + w.n <= length(w.piece)",
+    )
+    RECURSIVE[f"{name}_walk"] = f"{name}_walk(piece, place, n)"
+    CTE[f"{name}_tok"] = (
+        [f"{name}_walk", f"{name}_piece"],
+        f"SELECT {keys}, substr(piece, place, n) AS word, row_number() OVER (PARTITION BY {keys} ORDER BY pos, part, place) - 1 AS pos FROM {name}_piece JOIN {name}_walk USING (piece)",
+    )
+
+
+CTE["han_lex"] = (["lex"], f"SELECT {_han('word')} AS word, nature, freq FROM lex WHERE freq >= {HAN_MIN_FREQ} AND regexp_full_match(word, '[a-z]+')")
+CTE["log2"] = (
+    ["log"],
+    "SELECT imei, turn, words FROM log UNION ALL SELECT imei || 'again', turn, words FROM log",
+)
+CTE["lt2"] = (["log2"], "SELECT imei, turn, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS pos FROM log2")
+_walked("hd", "tok", "id")
+_walked("hl", "lt2", "imei, turn")
+CTE["han_lp"] = (["lp"], f"SELECT {_han('word')} AS word, label FROM lp")
+CTE["han_few"] = (["han_lp", "han_lex"], "SELECT word FROM han_lp JOIN han_lex USING (word) WHERE nature LIKE 'n%' GROUP BY word HAVING count(*) < 20")
+CTE["han5"] = (
+    ["hl_tok", "han_lp", "han_few"],
+    "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY imei, turn ORDER BY n DESC, label) AS rank FROM "
+    "(SELECT imei, turn, label, count(*) AS n FROM hl_tok JOIN han_few USING (word) JOIN han_lp USING (word) GROUP BY ALL)) WHERE rank <= 5",
+)
+
 DOT = "list_dot_product"
 
 
@@ -213,7 +261,7 @@ _check(
     "SELECT c_custkey, c_name, c_acctbal, CASE WHEN c_acctbal < 0 THEN 'd2' ELSE 'd1' END AS stat_date FROM customer",
 )
 _check("s9_create_schema", "SELECT s_suppkey AS key, s_name AS name, s_acctbal AS balance, s_acctbal > 0 AS positive FROM supplier")
-_check("s10_save_load_embeddings", f"SELECT id AS word, CAST(len(vec) AS INTEGER) AS width, round(sqrt({DOT}(vec, vec)), 5) AS norm FROM pt", "pt")
+_check("s10_save_load_embeddings", "SELECT id AS word, CAST(i AS INTEGER) AS i, round(x, 6) AS x FROM (SELECT id, unnest(vec) AS x, generate_subscripts(vec, 1) - 1 AS i FROM pt)", "pt")
 
 # ---------------------------------------------------------------- text functions
 _widened = f"translate(msg, {_q(NARROW)}, {_q(WIDE)})"
@@ -224,6 +272,13 @@ _check(
     "doc",
 )
 _check("t3_segment", "SELECT id, array_to_string(words, ',') AS words FROM doc", "doc")
+_check(
+    "t3_segment_han",
+    "SELECT doc.id, coalesce(w, '') AS words FROM doc LEFT JOIN (SELECT id, string_agg(word, ',' ORDER BY pos) AS w FROM hd_tok GROUP BY id) USING (id)",
+    "doc",
+    "hd_tok",
+)
+SQL["t3_segment_han_joined"] = SQL["t3_segment_han"]
 _check(
     "t4_segment_with_nature",
     "SELECT id, CAST(pos AS INTEGER) AS pos, word, CASE WHEN freq > 1 THEN nature ELSE 'x' END AS nature FROM tok JOIN lex USING (word)",
@@ -313,9 +368,8 @@ _check(
 )
 _check(
     "j5_missing_members",
-    "SELECT class_id, member FROM m1_mem WHERE member NOT IN (SELECT lpad(id, 9, '0') FROM doc WHERE lang = 'en')",
+    "SELECT class_id, member FROM m1_mem WHERE member NOT IN (SELECT lpad(CAST(doc_id AS VARCHAR), 9, '0') FROM labels)",
     "m1_mem",
-    "doc",
 )
 _check(
     "j6_anti_words",
@@ -325,6 +379,7 @@ _check(
     "part_word",
 )
 _check("j7_semi_words", "SELECT id, count(*) AS n FROM tok JOIN df USING (word) WHERE df BETWEEN 2 AND 50 GROUP BY id", "tok", "df")
+_check("j8_cosine_self_join_pivots", "SELECT id, partner, round(sim, 6) AS sim FROM m0_pairs", "m0_pairs")
 _check("j8_cosine_self_join", "SELECT id, partner, round(sim, 6) AS sim FROM m0_pairs", "m0_pairs")
 
 # ---------------------------------------------------------------- aggregations
@@ -342,30 +397,31 @@ _check(
 )
 _check("a6_corpus_tfidf", "SELECT word, tf, df, round(tf * ln(CAST(n + 1 AS DOUBLE) / (df + 1)), 6) AS tfidf FROM df, n", "df", "n")
 _check("a7_textrank_total", f"SELECT word, round(ln(trval), {TR_DIGITS}) AS trval FROM trsum", "trsum")
+_by_weight = "row_number() OVER (PARTITION BY class_id ORDER BY round(weight, 6) DESC, word)"
 _check(
     "a8_cluster_words",
-    "SELECT class_id, word, count(*) AS weight FROM m1_mem JOIN tok ON lpad(tok.id, 9, '0') = member GROUP BY class_id, word",
+    f"SELECT *, {_by_weight} AS rank FROM (SELECT class_id, word, count(*) AS weight FROM m1_mem JOIN tok ON lpad(tok.id, 9, '0') = member GROUP BY class_id, word)",
     "m1_mem",
     "tok",
 )
 _check(
     "a8_cluster_words_rules",
-    "SELECT class_id, word, count(*) AS weight FROM m2_mem JOIN tok ON lpad(tok.id, 9, '0') = member WHERE size > 2 AND length(word) % 7 <> 0 GROUP BY class_id, word",
+    f"SELECT *, {_by_weight} AS rank FROM (SELECT class_id, word, count(*) AS weight FROM m2_mem JOIN tok ON lpad(tok.id, 9, '0') = member WHERE size > 2 AND length(word) % 7 <> 0 GROUP BY class_id, word)",
     "m2_mem",
     "tok",
 )
 _check(
     "a8_cluster_words_weighted",
-    "SELECT class_id, word, round(sum(weight), 4) AS weight FROM m1_mem JOIN tfidf ON lpad(tfidf.id, 9, '0') = member GROUP BY class_id, word",
+    f"SELECT class_id, word, round(weight, 4) AS weight, {_by_weight} AS rank FROM (SELECT class_id, word, sum(weight) AS weight FROM m1_mem JOIN tfidf ON lpad(tfidf.id, 9, '0') = member GROUP BY class_id, word)",
     "m1_mem",
     "tfidf",
 )
-_check("a9_word2label", "SELECT word, lang AS label, count(*) AS cnt FROM tok GROUP BY word, lang", "tok")
+_check("a9_word2label", "SELECT *, row_number() OVER (PARTITION BY word ORDER BY cnt DESC, label) AS rank FROM (SELECT word, lang AS label, count(*) AS cnt FROM tok GROUP BY word, lang)", "tok")
 _check("a10_label_scores", "SELECT imei, turn, label, n FROM score", "score")
-_check("a11_top_label", "SELECT name AS label, CAST(count(*) AS INTEGER) AS imei_count FROM class5 GROUP BY name", "class5")
+_check("a11_top_label", "SELECT name AS label, count(*) AS imei_count FROM class5 GROUP BY name", "class5")
 _check(
     "a12_tag_rollup",
-    "SELECT tag, CAST(count(*) AS INTEGER) AS cnt FROM (SELECT unnest([split_part(taglayer, '-', 1), split_part(taglayer, '-', 1) || '-' || split_part(taglayer, '-', 2), taglayer]) AS tag FROM tag5) GROUP BY tag",
+    "SELECT tag, count(*) AS cnt FROM (SELECT unnest([split_part(taglayer, '-', 1), split_part(taglayer, '-', 1) || '-' || split_part(taglayer, '-', 2), taglayer]) AS tag FROM tag5) GROUP BY tag",
     "tag5",
 )
 _check(
@@ -429,9 +485,9 @@ _check(
 )
 _check(
     "v8_doc_vectors_tfidf",
-    "SELECT id, words, round(x0 / norm, 5) AS x0, round(x_last / norm, 5) AS x_last, round(ln(norm), 6) AS norm "
+    "SELECT id, words, round(x0 / nullif(norm, 0), 5) AS x0, round(x_last / nullif(norm, 0), 5) AS x_last, round(ln(nullif(norm, 0)), 6) AS norm "
     "FROM (SELECT id, string_agg(word, ',' ORDER BY rank) AS words FROM tfidf GROUP BY id HAVING count(*) > 3) "
-    f"JOIN {_vectors('w_dim', 'x * weight')} USING (id) WHERE norm > 0",
+    f"LEFT JOIN {_vectors('w_dim', 'x * weight')} USING (id)",
     "w_dim",
     "pt",
 )
@@ -456,7 +512,7 @@ _check("g6_greedy_matching", "SELECT id, partner FROM m0_kept", "m0_kept")
 _check("g7_merge_pairs", "SELECT id, size, round(norm, 5) AS norm, round(vec[1], 5) AS x0 FROM m1", "m1")
 _check("g7_merge_pairs_unit", "SELECT id, size, round(norm, 5) AS norm, round(vec[1], 6) AS x0 FROM u1", "u1")
 _check("g8_subject_clusters", "SELECT id, size, round(norm, 5) AS norm, round(vec[1], 5) AS x0 FROM m2", "m2")
-_check("g8_cluster_members", "SELECT id AS cid, ids FROM m2", "m2")
+_check("g8_cluster_members", "SELECT id AS cid, unnest(string_split(ids, '|')) AS member, generate_subscripts(string_split(ids, '|'), 1) AS rank FROM m2", "m2")
 _check("g9_assign_class_id", "SELECT id, class_id, size FROM m1_class", "m1_class")
 
 # ---------------------------------------------------------------- embeddings and term vectors
@@ -469,7 +525,7 @@ _similar = f"SELECT a.id AS word, round({DOT}(a.vec, q.vec) / sqrt({DOT}(a.vec,
 _check("m4_find_synonyms", _similar.format("'000000007'", "AND a.id <> q.id", 20), "pt")
 _check(
     "m5_term_vectors",
-    "SELECT id, word, CAST(index AS INTEGER) AS index, tf, CAST(num AS INTEGER) AS num_features FROM tf JOIN "
+    "SELECT id, word, index, tf, num AS num_features FROM tf JOIN "
     "(SELECT word, row_number() OVER (ORDER BY freq DESC, word) - 1 AS index, count(*) OVER () AS num FROM lex) USING (word)",
     "tf",
     "lex",
@@ -484,16 +540,16 @@ _check("l4_rank_drop_last", f"SELECT id, word, tf, rank FROM {_ranked} WHERE ran
 _check("l5_rank_tail", f"SELECT id, word, tf, rank, n_words FROM {_ranked} WHERE rank > floor(n_words * 0.8::DOUBLE)", "tf")
 _check("l6_sample_limit", "SELECT imei, key_word, turn FROM log ORDER BY imei, turn LIMIT 100", "log")
 _check("l7_similar_top_k", _similar.format("'000000003'", "", 10), "pt")
-_check("l8_rank_words", "SELECT id, word, tf FROM tf", "tf")
+_check("l8_rank_words", "SELECT id, word, tf, row_number() OVER (PARTITION BY id ORDER BY tf DESC, word) AS rank FROM tf", "tf")
 
 # ---------------------------------------------------------------- composed operators
 
 
-def _matched(words: str, top: str, label: str, needs: list[str], name: str = "labels", extra: str = "") -> str:
-    picked = f"(SELECT imei, turn, string_agg(word, ',' ORDER BY pos) AS words FROM lt WHERE word IN ({words}) GROUP BY ALL)"
+def _matched(words: str, top: str, label: str, needs: list[str], name: str = "labels", extra: str = "", log: str = "log", terms: str = "lt") -> str:
+    picked = f"(SELECT imei, turn, string_agg(word, ',' ORDER BY pos) AS words FROM {terms} WHERE word IN ({words}) GROUP BY ALL)"
     best = f"(SELECT imei, turn, string_agg({label}, ',' ORDER BY rank) AS {name}{extra} FROM {top} GROUP BY ALL)"
     more = ", coalesce(class_names, '') AS class_names" if extra else ""
-    body = f"SELECT imei, turn, coalesce(w.words, '') AS words, coalesce({name}, '') AS {name}{more} FROM log LEFT JOIN {picked} w USING (imei, turn) LEFT JOIN {best} USING (imei, turn)"
+    body = f"SELECT imei, turn, coalesce(w.words, '') AS words, coalesce({name}, '') AS {name}{more} FROM {log} LEFT JOIN {picked} w USING (imei, turn) LEFT JOIN {best} USING (imei, turn)"
     return _with(needs, body)
 
 
@@ -504,6 +560,8 @@ CTE["few5"] = (
     "(SELECT imei, turn, label, count(*) AS n FROM lt JOIN few USING (word) JOIN lp USING (word) GROUP BY ALL)) WHERE rank <= 5",
 )
 SQL["c1_match_labels"] = _matched("SELECT word FROM few", "few5", "label || '|' || n", ["log", "lt", "few", "few5"])
+SQL["c1_match_labels_han"] = _matched("SELECT word FROM han_few", "han5", "label || '|' || n", ["log2", "hl_tok", "han_few", "han5"], log="log2", terms="hl_tok")
+SQL["c1_match_labels_han_joined"] = SQL["c1_match_labels_han"]
 SQL["c2_match_tags"] = _matched("SELECT word FROM lex WHERE nature LIKE 'n%'", "tag5", "taglayer", ["log", "lt", "lex", "tag5"])
 SQL["c3_match_classes"] = _matched(
     "SELECT word FROM cd", "class5", "CAST(s_id AS VARCHAR)", ["log", "lt", "cd", "class5"], "class_ids", ", string_agg(name, ',' ORDER BY rank) AS class_names"

@@ -15,6 +15,21 @@ from topicloom.sources.tables import spread
 ACCENTS = {"é": "e", "è": "e", "ê": "e", "ç": "c", "ñ": "n", "ü": "u", "ö": "o", "ä": "a", "ó": "o", "í": "i", "á": "a"}
 
 
+# One Han character for each letter from a to z, to build unspaced words from the texts.
+HAN_LETTERS = "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏闰余"
+HAN_MIN_FREQ = 5
+
+
+def han(text: Column | str) -> Column:
+    return F.translate(F.lower(text), "abcdefghijklmnopqrstuvwxyz", HAN_LETTERS)
+
+
+def han_lexicon(spark: SparkSession, sf: str) -> DataFrame:
+    """The frequent plain words, spelled in Han characters; the other words fall into them."""
+    known = lexicon(spark, sf).where((F.col("freq") >= HAN_MIN_FREQ) & F.col("word").rlike("^[a-z]+$"))
+    return known.withColumn("word", han("word"))
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf}/{name}.parquet"))
 
@@ -62,9 +77,8 @@ def rules(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def search_log(spark: SparkSession, sf: str) -> DataFrame:
-    """(imei, key_word, turn) of the user turns."""
-    rows = table(spark, sf, "conversations").where("role = 'user'")
-    return rows.select(F.col("conv_id").cast("string").alias("imei"), F.col("text").alias("key_word"), "turn")
+    """(imei, key_word, turn) of all turns."""
+    return table(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("imei"), F.col("text").alias("key_word"), "turn")
 
 
 def label_pairs(spark: SparkSession, sf: str) -> DataFrame:

@@ -25,10 +25,15 @@ DEFAULT_AFFIXES: Affixes = (filters.NAME_PREFIXES, filters.NAME_SUFFIXES + filte
 
 @dataclass
 class Segmented:
-    """Both outputs of :func:`segment_corpus`; they share their token rows."""
+    """Both outputs of :func:`segment_corpus`."""
 
-    tokens: DataFrame
-    corpus: DataFrame
+    cut: DataFrame
+    usable: DataFrame
+
+    @property
+    def tokens(self) -> DataFrame:
+        """(id, pos, word, nature) of the words that stay."""
+        return lookup_join(explode_tokens(self.cut), self.usable, "word").select("id", "pos", "word", "nature")
 
     @property
     def word_nature(self) -> DataFrame:
@@ -37,13 +42,7 @@ class Segmented:
     @property
     def word_seg(self) -> DataFrame:
         """(id, msg, words); a document that keeps no word stays with an empty list."""
-        return _ordered_words(self.tokens, self.corpus)
-
-
-def _ordered_words(tokens: DataFrame, docs: DataFrame) -> DataFrame:
-    lists = tokens.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("pos", "word"))).alias("_w"))
-    words = F.coalesce(F.transform("_w", lambda x: x["word"]), F.array().cast("array<string>"))
-    return docs.join(lists, "id", "left").select(*docs.columns, words.alias("words"))
+        return filters.keep_words(self.cut, self.usable)
 
 
 def segment_corpus(
@@ -64,17 +63,14 @@ def segment_corpus(
     keep = filters.keep_nature(exclude=exclude) & ~F.col("word").isin(list(other))
     if affixes is not None:
         keep = keep & filters.drop_affixes(prefixes=affixes[0], suffixes=affixes[1]) & filters.drop_symbolic()
-    usable = lexicon.where(keep).join(stopwords.select("word").distinct(), "word", "left_anti").select("word", "nature", "freq")
-    cut = segment(corpus, lexicon=lexicon if by_lexicon else None)
-    tokens = lookup_join(explode_tokens(cut), usable, "word", heat="freq").select("id", "pos", "word", "nature")
-    return Segmented(tokens, corpus)
+    usable = lexicon.where(keep).join(stopwords.select("word").distinct(), "word", "left_anti").select("word", "nature")
+    return Segmented(segment(corpus, lexicon=lexicon if by_lexicon else None), usable)
 
 
 def filter_segments(word_seg: DataFrame, word_nature: DataFrame, rules: DataFrame, min_cnt: int = 3) -> DataFrame:
     """(id, words) without rare words and words switched off; emptied documents stay."""
     drop = filters.rare_words(word_nature, min_cnt).unionByName(filters.banned_words(rules))
-    kept = filters.drop_words(explode_tokens(word_seg), drop)
-    return _ordered_words(kept, word_seg.select("id"))
+    return filters.keep_words(word_seg.select("id", "words"), drop, drop=True)
 
 
 class Jobs:
@@ -117,7 +113,7 @@ class Jobs:
             affixes=None if exclude_names else DEFAULT_AFFIXES,
             by_lexicon=True,
         )
-        seg = Segmented(cut_lineage(seg.tokens), seg.corpus)
+        seg = Segmented(seg.cut, cut_lineage(seg.usable))
         self.save(seg.word_nature, "word_nature", out_dt)
         self.save(seg.word_seg, "word_seg", out_dt)
 
@@ -138,7 +134,10 @@ class Jobs:
     def keyword_ranks(self, dt: str, out_dt: str, votes: int = 1000) -> None:
         docs = self.read("word_seg", dt, "id", "msg", "words")
         self.save(textrank.textrank_by_doc(docs), "textrank_mid", out_dt)
-        scores = cut_lineage(textrank.textrank(docs))
+        ranked = self.read("textrank_mid", out_dt, "id", "textrank")
+        n_words = F.size("textrank").cast("bigint").alias("n_words")
+        scores = ranked.select("id", n_words, F.posexplode("textrank").alias("_at", "_w"))
+        scores = scores.select("id", "_w.word", "_w.score", (F.col("_at") + 1).cast("bigint").alias("rank"), "n_words")
         self.save(textrank.textrank_total(scores), "textrank_words", out_dt)
         self.save(filters.stopwords_by_rank(scores, votes=votes).select("word"), "stopwords", out_dt + "02")
 

@@ -131,7 +131,7 @@ def s10_save_load_embeddings(spark, sf):
     points = src.doc_points(spark, sf)
     embeddings.save_embeddings(points.withColumnRenamed("id", "word"), path)
     back = embeddings.load_embeddings(spark, path)
-    return back.select("word", F.size("vec").alias("width"), F.round(fn.vec_norm("vec"), 5).alias("norm"))
+    return back.select("word", F.posexplode("vec").alias("i", "x")).withColumn("x", F.round("x", 6))
 
 
 # ---------------------------------------------------------------- text functions
@@ -153,6 +153,23 @@ def t3_segment(spark, sf):
     return src.docs(spark, sf).select("id", fn.join_tokens("words").alias("words"))
 
 
+def _segment_han(spark, sf, **options):
+    texts = src.corpus(spark, sf).select("id", src.han("msg").alias("msg"))
+    return segment.segment(texts, lexicon=src.han_lexicon(spark, sf), **options).select("id", fn.join_tokens("words").alias("words"))
+
+
+@query
+def t3_segment_han(spark, sf):
+    """Longest match against a broadcast word set."""
+    return _segment_han(spark, sf)
+
+
+@query
+def t3_segment_han_joined(spark, sf):
+    """The same with a lexicon that is too large to be broadcast."""
+    return _segment_han(spark, sf, max_bytes=0)
+
+
 @query
 def t4_segment_with_nature(spark, sf):
     return segment.segment_with_nature(src.corpus(spark, sf).select("id", "msg"), src.lexicon(spark, sf).where("freq > 1"))
@@ -344,9 +361,9 @@ def j5_lookup_doc_words(spark, sf):
 
 @query
 def j5_missing_members(spark, sf):
-    """Only documents in English have words here; members without are listed."""
-    english = src.corpus(spark, sf).where("lang = 'en'").select(F.lpad("id", 9, "0").alias("id"))
-    return cluster.missing_members(_cluster_members(spark, sf), english)
+    """Members among the ids that have no label row."""
+    known = src.table(spark, sf, "labels").select(F.lpad(F.col("doc_id").cast("string"), 9, "0").alias("id"))
+    return cluster.missing_members(_cluster_members(spark, sf), known)
 
 
 @query
@@ -369,6 +386,13 @@ def j8_cosine_self_join(spark, sf):
     return pairs.select("id", "partner", F.round("sim", 6).alias("sim"))
 
 
+@query
+def j8_cosine_self_join_pivots(spark, sf):
+    """Blocks so small that the vectors are spread over cells around pivots."""
+    pairs = similarity.cosine_self_join(src.doc_points(spark, sf), THRES, block_rows=32)
+    return pairs.select("id", "partner", F.round("sim", 6).alias("sim"))
+
+
 # ---------------------------------------------------------------- aggregations
 
 
@@ -493,9 +517,10 @@ def a17_dedupe_map(spark, sf):
 
 
 def _vector_pairs(spark, sf):
-    """Each vector next to the one that follows it."""
+    """Each vector next to the one that follows it, the last next to the first."""
     points = src.table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("a"))
-    after = points.select((F.col("vec_id") - 1).alias("vec_id"), F.col("a").alias("b"))
+    n = points.agg(F.count("*")).scalar()
+    after = points.select(((F.col("vec_id") + n - 1) % n).alias("vec_id"), F.col("a").alias("b"))
     return points.join(after, "vec_id")
 
 
@@ -559,10 +584,11 @@ def v7_doc_vectors_sum(spark, sf):
 @query
 def v8_doc_vectors_tfidf(spark, sf):
     lists = stats.doc_tfidf_lists(src.docs(spark, sf))
-    rows = docvec.doc_vectors(lists, src.word_vec(spark, sf), "tfidf").where("norm > 0")
+    rows = docvec.doc_vectors(lists, src.word_vec(spark, sf), "tfidf")
     names = fn.join_tokens(F.transform("words", lambda x: x["word"])).alias("words")
-    first, last = F.col("vec")[0] / F.col("norm"), F.col("vec")[F.size("vec") - 1] / F.col("norm")
-    return rows.select("id", names, F.round(first, 5).alias("x0"), F.round(last, 5).alias("x_last"), F.round(F.ln("norm"), 6).alias("norm"))
+    norm = F.nullif(F.col("norm"), F.lit(0.0))
+    first, last = F.col("vec")[0] / norm, F.col("vec")[F.size("vec") - 1] / norm
+    return rows.select("id", names, F.round(first, 5).alias("x0"), F.round(last, 5).alias("x_last"), F.round(F.ln(norm), 6).alias("norm"))
 
 
 # ---------------------------------------------------------------- graphs and clusters
@@ -633,8 +659,9 @@ def g8_subject_clusters(spark, sf):
 
 @query
 def g8_cluster_members(spark, sf):
-    found = _clusters(spark, sf, 2)
-    return cluster.cluster_ids_text(found.members(), key="cid")
+    """The long table, members numbered in the order of the joined id."""
+    members = _clusters(spark, sf, 2).members()
+    return ranking.ranked_within(members, "cid", [F.asc("place")]).select("cid", "member", "rank")
 
 
 @query
@@ -758,6 +785,25 @@ def c1_match_labels(spark, sf):
     return _labels_text(matched, True)
 
 
+def _match_labels_han(spark, sf, **options):
+    """Every search text comes twice, from two users."""
+    log = src.search_log(spark, sf).withColumn("key_word", src.han("key_word"))
+    log = log.unionByName(log.withColumn("imei", F.concat("imei", F.lit("again"))))
+    index = src.label_pairs(spark, sf).withColumn("word", src.han("word"))
+    matched = labels.match_labels(log, index, src.han_lexicon(spark, sf), fanout=20, key=["imei", "turn"], by_lexicon=True, **options)
+    return _labels_text(matched, True)
+
+
+@query
+def c1_match_labels_han(spark, sf):
+    return _match_labels_han(spark, sf)
+
+
+@query
+def c1_match_labels_han_joined(spark, sf):
+    return _match_labels_han(spark, sf, max_bytes=0)
+
+
 @query
 def c2_match_tags(spark, sf):
     matched = labels.match_tags(src.search_log(spark, sf), src.tag_dictionary(spark, sf), src.lexicon(spark, sf), key=["imei", "turn"])
