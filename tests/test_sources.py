@@ -14,8 +14,8 @@ def test_load_delimited(spark, tmp_path):
     path = write(tmp_path / "f", "a||b||c", "a||b", "a||b||c||d", "a||b||", "x||||z")
     got = files.load_delimited(spark, path, r"\|\|", ["p", "q", "r"]).collect()
     assert [tuple(r) for r in got] == [("a", "b", "c"), ("x", "", "z")]
-    with pytest.raises(ValueError):
-        files.load_delimited(spark, path, ",", list("abcdefg"))
+    seven = write(tmp_path / "g", "1,2,3,4,5,6,7", "1,2")
+    assert [tuple(r) for r in files.load_delimited(spark, seven, ",", list("abcdefg")).collect()] == [tuple("1234567")]
 
 
 def test_load_typed_csv(spark, tmp_path):

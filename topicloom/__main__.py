@@ -8,6 +8,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from topicloom.plans.jobs import Jobs
+from topicloom.session import ship
 
 
 def _typed(value: str, kind: str):
@@ -26,6 +27,7 @@ def main(argv: list[str]) -> int:
     wanted = inspect.signature(getattr(Jobs, argv[0])).parameters
     args = {name: _typed(value, str(wanted[name].annotation)) for name, value in given.items()}
     spark = SparkSession.builder.appName(f"topicloom {argv[0]}").getOrCreate()
+    ship(spark)
     result = getattr(Jobs(spark, root), argv[0])(**args)
     if result is not None:
         print(result)

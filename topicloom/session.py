@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_SHIPPED: set[str] = set()
+
+
 def local_session(cpus: int | str = "*", app: str = "topicloom", **conf: str) -> SparkSession:
     """A single-JVM session for tests and benches. Clusters bring their own."""
     builder = (
@@ -42,10 +48,22 @@ def shared_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     made = tempfile.mkdtemp(prefix="topicloom-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
     sc.setCheckpointDir(made)
     return made
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers, once, for clusters where it is not installed."""
+    sc = spark.sparkContext
+    if sc.master.split("[")[0] == "local" or sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    with tempfile.TemporaryDirectory() as folder:
+        archive = shutil.make_archive(f"{folder}/topicloom", "zip", Path(__file__).resolve().parents[1], "topicloom")
+        sc.addPyFile(archive)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from topicloom.functions.text import split_java
 
-MAX_FIELDS = 6
 CORPUS_MIN_LEN = 100
 
 # The columns of the class dictionary file.
@@ -26,22 +25,17 @@ DICTIONARY_FIELDS = [
 ]
 
 
-def file_uri(path: str) -> str:
-    """A bare absolute path means the local (or mounted) file system."""
-    return "file://" + path if path.startswith("/") else path
-
-
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line): one row per line, cut at line feeds only. Files are split, not read whole."""
-    return spark.read.option("lineSep", "\n").text(file_uri(path)).withColumnRenamed("value", "line")
+    """(line): one row per line, cut at line feeds only. Files are split, not read whole.
+
+    Paths go through the default file system, like all others; a local file needs ``file://``."""
+    return spark.read.option("lineSep", "\n").text(path).withColumnRenamed("value", "line")
 
 
 def load_delimited(spark: SparkSession, path: str, sep: str, fields: Sequence[str]) -> DataFrame:
     """String columns from lines with exactly as many fields; ``sep`` is a regex.
 
     Trailing empty fields do not count, so a line with an empty last field is left out."""
-    if not 1 <= len(fields) <= MAX_FIELDS:
-        raise ValueError(f"1 to {MAX_FIELDS} fields are supported, got {len(fields)}")
     parts = read_lines(spark, path).select(split_java("line", sep).alias("p")).where(F.size("p") == len(fields))
     return parts.select(*[F.col("p")[i].alias(name) for i, name in enumerate(fields)])
 

@@ -37,9 +37,11 @@ def create_string_schema(names: Sequence[str]) -> T.StructType:
 def spread(df: DataFrame) -> DataFrame:
     """A scan with fewer splits than cores is dealt out to all cores; a larger one is left as it is.
 
-    Only for plain scans, whose splits are known without running anything."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.rdd().getNumPartitions() < cores else df
+    Only for plain scans, whose splits are known without running anything; a table of one small file
+    is left alone on a large cluster: it is dealt to as many tasks as shuffles have, at most."""
+    spark = df.sparkSession
+    tasks = min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
 
 
 def partition_path(table: str, dt: str | int) -> str:
