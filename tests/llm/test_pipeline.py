@@ -43,10 +43,14 @@ def test_whole_table_results(spark, documents):
     texts = [t for _, t, _ in documents]
     expected = plain_dedup(texts)
     assert {tuple(r) for r in catalog.op7_substring_dedup(spark, SF).collect()} == {(d[0], *e) for d, e in zip(documents, expected, strict=True)}
-    found = {r.doc_id: r for r in catalog.op2_quality_classifier(spark, SF).collect()}
-    quality = {r[0]: r[1] for r in spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality").collect()}
+
+
+def test_held_out_accuracy(spark):
+    sf = f"{DATA}/sf0.01"
+    found = {r.doc_id: r for r in catalog.op2_quality_classifier(spark, sf).collect()}
+    quality = {r[0]: r[1] for r in spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality").collect()}
     held = [(found[i].predicted, q) for i, q in quality.items() if zlib.crc32(str(i).encode()) % 4 == 2]
-    assert len(found) == len(documents) and sum(p == q for p, q in held) >= 0.9 * len(held)
+    assert len(found) == 1_000 and sum(p == q for p, q in held) >= 0.95 * len(held)
 
 
 def test_pipeline(spark, documents):
