@@ -1,5 +1,6 @@
 """Parts that need no Spark, against plain versions."""
 
+import base64
 import hashlib
 import math
 import random
@@ -132,6 +133,33 @@ def test_verdict_bands():
     assert quality_rules.verdict(b"", *limits) == (0.0, 0.0, True)
 
 
+def long_prose(size):
+    draw = random.Random(8)
+    vocabulary = ["".join(draw.choices("etaoinshr", k=draw.randint(2, 9))) for _ in range(2_000)]
+    return " ".join(draw.choices(vocabulary, k=size // 3)).encode()[:size]
+
+
+@pytest.mark.parametrize("kind", ["noise", "repeats"])
+@pytest.mark.parametrize("percent", [10, 20, 30, 45])
+def test_verdict_finds_one_odd_stretch(kind, percent):
+    size = 39_799
+    limits = (quality_rules.BANDS, quality_rules.CHUNK, quality_rules.CHUNK_BAND)
+    prose = long_prose(size)
+    assert len(prose) == size and quality_rules.verdict(prose, *limits)[1:] == (0.0, True)
+    length = size * percent // 100
+    stretch = base64.b85encode(random.Random(size).randbytes(length))[:length] if kind == "noise" else (b"spam and eggs " * length)[:length]
+    for at in range(0, size - length + 1, 700):
+        assert not quality_rules.verdict(prose[:at] + stretch + prose[at + length :], *limits)[2]
+
+
+def test_verdict_checks_chunks_of_texts_from_one_chunk_on():
+    limits = (quality_rules.BANDS, quality_rules.CHUNK, quality_rules.CHUNK_BAND)
+    prose = long_prose(4_091)
+    for stretch in (base64.b85encode(random.Random(1).randbytes(3_280)), (b"spam and eggs " * 300)[:4_100]):
+        whole, odd, inside = quality_rules.verdict(prose + stretch, *limits)
+        assert 0 < odd < 1 and not inside and len(prose + stretch) < 2 * quality_rules.CHUNK
+
+
 def test_targets():
     assert mixing.target_sizes([], [], 3) == []
     assert mixing.target_sizes([100, 100, 100], [1, 2, 3], 3) == [50, 100, 150]

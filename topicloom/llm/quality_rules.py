@@ -1,9 +1,11 @@
 """Quality rules by compression bands.
 
-A text passes through zstandard twice: whole, and in fixed chunks. Repetitive text compresses
-far better than prose, random text (encoded data, key mashing) far worse; both leave a band
-whose limits depend on the length, because short texts compress less. The chunks find what the
-whole hides: a long document that repeats or garbles one stretch keeps a normal ratio overall.
+A text passes through zstandard twice: whole, and in chunks that overlap. Repetitive text
+compresses far better than prose, random text (encoded data, key mashing) far worse; both leave a
+band whose limits depend on the length, because short texts compress less. The chunks find what the
+whole hides: a long document that repeats or garbles one stretch keeps a normal ratio overall. One
+odd chunk is enough, and as chunks start every quarter, so is a stretch of about a chunk's length
+wherever it stands. Texts shorter than a chunk are judged as a whole only.
 """
 
 from __future__ import annotations
@@ -26,8 +28,8 @@ BANDS: tuple[tuple[float, float, float], ...] = (
 )
 CHUNK = 4_096
 CHUNK_BAND = (0.25, 0.75)
-# Largest share of chunks that may lie outside their band.
-ODD_CHUNKS = 0.5
+# Chunks that start within the length of one.
+OVERLAP = 4
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 SYMBOLS = np.zeros(256, bool)
@@ -61,15 +63,12 @@ def _repeated_lines(text: bytes) -> int:
 
 
 def _ratios(text: bytes, packer: zstandard.ZstdCompressor, chunk: int) -> tuple[float, list[float]]:
-    """Of the whole text, and of each full chunk (the rest at the end joins the last one)."""
+    """Of the whole text, and of each full chunk (the last one ends with the text)."""
     if not text:
         return 0.0, []
     whole = len(packer.compress(text)) / len(text)
-    if len(text) < 2 * chunk:
-        return whole, []
-    cuts = [*range(0, len(text) - chunk + 1, chunk)]
-    ends = [*cuts[1:], len(text)]
-    return whole, [len(packer.compress(text[a:b])) / (b - a) for a, b in zip(cuts, ends, strict=True)]
+    cuts = [*range(0, len(text) - chunk, max(1, chunk // OVERLAP)), len(text) - chunk] if len(text) >= chunk else []
+    return whole, [len(packer.compress(text[a : a + chunk])) / chunk for a in cuts]
 
 
 def verdict(text: bytes, bands: Sequence[tuple[float, float, float]], chunk: int, chunk_band: tuple[float, float], packer=None):
@@ -79,8 +78,8 @@ def verdict(text: bytes, bands: Sequence[tuple[float, float, float]], chunk: int
     if not text:
         return 0.0, 0.0, True
     low, high = next((low, high) for bound, low, high in bands if len(text) <= bound)
-    odd = sum(not chunk_band[0] <= x <= chunk_band[1] for x in parts) / len(parts) if parts else 0.0
-    return whole, odd, low <= whole <= high and odd <= ODD_CHUNKS
+    odd = sum(not chunk_band[0] <= x <= chunk_band[1] for x in parts)
+    return whole, odd / len(parts) if parts else 0.0, low <= whole <= high and not odd
 
 
 def quality_rules(
