@@ -233,6 +233,28 @@ def test_html_text(html, text):
     assert html_text.extract(html) == text
 
 
+A, B, C = (f"{x} {PARAGRAPH * 3}".strip() for x in ("First", "Second", "Third"))
+LINKS = f"<div><a href=1>{PARAGRAPH}</a> <a href=2>{PARAGRAPH}</a></div>"
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f"<main><h1>Title</h1><article><p>{A}</p></article><p>more</p></main>", f"Title {A} more"),
+        (f"<body><article><p>{A}</p></article><article><p>{B}</p></article>{LINKS}</body>", f"{A} {B}"),
+        (f"<main><section><article><p>{A}</p></article></section><section><article><p>{B}</p></article></section>{LINKS}</main>", f"{A} {B}"),
+        (f"<body><div><section><article><p>{A}</p></article></section><section><p>{B}</p></section></div>{LINKS}<div><p>Short.</p></div></body>", f"{A} {B}"),
+        (f"<main>Bare text. <div><article><p>{A}</p><p>{A}</p></article><h2>Then</h2></div><div><p>{B}</p></div>{LINKS} and the end</main>", f"Bare text. {A} {A} Then {B} and the end"),
+        (f"<body><article><h1>T</h1><p>{A}</p><div><article><p>{B}</p><p>{C}</p></article></div></article></body>", f"T {A} {B} {C}"),
+        (f"<body><main><p>{A}</p></main><div><p>{B}</p><p>{C}</p></div>{LINKS}</body>", f"{A} {B} {C}"),
+        (f"<main><article><p>{A}</p></article><div><div><h4>No</h4>{LINKS}</div><section>{LINKS}<article><p>{B}</p></article></section></div></main>", f"{A} {B}"),
+        (f"<main><article><p>{A}</p></article><aside><p>{B}</p></aside><div class='related'><p>{B}</p></div></main>", A),
+    ],
+)
+def test_html_text_beside_an_article(html, text):
+    assert html_text.extract(html) == text
+
+
 def test_html_never_fails():
     draw = random.Random(11)
     parts = ["<p>", "</p>", "<div class=\"ad\">", "</div>", "<a href='x'>", "</a>", "<li>", "<table><tr><td>", "<", ">", "&amp;", "&#x;", "<script>", "</script>", "text, ", "<!--", "-->", "<b", "'", '"', "<br/>", "</body>", "<body>", "<h1>"]

@@ -3,7 +3,9 @@
 A page becomes a light tree without scripts, styles, menus, forms, notices and the like. Each text
 block earns points for its length and commas and passes them to its ancestors, less with every
 step; a container's points are discounted by the share of its text that stands in links. The best
-container and those of its siblings that score or read like text are kept, block by block.
+container and those of its siblings that score or read like text are kept, block by block. If the
+best one stands in an article, that is kept whole, and all parts of the enclosing main (of the body,
+if there is none) that pass the same rule are kept beside it: text may be split over many articles.
 """
 
 from __future__ import annotations
@@ -197,22 +199,36 @@ def extract(html: str | None) -> str:
 
     final = [(score[i] + START.get(tree.tag[i], 0)) * (1 - density(i)) if score[i] > 0 else 0.0 for i in range(n)]
     best = max(range(n), key=lambda i: (final[i], -i))
-    up = best  # an article is kept whole, though one of its sections scored best
+    above, up = [], best
     while up >= 0:
-        if tree.tag[up] in ("article", "main"):
-            best = up
-            break
+        above.append(up)
         up = tree.parent[up]
-    keep = [best]
-    if tree.tag[best] not in ("article", "main", "body", "html"):
-        enough = max(10.0, 0.2 * final[best])
-        for i in range(n):
-            if i != best and tree.parent[i] == tree.parent[best] and not tree.dropped[i] and chars[i]:
-                plain = tree.tag[i] in ("p", "h1", "h2", "h3", "blockquote", "pre") and density(i) < 0.25
-                if final[i] >= enough or plain:
-                    keep.append(i)
-    ranges = [(i, tree.end[i]) for i in keep]
-    return " ".join(text for node, text, _ in tree.blocks if any(a <= node < b for a, b in ranges))
+    # An article, or else a main, is kept whole, though one of its sections scored best.
+    whole = [i for i in above if tree.tag[i] == "article"] or [i for i in above if tree.tag[i] == "main"]
+    best = whole[-1] if whole else best
+    inside = bytearray(n)
+    inside[best : tree.end[best]] = b"\1" * (tree.end[best] - best)
+    # Siblings of the best; beside an article or main, also those of the nodes around it, up to the main or body.
+    around = above[above.index(best) + 1 :] if tree.tag[best] not in ("body", "html") else []
+    if not whole:
+        around = around[:1]
+    mains = [k for k, i in enumerate(around) if tree.tag[i] == "main"]
+    inner = set(around[: mains[-1] + 1] if mains else around[:1])
+    around, on_way = set(around[: mains[-1] + 1] if mains else around), set(above)
+    enough = max(10.0, 0.2 * final[best])
+    holds = [False] * n  # an article that scores enough
+    for i in range(n - 1, 0, -1):
+        holds[i] = holds[i] or (bool(whole) and tree.tag[i] == "article" and not tree.dropped[i] and final[i] >= enough)
+        holds[tree.parent[i]] |= holds[i]
+    for i in range(n):
+        if tree.parent[i] in around and i not in on_way and not tree.dropped[i] and chars[i]:
+            plain = tree.parent[i] in inner and tree.tag[i] in ("p", "h1", "h2", "h3", "blockquote", "pre") and density(i) < 0.25
+            if final[i] >= enough or plain or (holds[i] and density(i) < 0.25):
+                inside[i : tree.end[i]] = b"\1" * (tree.end[i] - i)
+            elif holds[i] and i not in around:  # its articles only
+                around.update(j for j in range(i, tree.end[i]) if holds[j] and tree.tag[j] != "article")
+    bare = {i for i in inner if mains}  # text of the main that stands in no element of its own
+    return " ".join(text for node, text, in_link in tree.blocks if inside[node] or (node in bare and in_link < 0.25 * len(text)))
 
 
 def extract_text(pages: DataFrame, html: str = "html", carry: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
