@@ -166,6 +166,30 @@ def test_secrets(spark):
     assert cleaned[2]["text"] == texts[2] and cleaned[2]["n_chars"] is None and cleaned[0]["text"] is None
 
 
+def test_secrets_beside_base_spans(spark):
+    random40 = "q8Zt4LmX0vB7nRk2YpW5d3Hs9JcF6gTxKe1QaUoI"
+    access = "AKIA" + "B2C3D4E5F6G7H8"
+    wrong = "0123456789abcdef" * 2
+    texts = [
+        f"é https://h/{random40}/token=abcd1234 end",
+        f"{access}/{random40}",
+        f"{random40}/{access}/{random40}",
+        f"{wrong}_{random40} and my_long_prefix_of_token=abcd1234",
+        f"token={random40} {random40[:19]}/token=abcd1234",
+    ]
+    rows = {r["doc_id"]: r for r in secrets.scan(table(spark, texts)).collect()}
+    found = [[(s["kind"], texts[i][s["start"] : s["end"]]) for s in rows[i]["secrets"]] for i in range(len(texts))]
+    assert found == [
+        [("entropy", f"//h/{random40}/"), ("assign", "token=abcd1234")],
+        [("access", access), ("entropy", f"/{random40}")],
+        [("entropy", f"{random40}/"), ("access", access), ("entropy", f"/{random40}")],
+        [("hex", wrong), ("entropy", f"_{random40}"), ("assign", "token=abcd1234")],
+        [("assign", f"token={random40}"), ("entropy", f"{random40[:19]}/"), ("assign", "token=abcd1234")],
+    ]
+    cleaned = {r["doc_id"]: r["text"] for r in stages.without_secrets(spark, table(spark, texts), "").collect()}
+    assert not any(random40[:19] in t for t in cleaned.values()) and cleaned[0] == "é https:[secret][secret] end"
+
+
 def test_window_weight(spark):
     draw = random.Random(4)
     tokens = ["".join(draw.choices("ab1", k=20)), *("".join(draw.choices("abcdefgh0123456789XYZ+/=_-", k=draw.randint(20, 60))) for _ in range(30))]

@@ -112,11 +112,24 @@ def suspicious(token: Column, limits: dict[str, float] = LIMITS, allow: Sequence
     return F.when(mixes & ~listed, window_weight(token) <= limit).otherwise(False)
 
 
+def _without(text: Column, spans: Column) -> Column:
+    """The text with every character of the spans (ordered by start) replaced by a blank."""
+    start = F.struct(F.array().cast("array<string>").alias("parts"), F.lit(0).alias("at"))
+
+    def step(s: Column, span: Column) -> Column:
+        between = F.substring(text, s["at"] + 1, F.greatest(F.lit(0), span["start"] - s["at"]))
+        blank = F.repeat(F.lit(" "), F.greatest(F.lit(0), span["end"] - F.greatest(s["at"], span["start"])))
+        return F.struct(F.concat(s["parts"], F.array(between, blank)).alias("parts"), F.greatest(s["at"], span["end"]).alias("at"))
+
+    rest = F.aggregate(spans, start, step, lambda s: F.concat(F.array_join(s["parts"], ""), F.substring(text, s["at"] + 1, F.length(text))))
+    return F.when(F.size(spans) > 0, rest).otherwise(text)
+
+
 def scan(docs: DataFrame, text: str = "text", limits: dict[str, float] = LIMITS, allow: Sequence[str] = ALLOW) -> DataFrame:
     """``docs`` with ``secrets``: array<struct<start, rank, kind, end>>, ordered by start, then kind.
 
-    Kinds are assign, access and hex by pattern, entropy by the sliding window. An entropy span
-    is left out where a base span overlaps it. Null and empty texts have no spans; repeated rows
+    Kinds are assign, access and hex by pattern, entropy by the sliding window. Base spans are cut
+    out of the text before candidates are looked for, so what stands beside them is judged. Null and empty texts have no spans; repeated rows
     are scanned each for itself, other columns are kept as they are. No shuffle, no Python.
     """
     body = F.coalesce(F.col(text), F.lit(""))
@@ -125,20 +138,12 @@ def scan(docs: DataFrame, text: str = "text", limits: dict[str, float] = LIMITS,
     # Shorter runs are dropped by the contract, and no run that is long enough can start inside one.
     hexes = places(body, HEX[:-1] + "{%d,}" % MIN_HEX)
     base = F.array_sort(F.concat(_spans(assign, "assign", 0), _spans(access, "access", 1), _spans(hexes, "hex", 2)))
-    tokens = F.filter(places(body, CANDIDATE), lambda x: suspicious(x["match"], limits, allow))
+    tokens = F.filter(places(F.col("_rest"), CANDIDATE), lambda x: suspicious(x["match"], limits, allow))
     return (
         docs.withColumn("_base", base)
-        .withColumn("_entropy", _spans(tokens, "entropy", 3))
-        .withColumn(
-            "secrets",
-            F.array_sort(
-                F.concat(
-                    "_base",
-                    F.filter("_entropy", lambda e: ~F.exists("_base", lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"]))),
-                )
-            ),
-        )
-        .drop("_base", "_entropy")
+        .withColumn("_rest", _without(body, F.col("_base")))
+        .withColumn("secrets", F.array_sort(F.concat("_base", _spans(tokens, "entropy", 3))))
+        .drop("_base", "_rest")
     )
 
 
