@@ -76,6 +76,24 @@ def test_ngram_join(spark, texts):
     assert len({c for _, c in expected.values()}) < len(texts) - 20
 
 
+def test_ngram_join_of_repeated_and_missing_ids(spark):
+    draw = random.Random(5)
+    words = [f"w{i}" for i in range(400)]
+    a, b, c, d = (draw.sample(words, 60) for _ in range(4))
+    near = [" ".join(d[i : i + 50]) for i in (0, 5, 10)]  # the first and last link by the middle one only
+    text = lambda w, change="": " ".join([*w[:-1], change or w[-1]])
+    rows = [
+        (5, text(a)), (5, text(b)), (5, text(c)), (5, text(c)),
+        (6, text(a, "x")), (7, text(b, "x")), (8, text(c, "x")),
+        (20, near[0]), (None, near[1]), (None, near[1]), (21, near[2]), (None, "none of them"), (30, ""), (30, "other words"),
+    ]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    found = Counter((r[0], r[2]) for r in ngram_join(docs).collect())
+    assert found == Counter([*[(5, 5)] * 4, (6, 5), (7, 5), (8, 5), (20, 20), (None, 20), (None, 20), (21, 20), (None, None), (30, 30), (30, 30)])
+    kept = Counter((r[0], r[1]) for r in stages.distinct_texts(spark, docs, "").collect())
+    assert kept == Counter([*[rows[i] for i in (0, 1, 2, 7, 8, 9, 11, 12, 13)]])
+
+
 def test_ngram_join_finds_links_across_kept_lists(spark, texts, monkeypatch):
     """Short runs and blocks: most lists are kept, and pairs between components are searched."""
     from topicloom.llm import ngram_join as module

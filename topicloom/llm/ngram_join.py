@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicloom.llm.components import components, written
@@ -342,10 +342,15 @@ def _candidates(postings: DataFrame, percent: int) -> DataFrame:
 # --- step 4: search
 
 
+def _id_parts(value: Column) -> tuple[Column, Column]:
+    """An id as two columns without nulls, for joins."""
+    return F.coalesce(value, F.lit(0)).alias("_id"), value.isNull().alias("_none")
+
+
 def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of document ids, a < b, without those whose parity tables rule a link out."""
-    bits = classes.select(F.col("rep").alias("b"), F.col("n").alias("m"), F.col("bits").alias("y"))
-    own = classes.select(F.col("rep").alias("a"), "n", F.col("bits").alias("x"))
+    """Pairs (a, b) of classes, a < b, without those whose parity tables rule a link out."""
+    bits = classes.select(F.col("key").alias("b"), F.col("n").alias("m"), F.col("bits").alias("y"))
+    own = classes.select(F.col("key").alias("a"), "n", F.col("bits").alias("x"))
     met = pairs.select("a", "b").join(own.hint("merge"), "a").join(bits.hint("merge"), "b").select("a", "b", "n", "m", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,25 +361,31 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return met.mapInArrow(run, "a long, b long")
 
 
-def _links(docs: DataFrame, text: str, key: str, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(a, b): the pairs of document ids (a < b) that link, found by searching each a's partners."""
+def _links(docs: DataFrame, text: str, key: str, pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """(a, b): the pairs of classes (a < b) that link, found by searching each a's partners."""
     wanted = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
+    wanted = classes.select(F.col("key").alias("a"), "rep").join(wanted, "a").select(*_id_parts(F.col("rep"))).distinct()
     # While the list of ids is small enough to be broadcast, no text is shuffled.
-    texts = lookup_join(docs.select(F.col(key).cast("bigint").alias("a"), F.col(text).alias("_text")), wanted, "a", "left_semi")
+    texts = lookup_join(docs.select(*_id_parts(F.col(key).cast("bigint")), F.col(text).alias("_text")), wanted, ["_id", "_none"], "left_semi")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()  # an id may stand on several texts, and a text on several rows
         for batch in batches:
-            for piece in pieces(batch.column(1)):
-                found = [s.tobytes() for s in shingle_sets(piece, k)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(piece.rows.start, len(piece)), pa.array(found, pa.binary())], names=["b", "tokens"])
+            for piece in pieces(batch.column(0)):
+                found = {}
+                for tokens in shingle_sets(piece, k):
+                    if len(tokens) and (name := _class(tokens)) not in seen:
+                        seen.add(name)
+                        found[name] = tokens.tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], names=["b", "tokens"])
 
-    tokens = texts.select("a", "_text").mapInArrow(sets, "b long, tokens binary")
+    tokens = texts.select("_text").mapInArrow(sets, "b long, tokens binary")
     # Each query also sends its own set to itself; it comes first, as b > a for all partners.
     asked = pairs.select("a", "b").unionByName(pairs.select("a", F.col("a").alias("b")).distinct())
     met = asked.join(tokens.hint("merge"), "b").select("a", "b", "tokens").repartition("a").sortWithinPartitions("a", "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query, mine, ids, partners = None, None, [], []
+        query, mine, last, ids, partners = None, None, None, [], []
         out: list[tuple[int, int]] = []
 
         def ask() -> None:
@@ -387,13 +398,14 @@ def _links(docs: DataFrame, text: str, key: str, pairs: DataFrame, k: int, perce
             for a, b, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if a != query:
                     ask()
-                    query, mine = a, None
+                    query, mine, last = a, None, None
                 tokens = np.frombuffer(blob, np.uint64)
                 if a == b:
                     mine = tokens
-                elif mine is not None:
+                elif mine is not None and b != last:  # several tasks may send one set
                     ids.append(b)
                     partners.append(tokens)
+                    last = b
                 if len(partners) == PARTNERS:
                     ask()
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
@@ -460,13 +472,9 @@ def _united(parts: DataFrame, links: DataFrame) -> DataFrame:
     return cut_lineage(old.select("node", F.coalesce("_c", "component").alias("component")).unionByName(new))
 
 
-def ngram_join(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) per row of ``docs``.
-
-    Null and empty texts have no shingles and are linked with nothing: their component is their own
-    id. Copies share a class. Rows that repeat an id are kept; if their texts differ, each text's
-    class counts under that id. Rows without an id (null) are kept, but give no name to a component
-    unless they are alone. Other columns are left out. The result is exact up to 64-bit hashes.
+def _grouped(docs: DataFrame, text: str, key: str, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, key) per row; and per class with shingles (key, n, rep, top, first): its least id, the
+    least id of its component (null if no row of it has an id), and whether it stands for the component.
     """
     spark = docs.sparkSession
     marks = cut_lineage(_signatures(docs, text, key, k))
@@ -477,19 +485,59 @@ def ngram_join(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int
 
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = cut_lineage(_candidates(_postings(docs, text, crowded, buckets, k, percent), percent).distinct())
-    named = classes.where("rep is not null")
-    one = named.select(F.col("key").alias("a"), "n", F.col("rep").alias("_a"))
-    other = named.select(F.col("key").alias("b"), F.col("n").alias("m"), F.col("rep").alias("_b"))
-    pairs = found.where("token is null").join(one.hint("merge"), ["a", "n"]).join(other.hint("merge"), ["b", "m"])
-    pairs = cut_lineage(pairs.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).where("a < b").distinct())
-    likely = cut_lineage(_likely(pairs, named, percent))
-    parts = cut_lineage(components(_links(docs, text, key, likely, k, percent)))
-
-    kept = found.where("token is not null").select("token", "a", "n", "place").join(one, ["a", "n"])
-    kept = cut_lineage(kept.select("token", F.col("_a").alias("a"), "n", "place"))
+    pairs = found.where("token is null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = cut_lineage(pairs.where("a < b").distinct())
+    likely = cut_lineage(_likely(pairs, classes, percent))
+    parts = cut_lineage(components(_links(docs, text, key, likely, classes, k, percent)))
+
+    kept = cut_lineage(found.where("token is not null").select("token", "a", "n", "place"))
     asked = _across(_open_lists(kept, parts), percent).join(pairs.hint("merge"), ["a", "b"], "left_anti")
-    more, size = written(_links(docs, text, key, cut_lineage(_likely(asked, named, percent)), k, percent))
+    more, size = written(_links(docs, text, key, cut_lineage(_likely(asked, classes, percent)), classes, k, percent))
     parts = _united(parts, more) if size["n"] else parts
-    of_class = classes.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("key", "n", F.coalesce("component", "rep").alias("component"))
-    of_class = cut_lineage(of_class)  # so that the next join can be split where one class has most rows
-    return own.join(of_class, ["key", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    members = cut_lineage(classes.select("key", "n", "rep").join(parts.withColumnRenamed("node", "key").hint("merge"), "key"))
+    least = members.where("rep is not null").groupBy("component").agg(F.min(F.struct("rep", "key")).alias("_least"))
+    tops = members.join(cut_lineage(least).hint("merge"), "component", "left").select("key", "_least")
+    of_class = classes.select("key", "n", "rep").join(tops.hint("merge"), "key", "left")
+    of_class = of_class.select("key", "n", "rep", F.coalesce("_least.rep", "rep").alias("top"), F.coalesce(F.col("_least.key") == F.col("key"), F.lit(True)).alias("first"))
+    return own, cut_lineage(of_class)  # so that the next join can be split where one class has most rows
+
+
+def ngram_join(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) per row of ``docs``.
+
+    Null and empty texts have no shingles and are linked with nothing: their component is their own
+    id. Copies share a class. Rows that repeat an id are kept and linked each by its own text. Rows
+    without an id (null) are kept and link others, but give no name to a component. A component is
+    named by its least id; components that share no text may share a name if their texts share that
+    id. Other columns are left out. The result is exact up to 64-bit hashes.
+    """
+    own, of_class = _grouped(docs, text, key, k, percent)
+    return own.join(of_class.select("key", "n", "top"), ["key", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("top", "doc_id").alias("component_id"))
+
+
+def distinct_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """Of each component one row with its least id; texts without shingles once per id; all rows without an id.
+
+    All columns are kept. An id whose rows hold texts that do not link is kept once for each of them.
+    """
+    own, of_class = _grouped(docs, text, key, k, percent)
+    first = of_class.where("first and rep is not null").select(F.col("rep").alias("_rep"), F.col("key").alias("_class"))
+    first = cut_lineage(first.unionByName(own.where("n = 0 and doc_id is not null").select(F.col("doc_id").alias("_rep"), F.col("key").alias("_class")).distinct()))
+    named = docs.where(F.col(key).isNotNull()).withColumn("_rep", F.col(key).cast("bigint"))
+    rows = named.join(first.select("_rep").distinct(), "_rep", "left_semi")
+    # Only where an id stands on several texts must a row's class be told anew.
+    many = cut_lineage(own.where("doc_id is not null").groupBy(F.col("doc_id").alias("_rep")).agg(F.min("key").alias("_low"), F.max("key").alias("_high")).where("_low < _high").select("_rep"))
+    single = rows.join(many, "_rep", "left_anti").dropDuplicates(["_rep"])
+    several = rows.join(many, "_rep", "left_semi")
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch.column(at)):
+                part = batch.slice(piece.rows.start, len(piece))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([_class(s) for s in shingle_sets(piece, k)], pa.int64())], names=names)
+
+    at, names = several.columns.index(text), [*several.columns, "_class"]
+    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in several.schema) + ", _class long"
+    told = several.mapInArrow(tell, shape).join(first, ["_rep", "_class"], "left_semi").dropDuplicates(["_rep", "_class"])
+    columns = docs.columns
+    return single.select(columns).unionByName(told.select(columns)).unionByName(docs.where(F.col(key).isNull()))

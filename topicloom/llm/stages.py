@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from topicloom.llm import secrets
 from topicloom.llm.decontaminate import decontaminate
 from topicloom.llm.mixing import mix_sources
-from topicloom.llm.ngram_join import ngram_join
+from topicloom.llm.ngram_join import distinct_documents
 from topicloom.llm.quality_rules import quality_rules
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -24,11 +24,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the least id, once; rows without an id stay."""
-    first = ngram_join(docs).where("doc_id = component_id").select("doc_id").distinct()
-    own = docs.select(COLUMNS)
-    kept = own.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(COLUMNS).unionByName(own.where("doc_id is null"))
+    """Of each group of linked documents the one with the least id, once; rows without an id stay.
+    Texts that share an id and do not link are different documents."""
+    return distinct_documents(docs.select(COLUMNS))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
