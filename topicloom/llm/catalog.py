@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicloom.llm import chat, quality_model, secrets
 from topicloom.llm import decontaminate as wu_manber
-from topicloom.llm import quality_model, secrets
+from topicloom.llm.divergence import audit
 from topicloom.llm.checks import SQL
 from topicloom.llm.html_text import extract_text
 from topicloom.llm.mixing import mix_sources
@@ -15,6 +16,7 @@ from topicloom.llm.quality_rules import quality_rules
 from topicloom.llm.substring_dedup import dedup_substrings
 from topicloom.llm.url_filter import filter_urls
 from topicloom.llm.warc import archive_round_trip
+from topicloom.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -79,6 +81,25 @@ def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
     return archive_round_trip(_table(spark, sf, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    conversations = _table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame(
+        [(chat.PLANTED_CONVERSATION, 0, "user", chat.PLANTED_TEXT), (chat.PLANTED_CONVERSATION, 1, "assistant", chat.PLANTED_TEXT)],
+        "conv_id long, turn long, role string, text string",
+    )
+    return chat.format_chats(spark, chat.turn_events(conversations.unionByName(planted)))
+
+
+def op12_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return audit(_table(spark, sf, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whiten(_table(spark, sf, "embeddings").select("vec_id", "embedding")).select(
+        "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"
+    )
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_quality_classifier": op2_quality_classifier,
@@ -90,6 +111,9 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_url_filter": op9_url_filter,
     "op10_warc": op10_warc,
+    "op11_chat_format": op11_chat_format,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 __all__ = ["QUERIES", "SQL"]

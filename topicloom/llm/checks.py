@@ -98,6 +98,56 @@ def _urls() -> str:
         SELECT page_id, host, path, rule, coalesce(says, CASE WHEN bin >= (SELECT bin FROM least_bin) THEN 'allow' ELSE 'block' END) AS verdict FROM judged"""
 
 
+def divergence_sql() -> str:
+    """Dense version of the source divergence audit: every kept term of every group, all pairs of groups."""
+    from topicloom.llm import divergence as dv
+
+    p = lambda c, n, v: f"1 + CAST((CAST({dv.SCALE} AS HUGEINT) * ({c} + {dv.SMOOTH})) // ({n} + {dv.SMOOTH} * {v}) AS BIGINT)"
+    return f"""
+        WITH d AS (SELECT row_number() OVER () AS rid, coalesce(text, '') AS t, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+        groups AS (SELECT DISTINCT lang, source FROM d),
+        tok AS (SELECT rid, lang, source, translate(w, {_q(dv.UPPER)}, {_q(dv.LOWER)}) AS term
+            FROM (SELECT rid, lang, source, unnest(regexp_extract_all(t, {_q(dv.TERM)})) AS w FROM d)),
+        kept AS (SELECT lang, term, count(*) AS lang_count FROM tok GROUP BY lang, term HAVING count(DISTINCT rid) >= {dv.MIN_DOCS}),
+        vocab AS (SELECT lang, count(*) AS V, sum(lang_count) AS lang_N FROM kept GROUP BY lang),
+        counts AS (SELECT lang, source, term, count(*) AS c FROM tok SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+        sizes AS (SELECT g.lang, g.source, coalesce(sum(c), 0) AS N, coalesce(any_value(v.V), 0) AS V, coalesce(any_value(v.lang_N), 0) AS lang_N
+            FROM groups g LEFT JOIN counts USING (lang, source) LEFT JOIN vocab v ON v.lang = g.lang GROUP BY g.lang, g.source),
+        dense AS (SELECT s.lang, s.source, k.term, coalesce(c.c, 0) AS c, {p("coalesce(c.c, 0)", "s.N", "s.V")} AS p,
+                {p("k.lang_count", "s.lang_N", "s.V")} AS q
+            FROM sizes s JOIN kept k ON k.lang = s.lang LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+        pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sum(abs(da.p - db.p)), 0) AS value
+            FROM sizes a JOIN sizes b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN dense da ON da.lang = a.lang AND da.source = a.source
+            LEFT JOIN dense db ON db.lang = b.lang AND db.source = b.source AND db.term = da.term
+            GROUP BY a.lang, a.source, b.source),
+        term AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM dense WHERE c > 0 AND p > q),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (
+            SELECT * FROM pair UNION ALL SELECT * FROM term))
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked
+        WHERE part = 'pair' OR rank <= {dv.TOP_TERMS}"""
+
+
+def chat_sql() -> str:
+    """Digests of the turns by turn order; the formatted length follows the template's escaping."""
+    from topicloom.llm import chat
+
+    esc = lambda x: f"replace(replace({x}, '\\', '\\\\'), '<|', '\\l')"
+    order = "ORDER BY turn NULLS LAST, role, text"
+    fixed = len(chat.START) + len(chat.BODY) + len(chat.END)
+    planted = _q(chat.PLANTED_TEXT)
+    return f"""
+        WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT {chat.PLANTED_CONVERSATION}, 0, 'user', {planted}
+            UNION ALL SELECT {chat.PLANTED_CONVERSATION}, 1, 'assistant', {planted})
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' {order})) AS turns_sha256,
+            CAST(coalesce(sum(length(text)) FILTER (WHERE role = '{chat.LOSS_ROLE}'), 0) AS BIGINT) AS loss_chars,
+            sha256(coalesce(string_agg(text, '' {order}) FILTER (WHERE role = '{chat.LOSS_ROLE}'), '')) AS loss_sha256,
+            CAST(sum({fixed} + length({esc("role")}) + length({esc("text")})) AS BIGINT) AS formatted_chars
+        FROM c GROUP BY conv_id"""
+
+
 SQL = {
     "op6_decontamination": r"""
         WITH doc_words AS (
@@ -133,4 +183,6 @@ SQL = {
         FROM payloads LEFT JOIN firsts USING (digest)""",
     "op5_secret_scan": _scan(),
     "op9_url_filter": _urls(),
+    "op11_chat_format": chat_sql(),
+    "op12_source_divergence": divergence_sql(),
 }
