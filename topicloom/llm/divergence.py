@@ -49,7 +49,8 @@ def _p(count: Column, total: Column, vocab: Column) -> Column:
     """1 + floor(SCALE (count + SMOOTH) / (N + SMOOTH V)), exactly (integer ``div`` of decimals)."""
     num = F.lit(SCALE).cast(_BIG) * (count + SMOOTH).cast(_BIG)
     den = (total + F.lit(SMOOTH) * vocab).cast(_BIG)
-    return F.lit(1).cast("bigint") + F.call_function("div", num, den).cast("bigint")
+    # null where N + SMOOTH V is 0, that is without kept terms
+    return F.when(den > 0, F.lit(1).cast("bigint") + F.call_function("div", num, F.when(den > 0, den)).cast("bigint"))
 
 
 def collapse(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -122,7 +123,7 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS) -> Da
         .join(sparse, ["lang", "source", "other"], "left")
         .select(
             "lang", "source", F.lit("pair").alias("part"), F.col("other").alias("item"),
-            (F.col("V") * F.abs(F.col("p0") - F.col("p0b")) + F.coalesce("delta", F.lit(0))).cast("bigint").alias("value"),
+            (F.coalesce(F.col("V") * F.abs(F.col("p0") - F.col("p0b")), F.lit(0)) + F.coalesce("delta", F.lit(0))).cast("bigint").alias("value"),
         )
     )
     by = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), F.asc("item"))
