@@ -2,8 +2,8 @@
 
 Vectors are spread over cells around pivots. A left vector visits only the cells that can hold
 a match: the half-space and cell-radius bounds used are necessary conditions, so no pair is
-lost. Cells, however full, are cut in blocks of bounded size, and each pair of blocks is one
-matrix product in one task group.
+lost. Cells, however full, are cut in blocks of bounded size by id ranges, and each pair of
+blocks that can hold a pair with partner > id is one matrix product in one task group.
 """
 
 from __future__ import annotations
@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicloom.functions.vectors import vec_norm
-from topicloom.operators.skew import dense_index
+from pyspark.sql.window import Window
+
+from topicloom.operators.skew import dense_index, lookup_join
 from topicloom.session import cut_lineage
 
 BLOCK_ROWS = 2048
@@ -81,9 +83,50 @@ def _pick_pivots(rows: DataFrame, n: int, block_rows: int) -> np.ndarray | None:
     return units if len(units) > 1 else None
 
 
-def _block_counts(placed: DataFrame, block_rows: int) -> dict[int, int]:
-    """Blocks per cell; at most MAX_PIVOTS rows come back."""
-    return {r["cell"]: math.ceil(r["n"] / block_rows) for r in placed.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+def _ranged(rows: DataFrame, block_rows: int) -> DataFrame:
+    """Rows with ``block``: their place in id order within their cell, cut every ``block_rows``.
+
+    One range-partitioned sort numbers all rows, so no task sees a whole cell; only one row per
+    cell (its first number) is broadcast."""
+    numbered = dense_index(rows, ["cell", "id"], "_nth")
+    firsts = numbered.groupBy("cell").agg(F.min("_nth").alias("_first"))
+    block = F.floor((F.col("_nth") - F.col("_first")) / F.lit(block_rows)).cast("int")
+    return lookup_join(numbered, firsts, "cell").withColumn("block", block).drop("_nth", "_first")
+
+
+def _range_blocks(routes: DataFrame, homes: DataFrame, block_rows: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """Left and right rows, each copied to the block pairs that may hold a match (partner > id).
+
+    Blocks follow id ranges. A right block whose largest id is at most a left block's least id
+    holds no partner of it, so each left block meets a suffix of the right blocks of its cell and
+    each right block a prefix of the left blocks; mirrored and empty pairs are never dealt. Both
+    ends come from one sort of the block bounds per cell (one row per block)."""
+    left, right = _ranged(routes, block_rows), _ranged(homes, block_rows)
+    tops = right.groupBy("cell", "block").agg(F.max("id").alias("bound")).withColumn("kind", F.lit(0))
+    bottoms = left.groupBy("cell", "block").agg(F.min("id").alias("bound")).withColumn("kind", F.lit(1))
+    # At equal bounds a right top comes first: it holds no partner of that left block.
+    order = Window.partitionBy("cell").orderBy("bound", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    counted = tops.unionByName(bottoms).withColumns(
+        {"tops_before": F.sum(1 - F.col("kind")).over(order), "bottoms_before": F.sum("kind").over(order) - F.col("kind")}
+    )
+    counted = cut_lineage(counted.join(tops.groupBy("cell").agg(F.count("*").alias("rbs")), "cell"))
+    plan_l = counted.where((F.col("kind") == 1) & (F.col("tops_before") < F.col("rbs"))).select(
+        "cell", "block", F.col("tops_before").cast("int").alias("first"), F.col("rbs").cast("int").alias("rbs")
+    )
+    plan_r = counted.where((F.col("kind") == 0) & (F.col("bottoms_before") > 0)).select(
+        "cell", "block", (F.col("bottoms_before") - 1).cast("int").alias("last")
+    )
+    if plan_l.isEmpty():
+        return None, None
+    lefts = lookup_join(left, plan_l, ["cell", "block"]).select(
+        "cell", F.col("block").alias("lb"), F.explode(F.sequence("first", F.col("rbs") - 1)).alias("rb"), "id", "u"
+    )
+    # Fresh names: both sides may come from one table.
+    rights = lookup_join(right, plan_r, ["cell", "block"]).select(
+        F.col("cell").alias("rcell"), F.explode(F.sequence(F.lit(0), "last")).alias("rlb"), F.col("block").alias("rrb"),
+        F.col("id").alias("partner"), F.col("u").alias("v"),
+    )
+    return lefts, rights
 
 
 def _blocked(
@@ -122,28 +165,9 @@ def _blocked(
         visits = left.mapInPandas(route, "id string, u array<double>, cells array<int>")
         routes = cut_lineage(visits).select("id", "u", F.explode("cells").alias("cell"))
 
-    right_blocks = _block_counts(homes, block_rows)
-    left_blocks = {c: b for c, b in _block_counts(routes, block_rows).items() if c in right_blocks}
-    if not left_blocks:
+    lefts, rights = _range_blocks(routes, homes, block_rows)
+    if lefts is None:
         return spark.createDataFrame([], "id string, partner string, sim double")
-    plan = spark.createDataFrame([(c, b, right_blocks[c]) for c, b in left_blocks.items()], "cell int, lbs int, rbs int")
-
-    block = F.pmod(F.xxhash64("id"), F.col("own")).cast("int")
-    copies = F.explode(F.sequence(F.lit(0), F.col("other") - 1))
-
-    def blocks(rows: DataFrame, own: str, other: str) -> DataFrame:
-        """Each row in its block, once for every block of the other side."""
-        if pivots is None:  # one cell
-            number = {"lbs": left_blocks[0], "rbs": right_blocks[0]}
-            return rows.withColumns({"own": F.lit(number[own]), "other": F.lit(number[other])})
-        counts = plan.select("cell", F.col(own).alias("own"), F.col(other).alias("other"))
-        return rows.join(F.broadcast(counts), "cell")
-
-    lefts = blocks(routes, "lbs", "rbs").select("cell", block.alias("lb"), copies.alias("rb"), "id", "u")
-    # Fresh names: both sides may come from one table.
-    rights = blocks(homes, "rbs", "lbs").select(
-        F.col("cell").alias("rcell"), copies.alias("rlb"), block.alias("rrb"), F.col("id").alias("partner"), F.col("u").alias("v")
-    )
 
     def multiply(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
