@@ -137,3 +137,42 @@ def test_waiting_nodes_do_not_share_a_key(spark):
     assert "coalesce(ref" in plan
     pairs = spark.createDataFrame([(f"{i:03d}", f"{i + 1:03d}") for i in range(200)], "id string, partner string")
     assert {tuple(r) for r in cluster.greedy_matching(pairs).collect()} == {(f"{i:03d}", f"{i + 1:03d}") for i in range(0, 200, 2)}
+
+
+def test_two_level_routing_is_exact_beyond_a_thousand_cells():
+    from topicloom.operators.similarity import _Cells
+
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(40, 8))
+    points = centres[rng.integers(0, 40, 6000)] + 0.4 * rng.normal(size=(6000, 8))
+    units = points / np.linalg.norm(points, axis=1, keepdims=True)
+    pivots = units[rng.permutation(6000)[:1500]]
+    pivots = np.unique(pivots, axis=0)
+    thres = 0.9
+    cells = _Cells(pivots, thres)
+    assert len(pivots) > 1024 and len(cells.upper) < 60
+    cell, near, group, unear = cells.home(units)
+    radius = np.full(len(pivots), -np.inf)
+    group_radius = np.full(len(cells.upper), -np.inf)
+    for c, s in zip(cell, near):
+        radius[c] = max(radius[c], np.arccos(np.clip(s, -1, 1)))
+    for g, s in zip(group, unear):
+        group_radius[g] = max(group_radius[g], np.arccos(np.clip(s, -1, 1)))
+    sample = rng.permutation(6000)[:400]
+    visits = cells.visits(units[sample], radius, group_radius)
+    sims = units[sample] @ units.T
+    for i, row in enumerate(sample):
+        needed = set(cell[np.flatnonzero(sims[i] > thres)].tolist())
+        assert needed <= set(visits[i].tolist())
+    assert np.mean([len(v) for v in visits]) < len(pivots) / 4  # routing prunes
+
+
+def test_range_blocks_deal_half_the_pairs(spark):
+    from topicloom.operators.similarity import _range_blocks
+
+    rows = [(f"{i:04d}", [1.0, 0.0], 0) for i in range(400)]
+    homes = spark.createDataFrame(rows, "id string, u array<double>, cell int")
+    lefts, rights = _range_blocks(homes, homes, 20)
+    pairs = {(r.lb, r.rb) for r in lefts.select("lb", "rb").distinct().collect()}
+    assert pairs == {(a, b) for a in range(20) for b in range(a, 20)}  # 210 of 400 block pairs
+    assert pairs == {(r.rlb, r.rrb) for r in rights.select("rlb", "rrb").distinct().collect()}

@@ -9,6 +9,7 @@ blocks that can hold a pair with partner > id is one matrix product in one task
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,6 @@ from topicloom.operators.skew import dense_index, lookup_join
 from topicloom.session import cut_lineage
 
 BLOCK_ROWS = 2048
-MAX_PIVOTS = 1024
 # Similarities are compared to this many decimals, so that the order of floating sums
 # cannot change a tie.
 DECIMALS = 12
@@ -43,44 +43,84 @@ def with_unit(docs: DataFrame, key: str = "id", vec: str = "vec", measure: str =
 
 
 class _Cells:
-    """Pivots and the rules that place right rows and route left rows."""
+    """Pivots in two levels, and the rules that place right rows and route left rows.
+
+    About sqrt(P) upper pivots are drawn from the P pivots; each pivot belongs to its nearest upper
+    one. A row's home is the nearest pivot of its nearest upper pivot's group, so placing a row costs
+    about 2 sqrt(P) products however many cells there are. Routing is exact: a group is visited when
+    the row lies within the threshold angle plus the group's radius of its upper pivot, a cell when
+    it lies within the angle plus the cell's radius, and, in the row's own group (where homes are
+    nearest pivots), when the half-space bound between the two pivots allows it.
+    """
 
     def __init__(self, pivots: np.ndarray, thres: float):
         self.pivots = pivots
         self.sin = math.sqrt(max(0.0, 1.0 - min(thres, 1.0) ** 2))
         self.angle = math.acos(min(thres, 1.0))
-        gaps = 2.0 - 2.0 * np.clip(pivots @ pivots.T, -1.0, 1.0)
-        self.gaps = np.sqrt(np.maximum(gaps, 0.0))
-
-    def near(self, u: np.ndarray) -> np.ndarray:
+        upper = max(1, math.isqrt(len(pivots) - 1) + 1)
+        self.upper = pivots[:upper]
+        owner = (pivots @ self.upper.T).argmax(axis=1)
+        self.members = [np.flatnonzero(owner == g) for g in range(upper)]
+        self.group_of = owner
+
+    @staticmethod
+    def _unit(u: np.ndarray) -> np.ndarray:
         norms = np.linalg.norm(u, axis=1, keepdims=True)
-        return (u / np.where(norms > 0, norms, 1.0)) @ self.pivots.T
-
-    def home(self, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        near = self.near(u)
-        cell = near.argmax(axis=1)
-        return cell, near[np.arange(len(u)), cell]
-
-    def visits(self, u: np.ndarray, radius: np.ndarray) -> np.ndarray:
-        """Boolean (rows, cells): whether the cell may hold a match of the row."""
-        near = self.near(u)
-        home = near.argmax(axis=1)
-        best = near[np.arange(len(u)), home]
-        half_space = best[:, None] - near <= self.sin * self.gaps[home] + SLACK
-        in_reach = np.arccos(np.clip(near, -1.0, 1.0)) <= self.angle + radius[None, :] + SLACK
-        return half_space & in_reach
+        return u / np.where(norms > 0, norms, 1.0)
+
+    def home(self, u: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(cell, cosine to it, group, cosine to the group's upper pivot) of each row."""
+        q = self._unit(u)
+        to_upper = q @ self.upper.T
+        group = to_upper.argmax(axis=1)
+        cell = np.empty(len(q), np.int64)
+        near = np.empty(len(q))
+        for g in np.unique(group):
+            rows = np.flatnonzero(group == g)
+            sims = q[rows] @ self.pivots[self.members[g]].T
+            best = sims.argmax(axis=1)
+            cell[rows] = self.members[g][best]
+            near[rows] = sims[np.arange(len(rows)), best]
+        return cell, near, group, to_upper[np.arange(len(q)), group]
+
+    def visits(self, u: np.ndarray, radius: np.ndarray, group_radius: np.ndarray) -> list[np.ndarray]:
+        """Per row, the cells that may hold a match of it."""
+        q = self._unit(u)
+        cell, near, group, _ = self.home(u)
+        to_upper = np.arccos(np.clip(q @ self.upper.T, -1.0, 1.0))
+        open_groups = to_upper <= self.angle + group_radius[None, :] + SLACK
+        found: list[list[np.ndarray]] = [[] for _ in range(len(q))]
+        for g in np.flatnonzero(open_groups.any(axis=0)):
+            rows = np.flatnonzero(open_groups[:, g])
+            cells = self.members[g]
+            sims = np.clip(q[rows] @ self.pivots[cells].T, -1.0, 1.0)
+            ok = np.arccos(sims) <= self.angle + radius[cells][None, :] + SLACK
+            own = group[rows] == g
+            if own.any():
+                mine = rows[own]
+                home_sims = near[mine]
+                gaps = np.sqrt(np.maximum(2.0 - 2.0 * np.clip(self.pivots[cell[mine]] @ self.pivots[cells].T, -1.0, 1.0), 0.0))
+                ok[own] &= home_sims[:, None] - sims[own] <= self.sin * gaps + SLACK
+            for i, row in enumerate(rows):
+                hit = cells[ok[i]]
+                if len(hit):
+                    found[row].append(hit)
+        return [np.concatenate(f).astype("int32") if f else np.zeros(0, "int32") for f in found]
 
 
 def _pick_pivots(rows: DataFrame, n: int, block_rows: int) -> np.ndarray | None:
-    """A fixed choice of at most MAX_PIVOTS rows; only these reach the driver."""
-    wanted = min(MAX_PIVOTS, n // (4 * block_rows))
+    """A fixed choice of about one row per ``4 * block_rows``; only these reach the driver."""
+    wanted = n // (4 * block_rows)
     if wanted < 2:
         return None
     chosen = rows.orderBy(F.xxhash64("id"), "id").limit(wanted).select("u").collect()
     units = np.array([r[0] for r in chosen], dtype=float)
     norms = np.linalg.norm(units, axis=1, keepdims=True)
     units = np.unique(units[norms[:, 0] > 0] / norms[norms[:, 0] > 0], axis=0)
-    return units if len(units) > 1 else None
+    if len(units) < 2:
+        return None
+    # a fixed order independent of np.unique's sort, so that the upper pivots are spread
+    return units[np.argsort(np.array([zlib.crc32(r.tobytes()) for r in units]), kind="stable")]
 
 
 def _ranged(rows: DataFrame, block_rows: int) -> DataFrame:
@@ -145,22 +185,24 @@ def _blocked(
         def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
                 if len(b):
-                    cell, near = cells.home(np.stack(b["u"].to_numpy()))
-                    yield b.assign(cell=cell.astype("int32"), near=near)
+                    cell, near, group, upper_near = cells.home(np.stack(b["u"].to_numpy()))
+                    yield b.assign(cell=cell.astype("int32"), near=near, grp=group.astype("int32"), unear=upper_near)
 
         # Written down: placed twice, a row whose last bits differ could land in a cell that no plan knows.
-        homes = cut_lineage(right.mapInPandas(place, "id string, u array<double>, cell int, near double"))
-        reach = homes.groupBy("cell").agg(F.min("near").alias("m")).collect()  # one row per pivot
+        homes = cut_lineage(right.mapInPandas(place, "id string, u array<double>, cell int, near double, grp int, unear double"))
+        # one row per pivot and per upper pivot
         radius = np.full(len(pivots), -np.inf)
-        for r in reach:
+        for r in homes.groupBy("cell").agg(F.min("near").alias("m")).collect():
             radius[r["cell"]] = math.acos(max(-1.0, min(1.0, r["m"])))
-        homes = homes.drop("near")
+        group_radius = np.full(len(cells.upper), -np.inf)
+        for r in homes.groupBy("grp").agg(F.min("unear").alias("m")).collect():
+            group_radius[r["grp"]] = math.acos(max(-1.0, min(1.0, r["m"])))
+        homes = homes.drop("near", "grp", "unear")
 
         def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
                 if len(b):
-                    yes = cells.visits(np.stack(b["u"].to_numpy()), radius)
-                    yield b.assign(cells=[np.flatnonzero(v).astype("int32") for v in yes])
+                    yield b.assign(cells=cells.visits(np.stack(b["u"].to_numpy()), radius, group_radius))
 
         visits = left.mapInPandas(route, "id string, u array<double>, cells array<int>")
         routes = cut_lineage(visits).select("id", "u", F.explode("cells").alias("cell"))
