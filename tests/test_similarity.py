@@ -176,3 +176,17 @@ def test_range_blocks_deal_half_the_pairs(spark):
     pairs = {(r.lb, r.rb) for r in lefts.select("lb", "rb").distinct().collect()}
     assert pairs == {(a, b) for a in range(20) for b in range(a, 20)}  # 210 of 400 block pairs
     assert pairs == {(r.rlb, r.rrb) for r in rights.select("rlb", "rrb").distinct().collect()}
+
+
+@pytest.mark.parametrize("thres", [0.5, 0.9])
+def test_approximate_join_finds_true_pairs_with_high_recall(spark, thres):
+    from topicloom.operators.similarity import approx_self_join, lsh_recall
+
+    rows = cloud(4, n=300)
+    docs = spark.createDataFrame(rows, "id string, vec array<double>")
+    exact = brute(rows, thres)
+    got = {(r.id, r.partner) for r in approx_self_join(docs, thres).collect()}
+    assert got <= set(exact)
+    assert len(got) >= 0.9 * len(exact)
+    report = lsh_recall(docs, thres).first()
+    assert report.exact_pairs == len(exact) and report.recall >= 0.9

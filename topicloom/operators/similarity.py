@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.functions.vectors import vec_norm
+from topicloom.functions.vectors import vec_dot, vec_norm
 from pyspark.sql.window import Window
 
 from topicloom.operators.skew import dense_index, lookup_join
@@ -316,3 +316,51 @@ def best_partner(
     best = F.min(F.struct((-F.col("sim")).alias("s"), "partner")) if pick == "max" else F.min(F.struct("partner", (-F.col("sim")).alias("s")))
     late = found.groupBy("id").agg(best.alias("b")).select("id", "b.partner", (-F.col("b.s")).alias("sim"))
     return late if early is None else early.unionByName(late)
+
+
+# Opt-in approximate join: random projection hash tables and the seed of their projections.
+LSH_TABLES = 8
+LSH_SEED = 7
+
+
+def approx_self_join(
+    docs: DataFrame, thres: float, key: str = "id", tables: int = LSH_TABLES, bucket_length: float | None = None, seed: int = LSH_SEED
+) -> DataFrame:
+    """Opt-in approximate cosine self-join: pairs (id, partner, sim), id < partner, sim > thres, of
+    vectors that share a bucket in one of ``tables`` random projections (Spark ML's bucketed random
+    projection LSH on unit vectors, where cos > t means a distance below sqrt(2 - 2t)).
+
+    Every returned pair is a true pair (similarity is computed exactly); pairs may be missed, so
+    measure with :func:`lsh_recall`. The bucket width defaults to four times the typical projected
+    distance of a pair at the threshold. Zero vectors match nothing, as in the exact join."""
+    from pyspark.ml.feature import BucketedRandomProjectionLSH
+    from pyspark.ml.functions import array_to_vector
+
+    _check(thres)
+    units = cut_lineage(with_unit(docs, key).withColumn("features", array_to_vector("u")))
+    radius = math.sqrt(max(0.0, 2.0 - 2.0 * min(thres, 1.0)))
+    dims = units.agg(F.max(F.size("u"))).first()[0]
+    if not dims:
+        return docs.sparkSession.createDataFrame([], "id string, partner string, sim double")
+    width = bucket_length or max(4.0 * radius / math.sqrt(dims), 1e-6)
+    model = BucketedRandomProjectionLSH(
+        inputCol="features", outputCol="hashes", bucketLength=width, numHashTables=tables, seed=seed
+    ).fit(units)
+    joined = model.approxSimilarityJoin(units, units, radius + SLACK, distCol="dist")
+    pairs = joined.select(
+        F.col("datasetA.id").alias("id"), F.col("datasetB.id").alias("partner"),
+        F.round(vec_dot(F.col("datasetA.u"), F.col("datasetB.u")), DECIMALS).alias("sim"),
+    )
+    return pairs.where((F.col("id") < F.col("partner")) & (F.col("sim") > thres))
+
+
+def lsh_recall(docs: DataFrame, thres: float, **options) -> DataFrame:
+    """One row: exact pairs, pairs the approximate join finds, and their ratio (1.0 without pairs)."""
+    exact = cosine_self_join(docs, thres).select("id", "partner")
+    found = approx_self_join(docs, thres, **options).select("id", "partner")
+    n_exact = exact.count()
+    n_found = found.join(exact, ["id", "partner"]).count()
+    spark = docs.sparkSession
+    return spark.createDataFrame(
+        [(n_exact, n_found, n_found / n_exact if n_exact else 1.0)], "exact_pairs long, found_pairs long, recall double"
+    )

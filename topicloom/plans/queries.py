@@ -393,6 +393,19 @@ def j8_cosine_self_join_pivots(spark, sf):
     return pairs.select("id", "partner", F.round("sim", 6).alias("sim"))
 
 
+@query
+def j8_cosine_self_join_lsh(spark, sf):
+    """Opt-in approximate join (random projection buckets); only true pairs, some may be missed."""
+    pairs = similarity.approx_self_join(src.doc_points(spark, sf), THRES)
+    return pairs.select("id", "partner", F.round("sim", 6).alias("sim"))
+
+
+@query
+def j8_lsh_recall(spark, sf):
+    """Recall of the approximate join against the exact one, over all vectors."""
+    return similarity.lsh_recall(src.doc_points(spark, sf), THRES)
+
+
 # ---------------------------------------------------------------- aggregations
 
 
