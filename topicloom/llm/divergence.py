@@ -1,11 +1,13 @@
 """Source divergence audit: how far each source's term distribution lies from the others of its language.
 
 Method (duplicate-text collapse): identical texts of one language are grouped first, with their
-multiplicity per source (a 256-bit digest names a text; map-side aggregation folds copies before any
+multiplicity per source (two 64-bit hashes name a text; map-side aggregation folds copies before any
 shuffle). Each distinct text is tokenized once; its term counts are weighted by those multiplicities
-into document frequencies and counts. Pairs of sources are then evaluated sparsely: a term that
-neither source of a pair uses contributes the difference of the two baselines, which is added in
-closed form, so only nonzero (source, term) entries meet the other sources of their language.
+into document frequencies and counts. Pairs are then evaluated from the sparse nonzero
+(source, term) entries: the kept terms of a language are dealt in blocks, each block meets the list
+of its language's sources, a missing entry takes its source's baseline (the p of count 0), and the
+pair sums of a block are integer matrix sums in numpy. Only S^2 partial sums per block are shuffled
+(S sources of the language), never one row per entry and other source.
 
 Definitions (all arithmetic on integers): text, lang and source read null as ''. Terms are matches of
 ``TERM`` with A-Z lower-cased. A language keeps its ``V`` terms found in at least ``MIN_DOCS`` of its
@@ -27,19 +29,24 @@ rows count as documents each time. Extra columns are ignored.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from topicloom.operators.skew import lookup_join, top_per_group
-from topicloom.session import cut_lineage
+from topicloom.session import cut_lineage, scratch_path
 
 # Fixed values of the contract.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+GAP = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCS = 30
 SMOOTH = 5
 SCALE = 1_000_000_000
 TOP_TERMS = 50
+# Cells (sources x terms) of one block of the pair evaluation.
+BLOCK_CELLS = 1 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _BIG = "decimal(38,0)"
@@ -54,35 +61,91 @@ def _p(count: Column, total: Column, vocab: Column) -> Column:
 
 
 def collapse(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(multiplicities: lang, _h, source, m), (term counts of each distinct text: lang, _h, term, tf)."""
+    """(multiplicities: lang, _h, source, m), (term counts of each distinct text: lang, _h, term, tf).
+
+    ``_h`` is a 128-bit name of the text (two 64-bit hashes)."""
     d = docs.select(
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
         F.coalesce(F.col("lang"), F.lit("")).alias("lang"),
         F.coalesce(F.col("source"), F.lit("")).alias("source"),
-    ).withColumn("_h", F.sha2("text", 256))
+    ).withColumn("_h", F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b")))
     mult = d.groupBy("lang", "_h", "source").agg(F.count(F.lit(1)).alias("m"))
     distinct = d.select("lang", "_h", "text").dropDuplicates(["lang", "_h"])
+    # terms are the pieces between runs of the other characters; lower-casing A-Z first keeps classes as they are
+    pieces = F.split(F.translate("text", UPPER, LOWER), GAP, -1)
     terms = (
-        distinct.select("lang", "_h", F.explode(F.regexp_extract_all("text", F.lit(TERM), F.lit(0))).alias("term"))
-        .withColumn("term", F.translate("term", UPPER, LOWER))
+        distinct.select("lang", "_h", F.explode(pieces).alias("term"))
+        .where(F.col("term") != "")
         .groupBy("lang", "_h", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
     return mult, terms
 
 
+def _written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet below the shared folder and read again: texts are tokenized once."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _pair_sums(nz: DataFrame, table: DataFrame) -> DataFrame:
+    """``lang, source, other, value``: sum over kept terms of |p - q| for every two sources of a language.
+
+    The kept terms of a language are dealt in blocks of about ``BLOCK_CELLS / S`` terms (S its
+    sources). A block meets the list of its language's sources with their baselines; in it, a source
+    without an entry for a term takes its baseline ``p0``, and the pair sums over the block's terms
+    are integer matrix sums. Every kept term has an entry somewhere, so the blocks cover all kept
+    terms, and only S^2 partial sums per block are shuffled."""
+    shape = table.groupBy("lang").agg(F.count(F.lit(1)).alias("S"), F.max("V").alias("V"))
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("V") * F.col("S") / F.lit(BLOCK_CELLS))).cast("bigint")
+    shape = shape.withColumn("blocks", blocks).where(F.col("V") > 0)
+    entries = lookup_join(nz.select("lang", "source", "term", "p"), shape.select("lang", "blocks"), "lang").select(
+        "lang", F.pmod(F.xxhash64("term"), F.col("blocks")).alias("block"), "source", "term", "p"
+    )
+    sources = lookup_join(table.select("lang", "source", "p0"), shape.select("lang", "blocks"), "lang").select(
+        "lang", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"), "source", "p0"
+    )
+
+    def evaluate(key, e: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
+        if not len(e) or not len(s):
+            return pd.DataFrame({"lang": [], "source": [], "other": [], "value": []})
+        names = s["source"].to_numpy(dtype=object)
+        place = {name: i for i, name in enumerate(names)}
+        terms, column = np.unique(e["term"].to_numpy(dtype=object), return_inverse=True)
+        p = np.repeat(s["p0"].to_numpy(np.int64)[:, None], len(terms), axis=1)
+        p[[place[x] for x in e["source"]], column] = e["p"].to_numpy(np.int64)
+        n = len(names)
+        sums = np.zeros((n, n), np.int64)
+        step = max(1, BLOCK_CELLS // max(1, n * len(terms)))
+        for lo in range(0, n, step):
+            sums[lo : lo + step] = np.abs(p[lo : lo + step, None, :] - p[None, :, :]).sum(axis=2)
+        a, b = np.nonzero(~np.eye(n, dtype=bool))
+        return pd.DataFrame({"lang": key[0], "source": names[a], "other": names[b], "value": sums[a, b]})
+
+    partial = entries.groupBy("lang", "block").cogroup(sources.groupBy("lang", "block")).applyInPandas(
+        evaluate, "lang string, source string, other string, value long"
+    )
+    return partial.groupBy("lang", "source", "other").agg(F.sum("value").alias("value"))
+
+
 def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS) -> DataFrame:
     """Rows ``lang, source, part, item, value, rank`` (see the module)."""
     mult, terms = collapse(docs)
     groups = mult.groupBy("lang", "source").agg(F.lit(1).alias("_one")).drop("_one")
     weighted = terms.join(mult, ["lang", "_h"])
-    counts = weighted.groupBy("lang", "source", "term").agg(
-        F.sum(F.col("tf") * F.col("m")).alias("count"), F.sum("m").alias("docs")
+    counts = weighted.groupBy("lang", "source", "term").agg(F.sum(F.col("tf") * F.col("m")).alias("count"), F.sum("m").alias("docs"))
+    # a term's rows over the sources of its language (at most one per source) give its document frequency
+    over = Window.partitionBy("lang", "term")
+    entries = _written(
+        counts.withColumn("lang_docs", F.sum("docs").over(over))
+        .withColumn("lang_count", F.sum("count").over(over))
+        .where(F.col("lang_docs") >= min_docs)
+        .select("lang", "source", "term", "count", "lang_count"),
+        "divergence",
     )
-    frequent = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("count").alias("count"))
-    kept = frequent.where(F.col("docs") >= min_docs).select("lang", "term", F.col("count").alias("lang_count"))
+    kept = entries.select("lang", "term", "lang_count").dropDuplicates(["lang", "term"])
     vocab = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("V"), F.sum("lang_count").alias("lang_N"))
-    entries = counts.join(kept, ["lang", "term"]).select("lang", "source", "term", "count", "lang_count")
     sizes = entries.groupBy("lang", "source").agg(F.sum("count").alias("N"))
     # every occurring group, with its N (0 without kept terms) and V of its language
     table = (
@@ -106,24 +169,14 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS) -> Da
         top,
     )
     others = table.select("lang", F.col("source").alias("other"), F.col("p0").alias("p0b"))
-    met = (
-        lookup_join(nz.select("lang", "source", "term", "p", "p0"), others, "lang")
-        .where(F.col("source") != F.col("other"))
-        .join(nz.select("lang", F.col("source").alias("other"), "term", F.col("p").alias("pb")), ["lang", "other", "term"], "left")
-    )
-    base = F.abs(F.col("p0") - F.col("p0b"))
-    forward = met.select("lang", "source", "other", (F.abs(F.col("p") - F.coalesce("pb", "p0b")) - base).alias("delta"))
-    backward = met.where(F.col("pb").isNull()).select(
-        "lang", F.col("other").alias("source"), F.col("source").alias("other"), (F.abs(F.col("p0b") - F.col("p")) - base).alias("delta")
-    )
-    sparse = forward.unionByName(backward).groupBy("lang", "source", "other").agg(F.sum("delta").alias("delta"))
+    sparse = _pair_sums(nz, table)
     pairs = (
-        lookup_join(table.select("lang", "source", "V", "p0"), others, "lang")
+        lookup_join(table.select("lang", "source"), others, "lang")
         .where(F.col("source") != F.col("other"))
         .join(sparse, ["lang", "source", "other"], "left")
         .select(
             "lang", "source", F.lit("pair").alias("part"), F.col("other").alias("item"),
-            (F.coalesce(F.col("V") * F.abs(F.col("p0") - F.col("p0b")), F.lit(0)) + F.coalesce("delta", F.lit(0))).cast("bigint").alias("value"),
+            F.coalesce("value", F.lit(0)).cast("bigint").alias("value"),
         )
     )
     by = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), F.asc("item"))
