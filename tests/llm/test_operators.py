@@ -319,3 +319,35 @@ def test_empty_tables(spark, texts):
     assert ngram_join(none).count() == dedup_substrings(none).count() == quality_rules(none).count() == 0
     assert decontaminate.decontaminate(none, benchmark).count() == secrets.scan(none).count() == 0
     assert {r["items"] == [] for r in decontaminate.decontaminate(table(spark, texts), benchmark).collect()} == {True}
+
+
+def test_components_rounds_stay_within_links_and_nodes(spark):
+    draw = random.Random(11)
+    hub = [(0, i) for i in range(1, 3000)]
+    chain = [(5000 + i, 5001 + i) for i in range(2000)]
+    loose = [(draw.randrange(10_000, 15_000), draw.randrange(10_000, 15_000)) for _ in range(6000)]
+    links = hub + chain + loose + [(b, a) for a, b in hub[:500]]
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        x, y = find(a), find(b)
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+    nodes = {n for link in links for n in link}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        trace = []
+        df = spark.createDataFrame(links, "a long, b long").repartition(200)
+        found = {r.node: r.component for r in components(df, trace=trace).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found == {n: find(n) for n in nodes if any(find(m) == find(n) for m in nodes if m != n)} | {n: find(n) for n in nodes if find(n) != n}
+    assert max(trace) <= len(links) + len(nodes)

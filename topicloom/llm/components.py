@@ -44,26 +44,38 @@ def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, rounds: int = 60, trace: list | None = None) -> DataFrame:
     """(node, component) for every node of ``links`` (columns a, b): the least node it reaches.
 
-    Each round turns the links of a partition into stars around their least nodes, and hands every
-    node on to the parent of its parent. Self-links, repeated and mirrored links make no
-    difference; an empty table gives an empty one.
+    Each round turns the links of every task into stars around their least nodes before any shuffle
+    (a node keeps at most one link per task), then gives every node one parent, the least of its
+    partners; its other partners are hooked onto that parent, and every link's lower end jumps to its
+    parent through a table of one row per node. So a round never holds more rows than links plus nodes,
+    whatever the shape (hubs, chains, large groups). Self-links, repeated and mirrored links make no
+    difference; an empty table gives an empty one. ``trace`` collects the rows of each round.
     """
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     before = None
     for _ in range(rounds):
-        found = edges.repartition("u").mapInArrow(_contracted, "u long, v long")
-        # Both sides are shuffled for this join alone, so one that has most of the links can be split.
-        parents = found.select(F.col("u").alias("_u"), F.col("v").alias("_v")).hint("merge")
-        jumped = found.join(parents, F.col("v") == F.col("_u"), "left").select("u", F.coalesce("_v", "v").alias("v"))
+        local = edges.mapInArrow(_contracted, "u long, v long")
+        best = local.groupBy("u").agg(F.min("v").alias("p"))
+        hooked = (
+            local.join(best, "u")
+            .where(F.col("v") != F.col("p"))
+            .select(F.greatest("v", "p").alias("u"), F.least("v", "p").alias("v"))
+        )
+        tied = best.select("u", F.col("p").alias("v")).unionByName(hooked)
+        parents = best.select(F.col("u").alias("_u"), F.col("p").alias("_p"))
+        jumped = tied.join(parents, F.col("v") == F.col("_u"), "left").select("u", F.coalesce("_p", "v").alias("v"))
         edges, now = written(jumped, F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum"))
+        if trace is not None:
+            trace.append(now["n"])
         if now == before or now["n"] == 0:
             break
         before = now
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
+    edges = edges.groupBy("u").agg(F.min("v").alias("v"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
