@@ -53,6 +53,20 @@ def test_save_partition(spark, tmp_path):
         tables.save_partition(rows.select("s"), table, 1)
 
 
+def test_save_partition_keeps_old_rows_when_the_write_fails(spark, tmp_path):
+    table = str(tmp_path / "t")
+    rows = spark.range(6).withColumn("s", F.lit("x"))
+    tables.save_partition(rows, table, 1)
+    failing = rows.withColumn("id", F.when(F.col("id") > 3, F.raise_error(F.lit("boom"))).otherwise(F.col("id")).cast("bigint"))
+    with pytest.raises(Exception, match="boom"):
+        tables.save_partition(failing, table, 1)
+    assert sorted(r.id for r in tables.read_partition(spark, table, 1).collect()) == list(range(6))
+    # rows computed from the partition they replace
+    tables.save_partition(tables.read_partition(spark, table, 1, ["id", "s"]).where("id % 2 = 0"), table, 1)
+    assert sorted(r.id for r in tables.read_partition(spark, table, 1).collect()) == [0, 2, 4]
+    assert tables.read_partition(spark, table).count() == 3  # no staging folder is read
+
+
 def test_schema():
     assert tables.create_schema([("a", "INT"), ("b", "Bool")]).simpleString() == "struct<a:int,b:boolean>"
     assert tables.create_string_schema(["a"]).simpleString() == "struct<a:string>"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,8 +52,10 @@ def partition_path(table: str, dt: str | int) -> str:
 def save_partition(df: DataFrame, table: str, dt: str | int, part_type: str = "bigint") -> None:
     """Replace one partition of a table, also when the new rows are none at all.
 
-    Writing into the folder of the partition leaves all other partitions alone and needs no
-    shuffle. An existing table keeps its columns: they must match in number and type and are
+    The rows are written to a staging folder of the table first (its name starts with ``_``, so
+    readers skip it) and then put in place of the partition by renames: a failed write leaves the
+    old rows alone, and the rows may be computed from the partition they replace. Other partitions
+    are not touched and nothing is shuffled. An existing table keeps its columns: they must match in number and type and are
     filled by position."""
     if part_type not in ("bigint", "string"):
         raise ValueError(f"unknown partition type: {part_type}")
@@ -64,7 +67,28 @@ def save_partition(df: DataFrame, table: str, dt: str | int, part_type: str = "b
         if types != [f.dataType.simpleString() for f in old]:
             raise ValueError(f"columns {types} do not fit the table {old.simpleString()}")
         df = df.toDF(*old.names)
-    df.write.mode("overwrite").parquet(partition_path(table, dt))
+    target = partition_path(table, dt)
+    stage = f"{table.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+    df.write.parquet(stage)  # the old rows stay as they are until the new ones are complete
+    _swap(df.sparkSession, stage, target)
+
+
+def _swap(spark: SparkSession, stage: str, target: str) -> None:
+    """Put a written folder in place of another by renames on one file system; on failure the old one stays."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    new, old = jvm_path(stage), jvm_path(target)
+    fs = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    retired = jvm_path(f"{stage}-retired")
+    had = fs.exists(old)
+    if had and not fs.rename(old, retired):
+        fs.delete(new, True)
+        raise OSError(f"could not move {target} aside")
+    if not fs.rename(new, old):
+        if had:
+            fs.rename(retired, old)
+        raise OSError(f"could not move {stage} to {target}")
+    if had:
+        fs.delete(retired, True)
 
 
 def _folders(spark: SparkSession, table: str) -> list[str]:
