@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.llm.texts import LETTERS_DIGITS, LOWER, Piece, Rolling, U, Words, mix, pieces
+from topicloom.llm.texts import LETTERS_DIGITS, LOWER, Piece, Rolling, U, Words, mix, pieces, bound_batches
 from topicloom.session import cut_lineage
 
 WINDOW = 10
@@ -184,6 +184,7 @@ def decontaminate(
     benchmark passes through the driver in parts of about ``pattern_words`` words (by its size in
     characters, an upper bound). Each part costs one pass over the documents. No shuffle takes place.
     """
+    bound_batches(docs)
     rows = benchmark.select(F.col(item_key).alias("_id"), F.coalesce(item_text, F.lit("")).alias("_text")).where("_id is not null")
     total = rows.agg(F.sum(F.length("_text"))).first()[0] or 0
     parts = -(-total // (2 * pattern_words)) or 1  # a word and its separator take two characters at least

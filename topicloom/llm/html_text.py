@@ -237,6 +237,7 @@ def extract_text(pages: DataFrame, html: str = "html", carry: tuple[str, ...] =
     Null and empty pages give an empty text. Repeated rows are read each for itself; other columns
     are left out. No shuffle takes place.
     """
+    bound_batches(pages)
     names = [*carry, "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

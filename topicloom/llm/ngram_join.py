@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicloom.llm.components import components, written
-from topicloom.llm.texts import LOWER, NOT_SPACE, Piece, Rolling, U, Words, combine, mix, pieces, windows
+from topicloom.llm.texts import LOWER, NOT_SPACE, Piece, Rolling, U, Words, combine, mix, pieces, windows, bound_batches
 from topicloom.operators.skew import lookup_join
 from topicloom.session import cut_lineage
 
@@ -511,6 +511,7 @@ def ngram_join(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int
     named by its least id; components that share no text may share a name if their texts share that
     id. Other columns are left out. The result is exact up to 64-bit hashes.
     """
+    bound_batches(docs)
     own, of_class = _grouped(docs, text, key, k, percent)
     return own.join(of_class.select("key", "n", "top"), ["key", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("top", "doc_id").alias("component_id"))
 

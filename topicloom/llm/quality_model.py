@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from topicloom.llm.boosted_trees import Forest, predict, train
 from topicloom.llm.quality_rules import _repeated, _repeated_lines
-from topicloom.llm.texts import NOT_SPACE, Piece, Rolling, U, Words, mix, pieces
+from topicloom.llm.texts import NOT_SPACE, Piece, Rolling, U, Words, mix, pieces, bound_batches
 
 MAX_ROWS = 20_000
 ACCEPT = 0.7
@@ -118,6 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
 def score(docs: DataFrame, forest: Forest, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, held_out, score, predicted) per row; null and empty texts get the score of zeros in all
     statistics. Repeated rows are scored each for itself; other columns are left out. No shuffle."""
+    bound_batches(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

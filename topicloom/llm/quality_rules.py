@@ -17,7 +17,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from topicloom.llm.texts import NOT_SPACE, Rolling, Words, combine, mix, pieces, windows
+from topicloom.llm.texts import NOT_SPACE, Rolling, Words, combine, mix, pieces, windows, bound_batches
 
 # Compressed size over plain size that a whole text may have, by its size in bytes up to the bound.
 BANDS: tuple[tuple[float, float, float], ...] = (
@@ -95,6 +95,7 @@ def quality_rules(
     Null and empty texts have no words and fail the base rule (fewer than 50 words). Repeated
     rows are judged each for itself; all other columns are left out. No shuffle takes place.
     """
+    bound_batches(docs)
     fields = [docs.schema[c] for c in carry]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

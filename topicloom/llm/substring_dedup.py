@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.llm.texts import Rolling, U, mix, pieces
+from topicloom.llm.texts import Rolling, U, mix, pieces, bound_batches
 from topicloom.session import cut_lineage
 
 LENGTH = 200
@@ -278,6 +278,7 @@ def dedup_substrings(
     ``length`` bytes keep all. Rows that repeat id and text are documents like others: they remove
     each other. Other columns are left out. Exact up to 64-bit hashes.
     """
+    bound_batches(docs)
     spark = docs.sparkSession
     body = F.coalesce(F.col(text), F.lit(""))
     own = docs.select(F.col(key).alias("_id"), body.alias("_text"), F.xxhash64(F.col(key), body).alias("_key"))

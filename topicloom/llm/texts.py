@@ -13,6 +13,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECE = 1 << 20
+# Largest Arrow batch of whole texts that a task sends to Python.
+BATCH_BYTES = 16 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 U = np.uint64
 _R = U(0x9E3779B97F4A7C15 | 1)
 _R_INVERSE = U(pow(int(_R), -1, 1 << 64))
@@ -129,3 +132,14 @@ def combine(words: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
     for i in range(k):
         total = total * _R + mix(words[starts + i] + U(i))
     return mix(total)
+
+
+def bound_batches(df):
+    """Lower the session's bound on Arrow batches to ``BATCH_BYTES`` (a larger bound is lowered, a
+    smaller one kept), so that a batch of long texts cannot fill a Python worker; returns ``df``."""
+    spark = df.sparkSession
+    now = spark.conf.get(_BATCH_CONF, None)
+    digits = "".join(c for c in (now or "") if c.isdigit())
+    if not digits or int(digits) > BATCH_BYTES:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+    return df

@@ -23,6 +23,7 @@ from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicloom.llm.texts import bound_batches
 from topicloom.session import cut_lineage, scratch_path
 
 SKIPPABLE = 0x184D2A5D
@@ -208,6 +209,7 @@ def read_warc(spark: SparkSession, files: DataFrame, payload: bool = True) -> Da
 
 def archive_round_trip(pages: DataFrame, path: str | None = None) -> DataFrame:
     """Write the pages as archives in a fresh shared folder and read them back."""
+    bound_batches(pages)
     spark = pages.sparkSession
     path = path or scratch_path(spark, "warc")
     if "://" not in path:  # a plain path of a local master
