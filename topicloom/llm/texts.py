@@ -14,8 +14,10 @@ import pyarrow.compute as pc
 
 PIECE = 1 << 20
 # Largest Arrow batch of whole texts that a task sends to Python.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
+BATCH_ROWS = 2_000
 _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+_ROWS_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 U = np.uint64
 _R = U(0x9E3779B97F4A7C15 | 1)
 _R_INVERSE = U(pow(int(_R), -1, 1 << 64))
@@ -135,11 +137,12 @@ def combine(words: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
 
 
 def bound_batches(df):
-    """Lower the session's bound on Arrow batches to ``BATCH_BYTES`` (a larger bound is lowered, a
-    smaller one kept), so that a batch of long texts cannot fill a Python worker; returns ``df``."""
+    """Lower the session's bounds on Arrow batches to ``BATCH_BYTES`` and ``BATCH_ROWS`` (larger
+    bounds are lowered, smaller ones kept), so that a batch of texts cannot fill a Python worker;
+    returns ``df``."""
     spark = df.sparkSession
-    now = spark.conf.get(_BATCH_CONF, None)
-    digits = "".join(c for c in (now or "") if c.isdigit())
-    if not digits or int(digits) > BATCH_BYTES:
-        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+    for conf, limit in ((_BATCH_CONF, BATCH_BYTES), (_ROWS_CONF, BATCH_ROWS)):
+        digits = "".join(c for c in (spark.conf.get(conf, None) or "") if c.isdigit())
+        if not digits or int(digits) <= 0 or int(digits) > limit:
+            spark.conf.set(conf, str(limit))
     return df
