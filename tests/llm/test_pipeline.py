@@ -25,7 +25,7 @@ def documents(spark):
 
 def test_every_operator_is_registered():
     names = set(entry_points.queries())
-    assert {n.split("_")[0] for n in names if re.match(r"op\d+_", n)} == {f"op{i}" for i in range(1, 11)} and "pipeline" in names
+    assert {n.split("_")[0] for n in names if re.match(r"op\d+_", n)} == {f"op{i}" for i in range(1, 14)} and "pipeline" in names
     assert set(checks.SQL) <= set(catalog.QUERIES) <= names
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "quality rules" and len(corpus_pipeline.STAGES) == 5
 
