@@ -179,3 +179,15 @@ def test_inverted_index_round_trip(spark):
     index = labels.word2label(rows)
     back = labels.word2label(index.select(F.col("label").alias("word"), F.col("word").alias("class_id"), F.col("cnt").alias("weight")))
     assert {(r.word, r.label, r.cnt) for r in back.collect()} == {(1, "a", 2), (1, "b", 1), (2, "a", 5)}
+
+
+def test_terms_of_a_search_travel_without_its_text(spark, lexicon):
+    """Equal rows of one key add up; only numbers and words are dealt out, never a text with each of its terms."""
+    log = spark.createDataFrame([("u1", "phone case", 1)] * 2 + [("u2", None, 1)], "imei string, key_word string, turn int")
+    index = spark.createDataFrame([("phone", "b"), ("phone", "a"), ("case", "b")], "word string, label string")
+    found = labels.match_labels(log, index, lexicon, key=["imei", "turn"])
+    got = {r.imei: (r.words, [tuple(x) for x in r.labels]) for r in found.collect()}
+    assert got == {"u1": (["phone", "phone", "case", "case"], [("b", 4), ("a", 2)]), "u2": ([], [])}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    dealt = next(line for line in plan.splitlines() if "RepartitionByExpression" in line)
+    assert "_row" in dealt and "key_word" not in dealt

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from topicloom.functions.text import tag_prefixes
 from topicloom.operators.filters import SEARCH_NATURES, keep_nature, max_label_fanout
 from topicloom.operators.segment import segment
-from topicloom.operators.skew import lookup_join, ranked_within
+from topicloom.operators.skew import dense_index, lookup_join, ranked_within
 from topicloom.operators.stats import dedupe_map
+from topicloom.session import cut_lineage
 
 TOP_LABELS = 5
 
@@ -43,54 +44,82 @@ def _score_log(
     key: Sequence[str] | None,
     lexicon: DataFrame | None,
     simplify: Mapping[str, str] | None,
+    names: DataFrame | None = None,
     **options,
 ) -> DataFrame:
     """Words found in ``dictionary``(word, labels array) and the best labels per log row.
 
-    Without a ``key`` equal rows are handled once and handed out as often as they occur. The
-    labels of a row travel as arrays and are exploded only where the row's terms lie.
+    Without a ``key`` equal rows are handled once and handed out as often as they occur. Rows are
+    numbered and written down; only (row, place, word) meets the dictionary, and only the terms
+    found there travel back to their row: no text is copied to its terms. With ``names``(label, code),
+    codes in the order of the labels, the dictionary holds codes, and the ``k`` best get their names back.
     """
+    repeated = F.count("*").alias("_copies")
     if key is None:
         key = ["imei", "key_word"]
-        rows = log.groupBy(*key).agg(F.count("*").alias("_copies"))
+        rows = log.groupBy(*key).agg(repeated).withColumn("_times", F.lit(1).cast("bigint"))
     else:
+        # Rows that agree in all of these are one row with the terms of each.
         key = list(dict.fromkeys([*key, "imei", "key_word"]))
-        rows = log.select(*key).withColumn("_copies", F.lit(1).cast("bigint"))
-    carried = [*key, "_copies"]
-    cut = segment(rows, "key_word", "_words", lexicon=lexicon, simplify=simplify, key=key, **options)
-    terms = cut.select(*carried, F.posexplode_outer("_words").alias("pos", "word"))
-    found = lookup_join(terms, dictionary, "word", "left")
-    together = found.repartition(*[F.col(c) for c in key])
+        rows = log.groupBy(*key).agg(repeated).withColumns({"_times": F.col("_copies"), "_copies": F.lit(1).cast("bigint")})
+    rows = cut_lineage(rows.withColumn("_row", F.monotonically_increasing_id()))
+    cut = segment(rows.select("_row", "_times", "key_word"), "key_word", "_words", lexicon=lexicon, simplify=simplify, key="_row", **options)
+    terms = cut.select("_row", "_times", F.posexplode_outer("_words").alias("pos", "word")).where(F.col("word").isNotNull())
+    found = lookup_join(terms, dictionary, "word").where(F.col("labels").isNotNull())
+    together = found.repartition("_row")
     nothing = F.lit(None)
-    term = F.struct(
-        nothing.cast(label_type).alias("label"),
-        F.when(F.col("labels").isNotNull(), F.col("pos")).alias("pos"),
-    )
+    term = F.struct(nothing.cast(label_type).alias("label"), F.col("pos").alias("pos"))
     hits = F.transform("labels", lambda x: F.struct(x.alias("label"), nothing.cast("int").alias("pos")))
-    events = together.select(
-        *carried, "word", F.explode(F.concat(F.array(term), F.coalesce(hits, F.array().cast(f"array<struct<label:{label_type},pos:int>>")))).alias("e")
-    )
+    events = together.select("_row", "_times", "word", F.explode(F.concat(F.array(term), hits)).alias("e"))
     is_label = F.col("e.label").isNotNull()
-    per_label = events.groupBy(*carried, F.col("e.label").alias("label")).agg(
-        F.count("*").alias("n"),
-        F.collect_list(F.when(~is_label & F.col("e.pos").isNotNull(), F.struct("e.pos", "word"))).alias("words"),
+    per_label = events.groupBy("_row", F.col("e.label").alias("label")).agg(
+        F.sum("_times").alias("n"),
+        F.collect_list(F.when(~is_label, F.struct("e.pos", "word", "_times"))).alias("words"),
     )
-    scored = per_label.groupBy(*carried).agg(
-        F.sort_array(F.flatten(F.collect_list("words"))).alias("words"),
+    best = per_label.groupBy("_row").agg(
+        F.sort_array(F.flatten(F.collect_list("words"))).alias("_words"),
         F.slice(
             F.sort_array(F.collect_list(F.when(F.col("label").isNotNull(), F.struct((-F.col("n")).alias("o"), "label")))),
             1,
             k,
-        ).alias("labels"),
+        ).alias("_labels"),
     )
-    return scored.select(
+    if names is not None:
+        best = _named(best, names)
+    rows = rows.join(best, "_row", "left")
+    label = best.schema["_labels"].dataType.elementType["label"].dataType.simpleString()
+    every_time = F.transform("_words", lambda x: F.array_repeat(x["word"], x["_times"].cast("int")))
+    counted = F.transform("_labels", lambda x: F.struct(x["label"].alias("label"), (-x["o"]).alias("n")))
+    return rows.select(
         *key,
-        F.transform("words", lambda x: x["word"]).alias("words"),
-        F.transform("labels", lambda x: F.struct(x["label"].alias("label"), (-x["o"]).alias("n"))).alias("labels"),
+        F.coalesce(F.flatten(every_time), F.array().cast("array<string>")).alias("words"),
+        F.coalesce(counted, F.array().cast(f"array<struct<label:{label},n:bigint>>")).alias("labels"),
         F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))).alias("_copy"),
     ).drop("_copy")
 
 
+def _named(best: DataFrame, names: DataFrame) -> DataFrame:
+    """The names of the best labels in place of their codes."""
+    listed = best.select("_row", "_words", F.posexplode_outer("_labels").alias("_at", "_l")).select(
+        "_row", F.when(F.coalesce("_at", F.lit(0)) == 0, F.col("_words")).alias("_words"), F.col("_l.o").alias("o"), F.col("_l.label").alias("code")
+    )
+    named = lookup_join(listed, names, "code", "left")
+    item = F.when(F.col("code").isNotNull(), F.struct("o", "label"))
+    return named.groupBy("_row").agg(F.max("_words").alias("_words"), F.sort_array(F.collect_list(item)).alias("_labels"))
+
+
+def _coded(dictionary: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The dictionary with numbers for its labels, and their names: (word, labels), (code, label).
+
+    Terms carry all labels of their word through a shuffle; numbers take a tenth of the names."""
+    entries = cut_lineage(dictionary.select("word", "labels").withColumn("_entry", F.monotonically_increasing_id()))
+    pairs = entries.select("_entry", "word", F.explode_outer("labels").alias("label"))
+    kinds = pairs.select("label").where(F.col("label").isNotNull()).distinct()
+    names = cut_lineage(dense_index(kinds, ["label"], "code").withColumn("code", F.col("code").cast("int")))
+    coded = lookup_join(pairs, names, "label", "left").groupBy("_entry").agg(F.min("word").alias("word"), F.collect_list("code").alias("labels"))
+    return coded.select("word", "labels"), names
+
+
 def _tagged(lexicon: DataFrame, keep: Column) -> DataFrame:
     return lexicon.where(keep).select("word")
 
@@ -110,10 +139,9 @@ def match_labels(
     (word, label) and the row's ``k`` best labels as (label, n).
 
     Words of ``fanout`` or more labels are not used; ``options`` go to the segmentation."""
-    label_type = index.schema["label"].dataType.simpleString()
     nouns = _tagged(lexicon, keep_nature(min_len=1))
-    dictionary = max_label_fanout(index, fanout).join(nouns, "word")
-    return _score_log(log, dictionary, label_type, k, key, lexicon if by_lexicon else None, simplify, **options)
+    dictionary, names = _coded(max_label_fanout(index, fanout).join(nouns, "word"))
+    return _score_log(log, dictionary, "int", k, key, lexicon if by_lexicon else None, simplify, names, **options)
 
 
 def match_tags(
