@@ -190,3 +190,35 @@ def test_approximate_join_finds_true_pairs_with_high_recall(spark, thres):
     assert len(got) >= 0.9 * len(exact)
     report = lsh_recall(docs, thres).first()
     assert report.exact_pairs == len(exact) and report.recall >= 0.9
+
+
+def test_a_vector_travels_once_per_block_however_small_the_cells(spark, monkeypatch):
+    """Cells of 2 rows: the group of each pair of blocks finds all pairs, and no vector is dealt to every cell."""
+    from topicloom.operators import similarity
+
+    dealt = []
+    inner = similarity._range_blocks
+
+    def watched(*args):
+        lefts, rights = inner(*args)
+        dealt.append((lefts.groupBy("id").count().agg({"count": "max"}).first()[0], lefts.count()))
+        return lefts, rights
+
+    monkeypatch.setattr(similarity, "_range_blocks", watched)
+    rows = cloud(6, n=170)
+    got = cosine_self_join(spark.createDataFrame(rows, "id string, vec array<double>"), 0.5, block_rows=2).collect()
+    assert {(r.id, r.partner) for r in got} == set(brute(rows, 0.5)) and len(got) == len(set(brute(rows, 0.5)))
+    assert dealt[0][0] <= similarity.BLOCKS and dealt[0][1] <= len(rows) * (similarity.BLOCKS + 3) / 2
+
+
+def test_approximate_join_deals_rows_to_blocks_only(spark):
+    """Pairs come from the groups as they are: one row per pair, also for repeated rows, nothing made distinct afterwards."""
+    from topicloom.operators.similarity import approx_self_join, lsh_recall
+
+    rows = cloud(7, n=60) + cloud(7, n=60)[:9]
+    docs = spark.createDataFrame(rows, "id string, vec array<double>")
+    found = approx_self_join(docs, 0.5)
+    got = [(r.id, r.partner) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) <= set(brute(cloud(7, n=60), 0.5))
+    assert "FlatMapCoGroupsInPandas" in found._jdf.queryExecution().optimizedPlan().toString().splitlines()[0]
+    assert lsh_recall(docs, 0.5).first().exact_pairs == len(brute(cloud(7, n=60), 0.5))

@@ -1,9 +1,10 @@
 """Exact cosine self-join and best-partner search.
 
-Vectors are spread over cells around pivots. A left vector visits only the cells that can hold
-a match: the half-space and cell-radius bounds used are necessary conditions, so no pair is
-lost. Cells, however full, are cut in blocks of bounded size by id ranges, and each pair of
-blocks that can hold a pair with partner > id is one matrix product in one task group.
+Vectors are dealt in a few blocks by id ranges, and each pair of blocks that can hold a pair with
+partner > id is one task group: a vector is copied at most once per block, whatever the number of
+cells. Inside a group the right vectors lie in cells around pivots, and a chunk of left vectors is
+multiplied only with the cells that can hold a match: the half-space and cell-radius bounds used
+are necessary conditions, so no pair is lost.
 """
 
 from __future__ import annotations
@@ -17,13 +18,19 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.functions.vectors import vec_dot, vec_norm
+from topicloom.functions.vectors import vec_norm
 from pyspark.sql.window import Window
 
 from topicloom.operators.skew import dense_index, lookup_join
 from topicloom.session import cut_lineage
 
 BLOCK_ROWS = 2048
+# Blocks of one side: a vector travels to half of them on average. Their rows grow with the data up
+# to what a task holds at ease; beyond BLOCKS * MAX_BLOCK_ROWS vectors there are more blocks.
+BLOCKS = 16
+MAX_BLOCK_ROWS = 65_536
+# Products that a task holds at a time.
+PRODUCTS = 1 << 22
 # Similarities are compared to this many decimals, so that the order of floating sums
 # cannot change a tie.
 DECIMALS = 12
@@ -83,13 +90,12 @@ class _Cells:
             near[rows] = sims[np.arange(len(rows)), best]
         return cell, near, group, to_upper[np.arange(len(q)), group]
 
-    def visits(self, u: np.ndarray, radius: np.ndarray, group_radius: np.ndarray) -> list[np.ndarray]:
-        """Per row, the cells that may hold a match of it."""
+    def _routes(self, u: np.ndarray, radius: np.ndarray, group_radius: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(rows, cells, which of these cells may hold a match of which of these rows), group by group."""
         q = self._unit(u)
         cell, near, group, _ = self.home(u)
         to_upper = np.arccos(np.clip(q @ self.upper.T, -1.0, 1.0))
         open_groups = to_upper <= self.angle + group_radius[None, :] + SLACK
-        found: list[list[np.ndarray]] = [[] for _ in range(len(q))]
         for g in np.flatnonzero(open_groups.any(axis=0)):
             rows = np.flatnonzero(open_groups[:, g])
             cells = self.members[g]
@@ -101,6 +107,19 @@ class _Cells:
                 home_sims = near[mine]
                 gaps = np.sqrt(np.maximum(2.0 - 2.0 * np.clip(self.pivots[cell[mine]] @ self.pivots[cells].T, -1.0, 1.0), 0.0))
                 ok[own] &= home_sims[:, None] - sims[own] <= self.sin * gaps + SLACK
+            yield rows, cells, ok
+
+    def reach(self, u: np.ndarray, radius: np.ndarray, group_radius: np.ndarray) -> np.ndarray:
+        """Which cells may hold a match of any of the rows."""
+        found = np.zeros(len(self.pivots), bool)
+        for _, cells, ok in self._routes(u, radius, group_radius):
+            found[cells] |= ok.any(axis=0)
+        return found
+
+    def visits(self, u: np.ndarray, radius: np.ndarray, group_radius: np.ndarray) -> list[np.ndarray]:
+        """Per row, the cells that may hold a match of it."""
+        found: list[list[np.ndarray]] = [[] for _ in range(len(u))]
+        for rows, cells, ok in self._routes(u, radius, group_radius):
             for i, row in enumerate(rows):
                 hit = cells[ok[i]]
                 if len(hit):
@@ -135,12 +154,15 @@ def _ranged(rows: DataFrame, block_rows: int) -> DataFrame:
 
 
 def _range_blocks(routes: DataFrame, homes: DataFrame, block_rows: int) -> tuple[DataFrame | None, DataFrame | None]:
-    """Left and right rows, each copied to the block pairs that may hold a match (partner > id).
+    """Left and right rows, each copied to the block pairs that may hold a match (partner > id). Further
+    columns come along, those of right rows with ``r_`` before their names.
 
     Blocks follow id ranges. A right block whose largest id is at most a left block's least id
     holds no partner of it, so each left block meets a suffix of the right blocks of its cell and
     each right block a prefix of the left blocks; mirrored and empty pairs are never dealt. Both
     ends come from one sort of the block bounds per cell (one row per block)."""
+    more_l = [c for c in routes.columns if c not in ("cell", "id", "u")]
+    more_r = [F.col(c).alias(f"r_{c}") for c in homes.columns if c not in ("cell", "id", "u")]
     left, right = _ranged(routes, block_rows), _ranged(homes, block_rows)
     tops = right.groupBy("cell", "block").agg(F.max("id").alias("bound")).withColumn("kind", F.lit(0))
     bottoms = left.groupBy("cell", "block").agg(F.min("id").alias("bound")).withColumn("kind", F.lit(1))
@@ -159,12 +181,12 @@ def _range_blocks(routes: DataFrame, homes: DataFrame, block_rows: int) -> tuple
     if plan_l.isEmpty():
         return None, None
     lefts = lookup_join(left, plan_l, ["cell", "block"]).select(
-        "cell", F.col("block").alias("lb"), F.explode(F.sequence("first", F.col("rbs") - 1)).alias("rb"), "id", "u"
+        "cell", F.col("block").alias("lb"), F.explode(F.sequence("first", F.col("rbs") - 1)).alias("rb"), "id", "u", *more_l
     )
     # Fresh names: both sides may come from one table.
     rights = lookup_join(right, plan_r, ["cell", "block"]).select(
         F.col("cell").alias("rcell"), F.explode(F.sequence(F.lit(0), "last")).alias("rlb"), F.col("block").alias("rrb"),
-        F.col("id").alias("partner"), F.col("u").alias("v"),
+        F.col("id").alias("partner"), F.col("u").alias("v"), *more_r,
     )
     return lefts, rights
 
@@ -173,67 +195,89 @@ def _blocked(
     left: DataFrame, right: DataFrame, thres: float, pick: str | None, max_norm: float, n: int, block_rows: int
 ) -> DataFrame:
     """Matches (id, partner, sim) of left ids with larger right ids above ``thres``; with
-    ``pick``, the best per left id and block pair."""
+    ``pick``, the best per left id and block pair.
+
+    ``near`` and ``count`` are for rows with bucket numbers ``h``: the matches that share a bucket,
+    and the numbers (exact, near) of all matches and of those, one row per block pair."""
     spark = left.sparkSession
+    kind = "exact long, near long" if pick == "count" else "id string, partner string, sim double"
     pivots = _pick_pivots(right, n, block_rows)
-    if pivots is None:
-        homes = right.withColumn("cell", F.lit(0))
-        routes = left.withColumn("cell", F.lit(0))
-    else:
+    cells, homes = None, right
+    if pivots is not None:
         cells = _Cells(pivots, thres / max(max_norm, 1.0) ** 2)
+        fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in right.schema.fields)
 
         def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
                 if len(b):
                     cell, near, group, upper_near = cells.home(np.stack(b["u"].to_numpy()))
-                    yield b.assign(cell=cell.astype("int32"), near=near, grp=group.astype("int32"), unear=upper_near)
+                    yield b.assign(home=cell.astype("int32"), near=near, grp=group.astype("int32"), unear=upper_near)
 
         # Written down: placed twice, a row whose last bits differ could land in a cell that no plan knows.
-        homes = cut_lineage(right.mapInPandas(place, "id string, u array<double>, cell int, near double, grp int, unear double"))
+        homes = cut_lineage(right.mapInPandas(place, f"{fields}, home int, near double, grp int, unear double"))
         # one row per pivot and per upper pivot
         radius = np.full(len(pivots), -np.inf)
-        for r in homes.groupBy("cell").agg(F.min("near").alias("m")).collect():
-            radius[r["cell"]] = math.acos(max(-1.0, min(1.0, r["m"])))
+        for r in homes.groupBy("home").agg(F.min("near").alias("m")).collect():
+            radius[r["home"]] = math.acos(max(-1.0, min(1.0, r["m"])))
         group_radius = np.full(len(cells.upper), -np.inf)
         for r in homes.groupBy("grp").agg(F.min("unear").alias("m")).collect():
             group_radius[r["grp"]] = math.acos(max(-1.0, min(1.0, r["m"])))
         homes = homes.drop("near", "grp", "unear")
 
-        def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                if len(b):
-                    yield b.assign(cells=cells.visits(np.stack(b["u"].to_numpy()), radius, group_radius))
-
-        visits = left.mapInPandas(route, "id string, u array<double>, cells array<int>")
-        routes = cut_lineage(visits).select("id", "u", F.explode("cells").alias("cell"))
-
-    lefts, rights = _range_blocks(routes, homes, block_rows)
+    rows = max(block_rows, min(MAX_BLOCK_ROWS, -(-n // BLOCKS)))
+    lefts, rights = _range_blocks(left.withColumn("cell", F.lit(0)), homes.withColumn("cell", F.lit(0)), rows)
     if lefts is None:
-        return spark.createDataFrame([], "id string, partner string, sim double")
+        return spark.createDataFrame([], kind)
+    names_out = [part.split()[0] for part in kind.split(", ")]
 
     def multiply(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
-            return pd.DataFrame({"id": [], "partner": [], "sim": []})
+            return pd.DataFrame({c: [] for c in names_out})
         b = b.sort_values("partner", ignore_index=True)
-        names = b["partner"].to_numpy(dtype=object)
+        names, ids = b["partner"].to_numpy(dtype=object), a["id"].to_numpy(dtype=object)
         # Place of each left id among the right ids: partners start there.
-        start = np.searchsorted(names, a["id"].to_numpy(dtype=object), side="right")
+        start = np.searchsorted(names, ids, side="right")
         ua, ub = np.stack(a["u"].to_numpy()), np.stack(b["v"].to_numpy())
-        out = []
-        for lo in range(0, len(a), 512):
-            sims = np.round(ua[lo : lo + 512] @ ub.T, DECIMALS)
-            open_to = np.arange(len(b))[None, :] >= start[lo : lo + 512, None]
-            hit = open_to & (sims > thres)
-            if pick is None:
-                i, j = np.nonzero(hit)
-            else:
+        ha, hb = (np.stack(a["h"].to_numpy()), np.stack(b["r_h"].to_numpy())) if pick in ("near", "count") else (None, None)
+        # Neighbours come in one chunk, so that a chunk reaches few cells or buckets.
+        order = np.arange(len(a))
+        if cells is not None:
+            home, order = b["r_home"].to_numpy(), np.argsort(cells.home(ua)[0], kind="stable")
+        elif pick == "near":
+            order = np.argsort(ha[:, 0], kind="stable")
+        step = max(1, min(512, PRODUCTS // len(b)))
+        out, exact, shared = [], 0, 0
+        for lo in range(0, len(a), step):
+            at = order[lo : lo + step]
+            spots = np.arange(start[at].min(), len(b))
+            if cells is not None:
+                spots = spots[cells.reach(ua[at], radius, group_radius)[home[spots]]]
+            if pick == "near":
+                met = np.zeros(len(spots), bool)
+                for t in range(ha.shape[1]):
+                    met |= np.isin(hb[spots, t], ha[at, t])
+                spots = spots[met]
+            if not len(spots):
+                continue
+            sims = np.round(ua[at] @ ub[spots].T, DECIMALS)
+            hit = (spots[None, :] >= start[at, None]) & (sims > thres)
+            if pick in ("max", "first"):
                 i = np.flatnonzero(hit.any(axis=1))
                 j = hit[i].argmax(axis=1) if pick == "first" else np.where(hit[i], sims[i], -np.inf).argmax(axis=1)
-            out.append(pd.DataFrame({"id": a["id"].to_numpy()[lo + i], "partner": names[j], "sim": sims[i, j]}))
-        return pd.concat(out, ignore_index=True)
+            else:
+                i, j = np.nonzero(hit)
+            if pick in ("near", "count"):
+                same = (ha[at[i]] == hb[spots[j]]).any(axis=1)
+                exact, shared = exact + len(i), shared + int(same.sum())
+                i, j = i[same], j[same]
+            if pick != "count":
+                out.append(pd.DataFrame({"id": ids[at[i]], "partner": names[spots[j]], "sim": sims[i, j]}))
+        if pick == "count":
+            return pd.DataFrame({"exact": [exact], "near": [shared]})
+        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({c: [] for c in names_out})
 
     units = rights.groupBy("rcell", "rlb", "rrb")
-    return lefts.groupBy("cell", "lb", "rb").cogroup(units).applyInPandas(multiply, "id string, partner string, sim double")
+    return lefts.groupBy("cell", "lb", "rb").cogroup(units).applyInPandas(multiply, kind)
 
 
 def _size(units: DataFrame) -> tuple[int, float]:
@@ -333,33 +377,39 @@ def approx_self_join(
     Every returned pair is a true pair (similarity is computed exactly); pairs may be missed, so
     measure with :func:`lsh_recall`. The bucket width defaults to four times the typical projected
     distance of a pair at the threshold. Zero vectors match nothing, as in the exact join."""
+    found = _bucketed(docs, thres, key, tables, bucket_length, seed)
+    return _blocked(found, found, thres, "near", 1.0, found.count(), BLOCK_ROWS)
+
+
+def _bucketed(docs: DataFrame, thres: float, key: str, tables: int, bucket_length: float | None, seed: int) -> DataFrame:
+    """(id, u, h): unit vectors with their bucket number in each table; equal rows once."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.functions import array_to_vector, vector_to_array
 
     _check(thres)
-    units = cut_lineage(with_unit(docs, key).withColumn("features", array_to_vector("u")))
+    units = cut_lineage(with_unit(docs, key).dropDuplicates(["id", "u"]))
     radius = math.sqrt(max(0.0, 2.0 - 2.0 * min(thres, 1.0)))
     dims = units.agg(F.max(F.size("u"))).first()[0]
     if not dims:
-        return docs.sparkSession.createDataFrame([], "id string, partner string, sim double")
+        return units.withColumn("h", F.array().cast("array<double>"))
     width = bucket_length or max(4.0 * radius / math.sqrt(dims), 1e-6)
+    features = units.withColumn("features", array_to_vector("u"))
     model = BucketedRandomProjectionLSH(
         inputCol="features", outputCol="hashes", bucketLength=width, numHashTables=tables, seed=seed
-    ).fit(units)
-    joined = model.approxSimilarityJoin(units, units, radius + SLACK, distCol="dist")
-    pairs = joined.select(
-        F.col("datasetA.id").alias("id"), F.col("datasetB.id").alias("partner"),
-        F.round(vec_dot(F.col("datasetA.u"), F.col("datasetB.u")), DECIMALS).alias("sim"),
-    )
-    return pairs.where((F.col("id") < F.col("partner")) & (F.col("sim") > thres))
+    ).fit(features)
+    numbers = F.array(*[vector_to_array(F.col("hashes")[t])[0] for t in range(tables)])
+    return cut_lineage(model.transform(features).select("id", "u", numbers.alias("h")))
+
 
+def lsh_recall(
+    docs: DataFrame, thres: float, key: str = "id", tables: int = LSH_TABLES, bucket_length: float | None = None, seed: int = LSH_SEED
+) -> DataFrame:
+    """One row: exact pairs, pairs the approximate join finds, and their ratio (1.0 without pairs).
 
-def lsh_recall(docs: DataFrame, thres: float, **options) -> DataFrame:
-    """One row: exact pairs, pairs the approximate join finds, and their ratio (1.0 without pairs)."""
-    exact = cosine_self_join(docs, thres).select("id", "partner")
-    found = approx_self_join(docs, thres, **options).select("id", "partner")
-    n_exact = exact.count()
-    n_found = found.join(exact, ["id", "partner"]).count()
+    Both joins look at the same pairs of blocks, so the pairs are counted where they are found."""
+    found = _bucketed(docs, thres, key, tables, bucket_length, seed)
+    row = _blocked(found, found, thres, "count", 1.0, found.count(), BLOCK_ROWS).agg(F.sum("exact"), F.sum("near")).first()
+    n_exact, n_found = row[0] or 0, row[1] or 0
     spark = docs.sparkSession
     return spark.createDataFrame(
         [(n_exact, n_found, n_found / n_exact if n_exact else 1.0)], "exact_pairs long, found_pairs long, recall double"
