@@ -198,7 +198,7 @@ def _blocked(
     ``pick``, the best per left id and block pair.
 
     ``near`` and ``count`` are for rows with bucket numbers ``h``: the matches that share a bucket,
-    and the numbers (exact, near) of all matches and of those, one row per block pair."""
+    and the numbers (exact, near) of all matches and of those, one row per block pair, where a row counts ``times``."""
     spark = left.sparkSession
     kind = "exact long, near long" if pick == "count" else "id string, partner string, sim double"
     pivots = _pick_pivots(right, n, block_rows)
@@ -268,7 +268,8 @@ def _blocked(
                 i, j = np.nonzero(hit)
             if pick in ("near", "count"):
                 same = (ha[at[i]] == hb[spots[j]]).any(axis=1)
-                exact, shared = exact + len(i), shared + int(same.sum())
+                times = a["times"].to_numpy()[at[i]] * b["r_times"].to_numpy()[spots[j]]
+                exact, shared = exact + int(times.sum()), shared + int(times[same].sum())
                 i, j = i[same], j[same]
             if pick != "count":
                 out.append(pd.DataFrame({"id": ids[at[i]], "partner": names[spots[j]], "sim": sims[i, j]}))
@@ -382,12 +383,12 @@ def approx_self_join(
 
 
 def _bucketed(docs: DataFrame, thres: float, key: str, tables: int, bucket_length: float | None, seed: int) -> DataFrame:
-    """(id, u, h): unit vectors with their bucket number in each table; equal rows once."""
+    """(id, u, times, h): unit vectors with their bucket number in each table; equal rows once, with their number."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
     _check(thres)
-    units = cut_lineage(with_unit(docs, key).dropDuplicates(["id", "u"]))
+    units = cut_lineage(with_unit(docs, key).groupBy("id", "u").agg(F.count("*").alias("times")))
     radius = math.sqrt(max(0.0, 2.0 - 2.0 * min(thres, 1.0)))
     dims = units.agg(F.max(F.size("u"))).first()[0]
     if not dims:
@@ -398,7 +399,7 @@ def _bucketed(docs: DataFrame, thres: float, key: str, tables: int, bucket_lengt
         inputCol="features", outputCol="hashes", bucketLength=width, numHashTables=tables, seed=seed
     ).fit(features)
     numbers = F.array(*[vector_to_array(F.col("hashes")[t])[0] for t in range(tables)])
-    return cut_lineage(model.transform(features).select("id", "u", numbers.alias("h")))
+    return cut_lineage(model.transform(features).select("id", "u", "times", numbers.alias("h")))
 
 
 def lsh_recall(
