@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml.feature import Normalizer
 from pyspark.sql import functions as F
 
-from topicloom.operators import embed, labels, segment, stats, textrank
+from topicloom.operators import embed, filters, labels, segment, stats, textrank
 
 
 def docs_of(spark, rows):
@@ -191,3 +191,30 @@ def test_terms_of_a_search_travel_without_its_text(spark, lexicon):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     dealt = next(line for line in plan.splitlines() if "RepartitionByExpression" in line)
     assert "_row" in dealt and "key_word" not in dealt
+
+
+@pytest.mark.parametrize("mode", ["sum", "unit", "tfidf"])
+def test_vectors_too_large_to_broadcast(spark, mode):
+    """Both paths agree on repeated rows, null keys, repeated words and gaps in vectors; no partial sums are dealt."""
+    from topicloom.operators.docvec import doc_vectors
+
+    plain = [("a", ["x", "y", "x", "z"]), ("b", None), ("c", []), ("a", ["x", "y", "x", "z"]), (None, ["x", "z"]), ("d", ["zz"]), ("e", ["n", "n"])]
+    listed = [("a", [("x", 1.0), ("q", 2.0), ("z", 3.0)]), ("b", [("q", 1.0), ("r", 2.0)]), ("n", [("n", 2.0), ("n", 2.0)]), (None, [("x", 1.0), ("y", 1.0)])]
+    kind = "id string, words array<string>" if mode != "tfidf" else "id string, words array<struct<word:string,weight:double>>"
+    docs = spark.createDataFrame(plain if mode != "tfidf" else listed, kind)
+    vectors = [("x", [1.0, 2.0]), ("y", [0.5, -1.0]), ("x", [1.0, 1.0]), ("z", [None, 4.0]), ("n", [None, 1.0]), ("m", None)]
+    known = spark.createDataFrame(vectors, "word string, vec array<double>")
+    large = doc_vectors(docs, known, mode, min_tokens=1, max_bytes=0)
+    assert sorted(map(str, large.collect())) == sorted(map(str, doc_vectors(docs, known, mode, min_tokens=1).collect()))
+    plan = large._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "sum(" not in plan
+
+
+@pytest.mark.parametrize("drop", [False, True])
+def test_lists_meet_a_large_word_table_by_chunks(spark, drop):
+    rows = [("a", ["x", "y", "x", "z"]), ("b", None), ("c", []), ("a", ["x", "y", "x", "z"]), (None, ["q", "z"]), ("d", ["zz"])]
+    docs = spark.createDataFrame(rows, "id string, words array<string>")
+    words = spark.createDataFrame([("x",), ("z",), ("x",)], "word string")
+    large = filters.keep_words(docs, words, drop, max_bytes=0)
+    assert sorted(map(str, large.collect())) == sorted(map(str, filters.keep_words(docs, words, drop).collect()))
+    assert "collect_list" not in large._jdf.queryExecution().optimizedPlan().toString()
