@@ -218,3 +218,14 @@ def test_lists_meet_a_large_word_table_by_chunks(spark, drop):
     large = filters.keep_words(docs, words, drop, max_bytes=0)
     assert sorted(map(str, large.collect())) == sorted(map(str, filters.keep_words(docs, words, drop).collect()))
     assert "collect_list" not in large._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_run_is_cut_once_however_many_texts_hold_it(spark):
+    docs = spark.createDataFrame([(str(i), "天地玄 天地") for i in range(5)] + [("x", None), ("y", "ab")], "id string, msg string")
+    lexicon = spark.createDataFrame([("天地", "n", 1)], "word string, nature string, freq long")
+    found = segment.segment(docs, lexicon=lexicon, max_bytes=0)
+    got = {r.id: r.words for r in found.collect()}
+    assert got == {**{str(i): ["天地", "玄", "天地"] for i in range(5)}, "x": None, "y": ["ab"]}
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    longest = [line for line in plan if "max_by(" in line]
+    assert longest and all("_text" in line and "_key" not in line for line in longest)

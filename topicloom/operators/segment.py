@@ -113,7 +113,8 @@ def _starts_han(run: str) -> bool:
 def _segment_by_join(df: DataFrame, runs: Column, out: str, han_words: DataFrame, longest: int) -> DataFrame:
     """Longest match without holding the lexicon anywhere: candidates meet it in a join.
 
-    Rows are numbered and written down first, so that rows which look alike keep their own words.
+    Rows are numbered and written down first, so that rows which look alike keep their own words. Each
+    distinct run is cut once, however many texts hold it; only its words meet the texts.
     """
     rows = cut_lineage(df.withColumn("_key", F.monotonically_increasing_id()).withColumn("_runs", runs))
     pieces = rows.select("_key", F.posexplode("_runs").alias("_run", "_text"))
@@ -129,11 +130,11 @@ def _segment_by_join(df: DataFrame, runs: Column, out: str, han_words: DataFrame
         )
     )
     han = pieces.where(F.col("_text").rlike("^" + HAS_HAN))
-    found = han.select("_key", "_run", F.explode(spans).alias("s")).select("_key", "_run", "s.*")
-    single = found.where("n = 1").select("_key", "_run", "at", "n", "word")
-    known = found.where("n > 1").join(han_words, "word", "left_semi").select("_key", "_run", "at", "n", "word")
-    best = single.unionByName(known).groupBy("_key", "_run", "at").agg(F.max_by("word", "n").alias("word"))
-    per_run = best.groupBy("_key", "_run").agg(F.sort_array(F.collect_list(F.struct("at", "word"))).alias("spots"))
+    found = han.select("_text").distinct().select("_text", F.explode(spans).alias("s")).select("_text", "s.*")
+    single = found.where("n = 1").select("_text", "at", "n", "word")
+    known = found.where("n > 1").join(han_words, "word", "left_semi").select("_text", "at", "n", "word")
+    best = single.unionByName(known).groupBy("_text", "at").agg(F.max_by("word", "n").alias("word"))
+    per_run = best.groupBy("_text").agg(F.sort_array(F.collect_list(F.struct("at", "word"))).alias("spots"))
     # Walk the places: keep one, skip as many as its word is long.
     walk = F.aggregate(
         "spots",
@@ -146,7 +147,7 @@ def _segment_by_join(df: DataFrame, runs: Column, out: str, han_words: DataFrame
             ),
         ).otherwise(s),
     )["kept"]
-    cut = per_run.select("_key", "_run", walk.alias("_words"))
+    cut = han.join(per_run.select("_text", walk.alias("_words")), "_text").select("_key", "_run", "_words")
     other = pieces.where(~F.col("_text").rlike("^" + HAS_HAN)).select("_key", "_run", F.array("_text").alias("_words"))
     words = (
         cut.unionByName(other)
