@@ -59,6 +59,17 @@ def test_edges_reach_five_back_four_ahead(spark):
     assert ("f", "a") in got and ("a", "f") not in got and ("a", "e") in got and ("g", "a") not in got
 
 
+def test_neighbour_lists_equal_grouped_edges(spark):
+    """Also where ids repeat or are null; lists of ids with one row are made without shuffling pairs."""
+    rows = [("1", "", list("abcab")), ("2", "", ["é", "z", "Z", "\U0001f600", "\uffff"]), ("2", "", ["z", "é"]), (None, "", ["x", "y"]), (None, "", ["y", "x"]), ("3", "", ["one"]), ("4", "", None)]
+    docs = docs_of(spark, rows)
+    edges = textrank.cooccurrence_edges(docs).groupBy("id", "word").agg(F.sort_array(F.collect_list("neighbour")).alias("neighbours"))
+    listed = textrank.cooccurrence_edges(docs, per_word=True)
+    assert sorted(map(repr, listed.collect())) == sorted(map(repr, edges.collect()))
+    own = textrank.cooccurrence_edges(docs.where("id in ('1', '3', '4')"), per_word=True)
+    assert own.count() == 3 and "collect_list" not in own._jdf.queryExecution().toString()
+
+
 HAN = ["我喜欢科学技术和abc大学生活", "科学技术大学", "plain words only", "Ｘ中国人民 mixed 中国", ""]
 
 

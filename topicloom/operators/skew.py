@@ -87,7 +87,7 @@ def salted_join(
     return cut_left.join(copied_right, [key, "_salt"], how).drop("_salt")
 
 
-def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def lookup_join(left: DataFrame, right: DataFrame, key: str | Column, how: str = "inner", max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Join to a lookup table, which is computed once and written down.
 
     It is broadcast when its size allows. Otherwise both sides are shuffled for this join alone, so
@@ -97,6 +97,17 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
     return left.join(F.broadcast(right) if table_bytes(right) <= max_bytes else right, key, how)
 
 
+def rows_by_key(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
+    """(rows whose key stands on no other row, rows of keys that stand on several, or None without any).
+
+    What a grouping by key would bring together lies in one row for the former. Nulls are one key; only keys are
+    shuffled to tell them."""
+    many = df.groupBy(F.col(key).alias("_many")).agg(F.count("*").alias("_n")).where("_n > 1").select("_many")
+    many = cut_lineage(many)
+    same = F.col(key).eqNullSafe(F.col("_many"))
+    return lookup_join(df, many, same, "left_anti"), None if many.isEmpty() else lookup_join(df, many, same, "left_semi")
+
+
 def top_per_group(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, pieces: int = 1, rank: str = "rank"
 ) -> DataFrame:

@@ -10,26 +10,46 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from topicloom.operators.skew import rows_by_key
+
 BEFORE = 5
 AFTER = 4
+# Pairs that a task gathers before it hands out their lists.
+LIST_PAIRS = 1 << 18
 
 
 def cooccurrence_edges(
-    docs: DataFrame, key: str = "id", words: str = "words", before: int = BEFORE, after: int = AFTER
+    docs: DataFrame, key: str = "id", words: str = "words", before: int = BEFORE, after: int = AFTER, per_word: bool = False
 ) -> DataFrame:
     """(id, word, neighbour): distinct neighbours within ``before`` tokens to the left and
     ``after`` tokens to the right of any occurrence. A word may neighbour itself.
 
     The pairs of a document are made distinct where its row lies, so none of the nine-fold
-    repeated tokens is shuffled."""
-    schema = T.StructType(
-        [T.StructField(key, docs.schema[key].dataType), T.StructField("word", T.StringType()), T.StructField("neighbour", T.StringType())]
+    repeated tokens is shuffled. With ``per_word`` the rows are (id, word, neighbours): the sorted
+    neighbours of a word in all rows of the id, in one list. Lists are made beside the row too; only the pairs of
+    ids that stand on several rows are shuffled (a neighbour is listed once for each of these rows)."""
+    if not per_word:
+        return _listed(docs, key, words).mapInArrow(_pairs_by_row(key, before, after), _edge_schema(docs, key, T.StringType(), "neighbour"))
+    single, several = rows_by_key(docs.select(key, words), key)
+    lists = _listed(single, key, words).mapInArrow(
+        _lists_by_row(key, before, after), _edge_schema(docs, key, T.ArrayType(T.StringType()), "neighbours")
     )
+    if several is None:
+        return lists
+    edges = cooccurrence_edges(several, key, words, before, after)
+    return lists.unionByName(edges.groupBy(key, "word").agg(F.sort_array(F.collect_list("neighbour")).alias("neighbours")))
+
+
+def _edge_schema(docs: DataFrame, key: str, kind: T.DataType, name: str) -> T.StructType:
+    return T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("word", T.StringType()), T.StructField(name, kind)])
+
 
+def _pairs_by_row(key: str, before: int, after: int):
     def pair_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
@@ -41,7 +61,48 @@ def cooccurrence_edges(
                     columns = [ids.take(pa.array(np.full(len(word), row))), names.take(pa.array(own[word])), names.take(pa.array(own[other]))]
                     yield pa.record_batch(columns, names=[key, "word", "neighbour"])
 
-    return _listed(docs, key, words).mapInArrow(pair_batches, schema)
+    return pair_batches
+
+
+def _lists_by_row(key: str, before: int, after: int):
+    """The same pairs with the neighbours of a word in one list, in the order of their UTF-8 bytes."""
+
+    def list_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, documents = _coded(batch.column(1))
+            # Bytes sort as Spark sorts strings; codes that follow this order make sorted pairs.
+            order = np.array(pc.sort_indices(names.cast(pa.binary())))
+            names, place = names.take(pa.array(order)), np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+            size = 0
+
+            def lists(held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+                rows, word, counts, others = zip(*held, strict=True)
+                spans = pa.array(np.r_[0, np.cumsum(np.concatenate(counts))], pa.int32())
+                return pa.record_batch(
+                    [
+                        batch.column(0).take(pa.array(np.repeat(rows, [len(w) for w in word]))),  # noqa: B023
+                        names.take(pa.array(np.concatenate(word))),  # noqa: B023
+                        pa.ListArray.from_arrays(spans, names.take(pa.array(np.concatenate(others)))),  # noqa: B023
+                    ],
+                    names=[key, "word", "neighbours"],
+                )
+
+            for row, codes in documents:
+                own, seq = np.unique(place[codes], return_inverse=True)
+                word, other = _neighbour_pairs(seq, len(own), before, after)
+                if len(word):
+                    first, counts = np.unique(word, return_counts=True)
+                    held.append((row, own[first], counts, own[other]))
+                    size += len(word)
+                if size >= LIST_PAIRS:
+                    yield lists(held)
+                    held, size = [], 0
+            if held:
+                yield lists(held)
+
+    return list_batches
 
 
 def _listed(docs: DataFrame, key: str, words: str) -> DataFrame:
