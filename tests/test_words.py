@@ -26,6 +26,20 @@ def test_tfidf_tie_goes_by_word(spark):
     assert [r.word for r in stats.doc_tfidf(docs).where("id = '1'").orderBy("rank").collect()] == ["a", "b"]
 
 
+def test_tfidf_lists_equal_ranked_words(spark):
+    """Also where ids repeat or are null; no term of an id with one row is shuffled by itself."""
+    rows = [(str(i), "", [f"w{i * j % 7}" for j in range(i % 9)] + ["b"] * (i % 3)) for i in range(40)]
+    docs = docs_of(spark, [*rows, ("3", "", ["b", "w1"]), (None, "", ["b", "w2"]), (None, "", ["w2", "own"]), ("none", "", None)])
+    for drop in (True, False):
+        ranked = {}
+        for r in stats.doc_tfidf(docs, drop_last=drop).orderBy("id", "rank").collect():
+            ranked.setdefault(r.id, []).append((r.word, r.weight))
+        lists = {r.id: [(w.word, w.weight) for w in r.words] for r in stats.doc_tfidf_lists(docs, drop_last=drop).collect()}
+        assert {k: v for k, v in lists.items() if v} == ranked and None in lists and "none" not in lists
+    own = stats.doc_tfidf_lists(docs.where("id <> '3'"))
+    assert "collect_list" not in own._jdf.queryExecution().toString()
+
+
 def plain_textrank(tokens):
     """The scores by definition, one word at a time."""
     near = {}

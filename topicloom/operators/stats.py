@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import keyword_only
 from pyspark.ml import Transformer
 from pyspark.ml.linalg import SparseVector, VectorUDT
@@ -17,7 +18,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from topicloom.operators.segment import explode_tokens
-from topicloom.operators.skew import dense_index, salted_join
+from topicloom.operators.skew import dense_index, rows_by_key, salted_join
+from topicloom.session import cut_lineage, scratch_path
+
+# Documents of a task that are counted side by side.
+CHUNK_ROWS = 8192
 
 
 def word_nature_count(tagged: DataFrame) -> DataFrame:
@@ -110,11 +115,67 @@ def doc_tfidf_lists(
     docs: DataFrame, how: str = "outside", scale: float = 1000, min_df: int = 1, drop_last: bool = True, key: str = "id"
 ) -> DataFrame:
     """The same as one row per document with ``words`` = array of (word, weight). A document
-    with a single weighted word keeps an empty array."""
-    item = F.struct((-F.round("weight", 6)).alias("o"), "word", "weight")
-    lists = tfidf_weights(docs, how, scale, min_df, key).groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("w"))
-    kept = F.slice("w", F.lit(1), F.size("w") - 1) if drop_last else F.col("w")
-    return lists.select(key, F.transform(kept, lambda x: F.struct(x["word"], x["weight"])).alias("words"))
+    with a single weighted word keeps an empty array.
+
+    Documents are written down in chunks; the distinct words of a chunk meet the idf table in a join, and the
+    chunk's lists are counted beside what was found: no term of a document travels alone. Only the
+    terms of ids that stand on several rows are shuffled by themselves."""
+    single, several = rows_by_key(docs.select(key, "words"), key)
+    dealt = _dealt(single, key)
+    per_word = dealt.select(F.explode_outer(F.array_distinct("words")).alias("word")).where(F.col("word").isNotNull())
+    df = per_word.groupBy("word").agg(F.count("*").alias("df"))
+    if several is not None:
+        more = term_frequency(several, key)
+        df = df.unionByName(document_frequency(more).select("word", "df")).groupBy("word").agg(F.sum("df").alias("df"))
+    n = docs.agg(F.count("*")).scalar()
+    kept = cut_lineage(df.where(F.col("df") > min_df).select("word", "df", idf(n, F.col("df"), how).alias("idf")))
+    found = _chunk_counts(dealt, kept, key)
+    if several is not None:
+        pair = F.struct("word", "tf", "idf")
+        grouped = salted_join(more, kept, "word", heat="df").groupBy(key).agg(F.collect_list(pair).alias("found"))
+        found = found.unionByName(grouped)
+
+    def weighted(x: Column) -> Column:
+        weight = x["idf"] * x["tf"] * F.lit(scale)
+        return F.struct((-F.round(weight, 6)).alias("o"), x["word"].alias("word"), weight.alias("weight"))
+
+    lists = found.select(key, F.sort_array(F.transform("found", weighted)).alias("w"))
+    kept_items = F.slice("w", F.lit(1), F.size("w") - 1) if drop_last else F.col("w")
+    return lists.select(key, F.transform(kept_items, lambda x: F.struct(x["word"], x["weight"])).alias("words"))
+
+
+def _dealt(docs: DataFrame, key: str) -> DataFrame:
+    """``docs``(key, words) with ``_chunk``: up to ``CHUNK_ROWS`` neighbouring rows of a task. Written to
+    the shared folder, so that all readers see the same chunks and no text is segmented again."""
+    path = scratch_path(docs.sparkSession, "chunks")
+    listed = docs.select(key, F.coalesce(F.col("words"), F.array().cast("array<string>")).alias("words"))
+    place = F.monotonically_increasing_id()
+    listed.withColumn("_chunk", F.floor(place / F.lit(CHUNK_ROWS)).cast("bigint")).write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
+def _chunk_counts(dealt: DataFrame, kept: DataFrame, key: str) -> DataFrame:
+    """(id, found): the words of each row of :func:`_dealt` that are in ``kept``(word, idf), as (word, tf, idf);
+    rows without any are left out."""
+    used = dealt.select(F.col("_chunk").alias("_of"), F.explode_outer("words").alias("word")).where(F.col("word").isNotNull()).distinct()
+    known = used.join(kept.select("word", "idf"), "word").select("_of", "word", "idf")
+    item = pa.struct([("word", pa.string()), ("tf", pa.int64()), ("idf", pa.float64())])
+
+    def count(rows: pa.Table, found: pa.Table) -> pa.Table:
+        ids, lists = rows.column(key), rows.column("words").combine_chunks()
+        names, idfs = found.column("word").combine_chunks(), found.column("idf").combine_chunks()
+        spot = pc.fill_null(pc.index_in(lists.flatten(), value_set=names), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        width = max(len(names), 1)
+        pairs, tf = np.unique((row * width + spot)[spot >= 0], return_counts=True)
+        row, at = np.unique(pairs // width, return_index=True)
+        spot = pa.array(pairs % width)
+        items = pa.StructArray.from_arrays([names.take(spot), pa.array(tf.astype(np.int64)), idfs.take(spot)], fields=list(item))
+        listed = pa.ListArray.from_arrays(pa.array(np.append(at, len(pairs)), pa.int32()), items)
+        return pa.table([ids.take(pa.array(row)), listed], names=[key, "found"])
+
+    schema = f"`{key}` {dealt.schema[key].dataType.simpleString()}, found array<struct<word:string,tf:bigint,idf:double>>"
+    return dealt.groupBy("_chunk").cogroup(known.groupBy("_of")).applyInArrow(count, schema)
 
 
 def corpus_tfidf(docs: DataFrame, how: str = "inside", key: str = "id") -> DataFrame:
