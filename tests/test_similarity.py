@@ -5,6 +5,7 @@ import pytest
 
 from topicloom.operators import cluster
 from topicloom.operators.similarity import best_partner, cosine_self_join
+from topicloom.session import cut_lineage
 
 
 def cloud(seed: int, n: int = 180, d: int = 6) -> list[tuple[str, list[float]]]:
@@ -223,3 +224,27 @@ def test_approximate_join_deals_rows_to_blocks_only(spark):
     assert "FlatMapCoGroupsInPandas" in found._jdf.queryExecution().optimizedPlan().toString().splitlines()[0]
     times = {i: [r[0] for r in rows].count(i) for i, _ in rows}
     assert lsh_recall(docs, 0.5).first().exact_pairs == sum(times[a] * times[b] for a, b in brute(cloud(7, n=60), 0.5))
+
+
+def test_matching_rounds_have_plans_of_one_size(spark, monkeypatch):
+    """A round reads all earlier rounds as one table, so plans do not grow with the number of rounds."""
+    leaves, decide = [], cluster._decide
+
+    def noted(state, settled):
+        if settled is not None:
+            leaves.append(settled._jdf.queryExecution().analyzed().collectLeaves().size())
+        return decide(state, settled)
+
+    monkeypatch.setattr(cluster, "_decide", noted)
+    chain = spark.createDataFrame([(f"{i:03d}", f"{i + 1:03d}") for i in range(40)], "id string, partner string")
+    kept = {(r.id, r.partner) for r in cluster.greedy_matching(chain).collect()}
+    assert kept == {(f"{i:03d}", f"{i + 1:03d}") for i in range(0, 40, 2)}
+    assert len(leaves) > 4 and set(leaves) == {1}
+
+
+def test_matching_of_no_or_repeated_pairs(spark):
+    none = spark.createDataFrame([], "id string, partner string")
+    for pairs in (none, cut_lineage(none), none.where("false")):
+        assert cluster.greedy_matching(pairs).collect() == []
+    twice = spark.createDataFrame([("1", "2"), ("1", "2"), ("2", "3"), ("2", "3"), ("4", "5")], "id string, partner string")
+    assert sorted(map(tuple, cluster.greedy_matching(twice).collect())) == [("1", "2"), ("4", "5")]

@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from topicloom.functions.vectors import truncate6, vec_add, vec_norm, vec_normalize
 from topicloom.operators.filters import drop_rule_words, min_cluster_size
 from topicloom.operators.similarity import BLOCK_ROWS, best_partner
 from topicloom.operators.skew import dense_index, ranked_within, salted_join
-from topicloom.session import cut_lineage
+from topicloom.session import cut_lineage, scratch_path
 
 BAR = "|"
 
@@ -30,29 +30,33 @@ def greedy_matching(pairs: DataFrame) -> DataFrame:
     directly, and such links are halved by pointer doubling. The number of rounds therefore
     grows with the logarithm of the forest, also for a chain of millions of copies.
     """
+    spark = pairs.sparkSession
     edges = pairs.select("id", F.col("partner").alias("parent"))
     roots = edges.select(F.col("parent").alias("id")).distinct().join(edges.select("id"), "id", "left_anti")
-    state = cut_lineage(
-        edges.unionByName(roots.withColumn("parent", F.lit(None).cast("string"))).select(
-            "id",
-            "parent",
-            F.lit(None).cast("string").alias("ref"),
-            F.lit(False).alias("odd"),
-            F.lit(None).cast("boolean").alias("taken"),
-        )
+    state = edges.unionByName(roots.withColumn("parent", F.lit(None).cast("string"))).select(
+        "id",
+        "parent",
+        F.lit(None).cast("string").alias("ref"),
+        F.lit(False).alias("odd"),
+        F.lit(None).cast("boolean").alias("taken"),
     )
-    settled = None
-    waiting = True
+    # Each round is written beside the others and all are read as one table: the plan of a round, and what
+    # the driver keeps of it, is the same however many rounds went before.
+    folder, shape = scratch_path(spark, "matching"), state.schema
+    turn, waiting, settled = 0, True, None
     while waiting:
-        state = cut_lineage(_decide(state, settled))
-        now = state.where("taken is not null")
-        settled = now if settled is None else settled.unionByName(now)
-        waiting = not state.where("taken is null").isEmpty()
+        path = f"{folder}/round={turn}"
+        seen = Observation()
+        state.observe(seen, F.count_if(F.col("taken").isNull()).alias("open")).write.parquet(path)
+        waiting = seen.get["open"] > 0
+        settled = spark.read.schema(shape).parquet(folder).drop("round").where(F.col("taken").isNotNull())
+        state = _decide(spark.read.schema(shape).parquet(path), settled)
+        turn += 1
     free = settled.where(~F.col("taken") & F.col("parent").isNotNull())
     return free.groupBy("parent").agg(F.min("id").alias("id")).select("id", F.col("parent").alias("partner"))
 
 
-def _decide(state: DataFrame, settled: DataFrame | None) -> DataFrame:
+def _decide(state: DataFrame, settled: DataFrame) -> DataFrame:
     """One round. ``state`` holds the undecided nodes and those decided in the last round; links
     may lead to a node decided in any round, all of which are in ``settled``."""
     below = (
@@ -65,13 +69,14 @@ def _decide(state: DataFrame, settled: DataFrame | None) -> DataFrame:
         )
     )
     open_nodes = state.where("taken is null")
-    seen = (open_nodes if settled is None else open_nodes.unionByName(settled)).select(
+    seen = open_nodes.unionByName(settled).select(
         F.col("id").alias("ref"), F.col("ref").alias("ref_ref"), F.col("odd").alias("ref_odd"), F.col("taken").alias("ref_taken")
     )
     # Nodes without a link yet get a key of their own that meets nothing, so they spread over all tasks.
     key = F.coalesce("ref", F.concat(F.lit("\0"), F.col("id"))).alias("_key")
-    waiting = open_nodes.drop("taken").join(below, "id", "left").select("*", key)
-    live = waiting.join(seen.withColumnRenamed("ref", "_key"), "_key", "left").drop("_key")
+    # Merge joins: rounds are many, and every table sent to all executors would pass the driver and stay there.
+    waiting = open_nodes.drop("taken").join(below.hint("merge"), "id", "left").select("*", key)
+    live = waiting.join(seen.withColumnRenamed("ref", "_key").hint("merge"), "_key", "left").drop("_key")
     differs = F.col("odd") != F.col("ref_taken")
     taken = (
         F.when(F.col("struck"), True)
