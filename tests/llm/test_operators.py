@@ -351,3 +351,29 @@ def test_components_rounds_stay_within_links_and_nodes(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert found == {n: find(n) for n in nodes if any(find(m) == find(n) for m in nodes if m != n)} | {n: find(n) for n in nodes if find(n) != n}
     assert max(trace) <= len(links) + len(nodes)
+
+
+def test_components_write_links_once_and_settle_few_without_a_shuffle(spark, monkeypatch):
+    from topicloom.llm import components as module
+
+    links = [(i, i + 1) for i in range(0, 4000) if i % 50] + [(i, 10_000) for i in range(7000, 7300)]
+    seen = []
+    real = module.cut_lineage
+    monkeypatch.setattr(module, "cut_lineage", lambda df: seen.append(df._jdf.queryExecution().executedPlan().toString()) or real(df))
+    df = spark.createDataFrame(links, "a long, b long").repartition(20)
+    found = {r.node: r.component for r in components(df).collect()}
+    assert len(seen) == 2 and "Exchange" not in seen[1]
+    assert found == {i: -(-i // 50) * 50 - 49 if i % 50 == 0 and i else i // 50 * 50 + 1 for i in range(1, 4001)} | dict.fromkeys([*range(7000, 7300), 10_000], 7000)
+    monkeypatch.setattr(module, "LINKS", 100)  # several tasks and rounds, then one
+    assert {r.node: r.component for r in components(df).collect()} == found
+
+
+def test_ngram_join_bounds_what_a_task_gathers(spark, texts, monkeypatch):
+    """Few postings and names are held at a time, and the sets are those of larger pieces."""
+    from topicloom.llm import ngram_join as module
+
+    assert module.FLUSH * module.POSTING.itemsize <= 8 << 20 and module.TEXT < 1 << 20
+    expected = plain_components(texts)
+    for name, value in (("FLUSH", 50), ("SEEN", 2), ("TEXT", 64), ("CELLS", 3)):
+        monkeypatch.setattr(module, name, value)
+    assert {tuple(r) for r in module.ngram_join(table(spark, texts)).collect()} == {(i, *x) for i, x in expected.items()}

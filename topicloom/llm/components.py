@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from topicloom.session import cut_lineage
 
+# Links that one task contracts; rounds between tasks are needed only for more of them.
+LINKS = 1 << 17
+
 
 def written(df: DataFrame, *marks: Column) -> tuple[DataFrame, dict]:
     """``df`` written down, with its row count ``n`` and other aggregates, all in one job."""
@@ -53,11 +56,21 @@ def components(links: DataFrame, rounds: int = 60, trace: list | None = None) ->
     parent through a table of one row per node. So a round never holds more rows than links plus nodes,
     whatever the shape (hubs, chains, large groups). Self-links, repeated and mirrored links make no
     difference; an empty table gives an empty one. ``trace`` collects the rows of each round.
+
+    The links are written down first and counted, so what yields them runs once and apart from the
+    contraction. As many tasks take part in a round as there are ``LINKS`` links; once those that are left
+    fit in one, its stars are the result and no shuffle follows.
     """
-    edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    edges, now = written(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
     before = None
     for _ in range(rounds):
-        local = edges.mapInArrow(_contracted, "u long, v long")
+        tasks = max(1, -(-now["n"] // LINKS))
+        local = edges.coalesce(tasks).mapInArrow(_contracted, "u long, v long")
+        if tasks == 1:
+            edges, now = written(local)
+            if trace is not None:
+                trace.append(now["n"])
+            break
         best = local.groupBy("u").agg(F.min("v").alias("p"))
         hooked = (
             local.join(best, "u")

@@ -43,8 +43,13 @@ CELL_BITS = 18
 SLICE = 1 << 13
 RUN = 8
 NEAREST = 2
-# Postings that a task gathers before it hands them out to the buckets.
-FLUSH = 1_000_000
+# Postings that a task gathers before it hands them out to the buckets, and names of sets it remembers.
+FLUSH = 1 << 18
+SEEN = 1 << 16
+# Bytes of text that are cut into shingles at a time: some 30 bytes of arrays hang on each.
+TEXT = 1 << 18
+# Pairs of one kept list that are looked at together.
+CELLS = 1 << 18
 # Sets of one kept list that meet in one task; longer lists are cut in pairs of blocks.
 BLOCK = 4_096
 # Partners of a query that are indexed together.
@@ -169,7 +174,7 @@ def _signatures(docs: DataFrame, text: str, key: str, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << CELL_BITS, np.int64)
         for batch in batches:
-            for piece in pieces(batch.column(1)):
+            for piece in pieces(batch.column(1), TEXT):
                 sets = shingle_sets(piece, k)
                 cells += np.bincount((np.concatenate(sets) >> U(64 - CELL_BITS)).astype(np.int64), minlength=len(cells))
                 yield pa.RecordBatch.from_arrays(
@@ -236,7 +241,7 @@ def _postings(docs: DataFrame, text: str, crowded: np.ndarray, buckets: int, k:
             return pa.RecordBatch.from_arrays([pa.array(bucket[at], pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "rows"])
 
         for batch in batches:
-            for piece in pieces(batch.column(0)):
+            for piece in pieces(batch.column(0), TEXT):
                 for tokens in shingle_sets(piece, k):
                     n = len(tokens)
                     if not n or (name := (_class(tokens), n)) in seen:
@@ -251,7 +256,9 @@ def _postings(docs: DataFrame, text: str, crowded: np.ndarray, buckets: int, k:
                     size += first
                 if size >= FLUSH:
                     yield deal()
-                    gathered, size, seen = [], 0, set()
+                    gathered, size = [], 0
+                if len(seen) >= SEEN:
+                    seen = set()
         if gathered:
             yield deal()
 
@@ -364,14 +371,14 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 def _links(docs: DataFrame, text: str, key: str, pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """(a, b): the pairs of classes (a < b) that link, found by searching each a's partners."""
     wanted = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
-    wanted = classes.select(F.col("key").alias("a"), "rep").join(wanted, "a").select(*_id_parts(F.col("rep"))).distinct()
+    wanted = classes.select(F.col("key").alias("a"), "rep").join(wanted, "a").select(*_id_parts(F.col("rep")))
     # While the list of ids is small enough to be broadcast, no text is shuffled.
     texts = lookup_join(docs.select(*_id_parts(F.col(key).cast("bigint")), F.col(text).alias("_text")), wanted, ["_id", "_none"], "left_semi")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()  # an id may stand on several texts, and a text on several rows
         for batch in batches:
-            for piece in pieces(batch.column(0)):
+            for piece in pieces(batch.column(0), TEXT):
                 found = {}
                 for tokens in shingle_sets(piece, k):
                     if len(tokens) and (name := _class(tokens)) not in seen:
@@ -437,8 +444,9 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
     def group(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         x, y = rows[0][1], rows[0][2]
         own, a, n, place, part = (np.array([r[i] for r in rows], np.int64) for i in range(3, 8))
-        for low in range(0, len(rows), 256):
-            i = np.arange(low, min(low + 256, len(rows)))[:, None]
+        step = max(1, CELLS // len(rows))
+        for low in range(0, len(rows), step):
+            i = np.arange(low, min(low + step, len(rows)))[:, None]
             j = np.arange(len(rows))[None, :]
             fits = (j > i) & (part[i] != part[j]) & _fits(n[i], n[j], place[i], place[j], percent)
             if x != y:
@@ -484,7 +492,7 @@ def _grouped(docs: DataFrame, text: str, key: str, k: int, percent: int) -> tupl
     classes = cut_lineage(classes)
 
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = cut_lineage(_candidates(_postings(docs, text, crowded, buckets, k, percent), percent).distinct())
+    found = cut_lineage(_candidates(_postings(docs, text, crowded, buckets, k, percent), percent))  # a list lies in one bucket, pairs may repeat
     pairs = found.where("token is null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = cut_lineage(pairs.where("a < b").distinct())
     likely = cut_lineage(_likely(pairs, classes, percent))
@@ -533,7 +541,7 @@ def distinct_documents(docs: DataFrame, text: str = "text", key: str = "doc_id",
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch.column(at)):
+            for piece in pieces(batch.column(at), TEXT):
                 part = batch.slice(piece.rows.start, len(piece))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array([_class(s) for s in shingle_sets(piece, k)], pa.int64())], names=names)
 
