@@ -248,3 +248,11 @@ def test_matching_of_no_or_repeated_pairs(spark):
         assert cluster.greedy_matching(pairs).collect() == []
     twice = spark.createDataFrame([("1", "2"), ("1", "2"), ("2", "3"), ("2", "3"), ("4", "5")], "id string, partner string")
     assert sorted(map(tuple, cluster.greedy_matching(twice).collect())) == [("1", "2"), ("4", "5")]
+
+
+def test_copies_of_a_vector_do_not_grow_with_the_vectors():
+    from topicloom.operators import similarity
+
+    blocks = [-(-n // similarity._block_size(n, similarity.BLOCK_ROWS)) for n in (10_256, 51_282, 102_564, 393_216)]
+    assert len(set(blocks)) == 1
+    assert -(-615_384 // similarity._block_size(615_384, similarity.BLOCK_ROWS)) <= 2 * blocks[0]

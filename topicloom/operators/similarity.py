@@ -26,8 +26,9 @@ from topicloom.session import cut_lineage
 
 BLOCK_ROWS = 2048
 # Blocks of one side: a vector travels to half of them on average. Their rows grow with the data up
-# to what a task holds at ease; beyond BLOCKS * MAX_BLOCK_ROWS vectors there are more blocks.
-BLOCKS = 16
+# to what a task holds at ease, so that from BLOCKS * BLOCK_ROWS vectors on a vector has the same
+# number of copies; beyond BLOCKS * MAX_BLOCK_ROWS vectors there are more blocks.
+BLOCKS = 6
 MAX_BLOCK_ROWS = 65_536
 # Products that a task holds at a time.
 PRODUCTS = 1 << 22
@@ -191,6 +192,11 @@ def _range_blocks(routes: DataFrame, homes: DataFrame, block_rows: int) -> tuple
     return lefts, rights
 
 
+def _block_size(n: int, block_rows: int) -> int:
+    """Rows of a block among ``n``."""
+    return max(block_rows, min(MAX_BLOCK_ROWS, -(-n // BLOCKS)))
+
+
 def _blocked(
     left: DataFrame, right: DataFrame, thres: float, pick: str | None, max_norm: float, n: int, block_rows: int
 ) -> DataFrame:
@@ -224,7 +230,7 @@ def _blocked(
             group_radius[r["grp"]] = math.acos(max(-1.0, min(1.0, r["m"])))
         homes = homes.drop("near", "grp", "unear")
 
-    rows = max(block_rows, min(MAX_BLOCK_ROWS, -(-n // BLOCKS)))
+    rows = _block_size(n, block_rows)
     lefts, rights = _range_blocks(left.withColumn("cell", F.lit(0)), homes.withColumn("cell", F.lit(0)), rows)
     if lefts is None:
         return spark.createDataFrame([], kind)
