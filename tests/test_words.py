@@ -254,3 +254,38 @@ def test_a_run_is_cut_once_however_many_texts_hold_it(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
     longest = [line for line in plan if "max_by(" in line]
     assert longest and all("_text" in line and "_key" not in line for line in longest)
+
+
+def test_classes_of_a_dictionary_are_dealt_out_by_word_once(spark):
+    rows = [("x", 2), ("x", 1), ("x", 2), ("y", None), ("y", 9), (None, 1)]
+    dictionary = spark.createDataFrame(rows, "word string, s_id int")
+    names = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (None, "z")], "id int, name string")
+    sets = labels._class_sets(dictionary, names)
+    assert {r.word: [tuple(x) for x in r.labels] for r in sets.collect()} == {"x": [(1, "a"), (2, "c")], "y": [(None, None), (9, None)], None: [(1, "a")]}
+    plan = sets._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    dealt = [line for line in plan.splitlines() if "hashpartitioning(word" in line]
+    assert len(dealt) == 1 and "REPARTITION_BY_COL" in dealt[0]
+
+
+@pytest.mark.parametrize("name", ["c2_match_tags", "c3_match_classes", "a11_top_label", "a12_tag_rollup"])
+def test_the_lexicon_is_stored_once(spark, tmp_path, monkeypatch, name):
+    from topicloom.plans import inputs, queries
+
+    tables = {
+        "documents": ([(1, "bridge paper bridge", "en", "web"), (2, None, None, "web")], "doc_id long, text string, lang string, source string"),
+        "conversations": ([(1, 0, "user", "paper bridge bridge to"), (1, 1, "user", None)], "conv_id long, turn int, role string, text string"),
+        "nation": ([(0, "ONLY", 3)], "n_nationkey int, n_name string, n_regionkey int"),
+        "region": ([(3, "PART")], "r_regionkey int, r_name string"),
+    }
+    for table, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{table}.parquet"))
+    stored, lexicon = [], inputs.lexicon
+    monkeypatch.setattr(inputs, "lexicon", lambda *given: stored.append(given) or lexicon(*given))
+    got = sorted(tuple(r) for r in queries.CATALOG[name](spark, str(tmp_path)).collect())
+    want = {
+        "c2_match_tags": [("1", 0, "paper,bridge,bridge", "b-br-bridge"), ("1", 1, "", "")],
+        "c3_match_classes": [("1", 0, "paper,bridge,bridge", "100", "PART-ONLY"), ("1", 1, "", "", "")],
+        "a11_top_label": [("PART-ONLY", 1)],
+        "a12_tag_rollup": [("b", 1), ("b-br", 1), ("b-br-bridge", 1)],
+    }
+    assert got == want[name] and len(stored) == 1

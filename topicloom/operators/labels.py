@@ -162,6 +162,17 @@ def match_tags(
     return _score_log(log, dictionary, "string", k, key, lexicon if by_lexicon else None, simplify)
 
 
+def _class_sets(dictionary: DataFrame, hierarchy: DataFrame) -> DataFrame:
+    """(word, labels): the distinct classes of each word with their names, by id.
+
+    Names are added to the dictionary, which is far smaller than the log. It is dealt out by word once,
+    for the distinct pairs, the lists and the join that follows."""
+    names = hierarchy.groupBy("id").agg(F.min("name").alias("name"))
+    pairs = dictionary.select("word", F.col("s_id").alias("id")).repartition("word").distinct()
+    named = pairs.join(names, "id", "left")
+    return named.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("id", "name"))).alias("labels"))
+
+
 def match_classes(
     log: DataFrame,
     dictionary: DataFrame,
@@ -177,10 +188,7 @@ def match_classes(
     ``dictionary``(word, s_id), the ``k`` best class ids and their two-level names from
     ``hierarchy``(id, name). An id without a name is an error unless told otherwise."""
     nouns = _tagged(lexicon, keep_nature())
-    # Names are added to the dictionary, which is far smaller than the log.
-    names = hierarchy.groupBy("id").agg(F.min("name").alias("name"))
-    named = dictionary.select("word", F.col("s_id").alias("id")).distinct().join(names, "id", "left")
-    sets = named.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("id", "name"))).alias("labels"))
+    sets = _class_sets(dictionary, hierarchy)
     label_type = "struct<id:int,name:string>"
     scored = _score_log(log, sets.join(nouns, "word"), label_type, k, key, lexicon if by_lexicon else None, simplify)
 
