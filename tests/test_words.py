@@ -289,3 +289,19 @@ def test_the_lexicon_is_stored_once(spark, tmp_path, monkeypatch, name):
         "a12_tag_rollup": [("b", 1), ("b-br", 1), ("b-br-bridge", 1)],
     }
     assert got == want[name] and len(stored) == 1
+
+
+def test_labels_are_counted_inside_a_row(spark, lexicon):
+    """No row per label of a term is made; ties go by id, repeated rows and repeated terms add up."""
+    log = spark.createDataFrame([("u1", "phone case phone song", 1)] * 2 + [("u2", "phone", 1), ("u3", "to", 1), ("u4", None, 1)], "imei string, key_word string, turn int")
+    classes = spark.createDataFrame([("phone", 3), ("phone", 2), ("case", 2), ("song", 5), ("song", 4)], "word string, s_id int")
+    names = spark.createDataFrame([(i, f"n{i}") for i in range(2, 6)], "id int, name string")
+    found = labels.match_classes(log, classes, names, lexicon, k=3, key=["imei", "turn"])
+    got = {r.imei: (r.words, r.class_ids) for r in found.collect()}
+    one = ["phone", "phone", "case", "case", "phone", "phone", "song", "song"]
+    assert got == {"u1": (one, [2, 3, 4]), "u2": (["phone"], [2, 3]), "u3": ([], []), "u4": ([], [])}
+    index = spark.createDataFrame([("phone", "b"), ("phone", "a"), ("case", "b")], "word string, label string")
+    counts = labels.match_labels(log, index, lexicon, key=["imei", "turn"])
+    assert {r.imei: [tuple(x) for x in r.labels] for r in counts.collect()} == {"u1": [("b", 6), ("a", 4)], "u2": [("a", 1), ("b", 1)], "u3": [], "u4": []}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode(concat" not in plan and plan.count("Generate") == 2

@@ -39,7 +39,6 @@ def label_scores(terms: DataFrame, index: DataFrame, group: Sequence[str]) -> Da
 def _score_log(
     log: DataFrame,
     dictionary: DataFrame,
-    label_type: str,
     k: int,
     key: Sequence[str] | None,
     lexicon: DataFrame | None,
@@ -66,24 +65,13 @@ def _score_log(
     cut = segment(rows.select("_row", "_times", "key_word"), "key_word", "_words", lexicon=lexicon, simplify=simplify, key="_row", **options)
     terms = cut.select("_row", "_times", F.posexplode_outer("_words").alias("pos", "word")).where(F.col("word").isNotNull())
     found = lookup_join(terms, dictionary, "word").where(F.col("labels").isNotNull())
-    together = found.repartition("_row")
-    nothing = F.lit(None)
-    term = F.struct(nothing.cast(label_type).alias("label"), F.col("pos").alias("pos"))
-    hits = F.transform("labels", lambda x: F.struct(x.alias("label"), nothing.cast("int").alias("pos")))
-    events = together.select("_row", "_times", "word", F.explode(F.concat(F.array(term), hits)).alias("e"))
-    is_label = F.col("e.label").isNotNull()
-    per_label = events.groupBy("_row", F.col("e.label").alias("label")).agg(
-        F.sum("_times").alias("n"),
-        F.collect_list(F.when(~is_label, F.struct("e.pos", "word", "_times"))).alias("words"),
-    )
-    best = per_label.groupBy("_row").agg(
-        F.sort_array(F.flatten(F.collect_list("words"))).alias("_words"),
-        F.slice(
-            F.sort_array(F.collect_list(F.when(F.col("label").isNotNull(), F.struct((-F.col("n")).alias("o"), "label")))),
-            1,
-            k,
-        ).alias("_labels"),
+    # One row per term, not one per label of a term: counting goes on inside the row.
+    together = found.repartition("_row").groupBy("_row").agg(
+        F.min("_times").alias("_times"),
+        F.sort_array(F.collect_list(F.struct("pos", "word", "_times"))).alias("_words"),
+        F.collect_list("labels").alias("_hits"),
     )
+    best = together.select("_row", "_words", _best_labels(F.flatten("_hits"), F.col("_times"), k).alias("_labels"))
     if names is not None:
         best = _named(best, names)
     rows = rows.join(best, "_row", "left")
@@ -98,6 +86,25 @@ def _score_log(
     ).drop("_copy")
 
 
+def _best_labels(hits: Column, times: Column, k: int) -> Column:
+    """The ``k`` most frequent labels of an array as (o, label), ``o`` the negative count; each hit counts ``times``.
+
+    Equal labels stand together once sorted, so a count is the distance from one first place to the next."""
+
+    def counted(found: Column) -> Column:
+        places = F.transform(found, lambda x, i: F.when((i == 0) | ~x.eqNullSafe(F.get(found, i - 1)), i))
+        firsts = F.filter(places, lambda i: i.isNotNull())
+        return F.transform(F.array(firsts), lambda at: _runs(found, at))[0]
+
+    def _runs(found: Column, at: Column) -> Column:
+        end = F.size(found)
+        return F.transform(at, lambda i, nth: F.struct((-(F.coalesce(F.get(at, nth + 1), end) - i) * times).alias("o"), F.get(found, i).alias("label")))
+
+    # The array of one binds the sorted labels, which would be sorted again at each place otherwise.
+    ordered = F.sort_array(F.filter(hits, lambda x: x.isNotNull()))
+    return F.slice(F.sort_array(F.transform(F.array(ordered), counted)[0]), 1, k)
+
+
 def _named(best: DataFrame, names: DataFrame) -> DataFrame:
     """The names of the best labels in place of their codes."""
     listed = best.select("_row", "_words", F.posexplode_outer("_labels").alias("_at", "_l")).select(
@@ -141,7 +148,7 @@ def match_labels(
     Words of ``fanout`` or more labels are not used; ``options`` go to the segmentation."""
     nouns = _tagged(lexicon, keep_nature(min_len=1))
     dictionary, names = _coded(max_label_fanout(index, fanout).join(nouns, "word"))
-    return _score_log(log, dictionary, "int", k, key, lexicon if by_lexicon else None, simplify, names, **options)
+    return _score_log(log, dictionary, k, key, lexicon if by_lexicon else None, simplify, names, **options)
 
 
 def match_tags(
@@ -159,7 +166,7 @@ def match_tags(
     terms = _tagged(lexicon, keep_nature(prefixes=SEARCH_NATURES))
     labels = F.when(F.col("taglayer").isNotNull(), F.array("taglayer")).otherwise(F.array().cast("array<string>"))
     dictionary = terms.join(own, "word", "left").select("word", labels.alias("labels"))
-    return _score_log(log, dictionary, "string", k, key, lexicon if by_lexicon else None, simplify)
+    return _score_log(log, dictionary, k, key, lexicon if by_lexicon else None, simplify)
 
 
 def _class_sets(dictionary: DataFrame, hierarchy: DataFrame) -> DataFrame:
@@ -189,8 +196,7 @@ def match_classes(
     ``hierarchy``(id, name). An id without a name is an error unless told otherwise."""
     nouns = _tagged(lexicon, keep_nature())
     sets = _class_sets(dictionary, hierarchy)
-    label_type = "struct<id:int,name:string>"
-    scored = _score_log(log, sets.join(nouns, "word"), label_type, k, key, lexicon if by_lexicon else None, simplify)
+    scored = _score_log(log, sets.join(nouns, "word"), k, key, lexicon if by_lexicon else None, simplify)
 
     def name_of(x: Column) -> Column:
         name = x["label"]["name"]
