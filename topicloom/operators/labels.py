@@ -176,7 +176,7 @@ def _class_sets(dictionary: DataFrame, hierarchy: DataFrame) -> DataFrame:
     for the distinct pairs, the lists and the join that follows."""
     names = hierarchy.groupBy("id").agg(F.min("name").alias("name"))
     pairs = dictionary.select("word", F.col("s_id").alias("id")).repartition("word").distinct()
-    named = pairs.join(names, "id", "left")
+    named = lookup_join(pairs, names, "id", "left")
     return named.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("id", "name"))).alias("labels"))
 
 
