@@ -305,3 +305,17 @@ def test_labels_are_counted_inside_a_row(spark, lexicon):
     assert {r.imei: [tuple(x) for x in r.labels] for r in counts.collect()} == {"u1": [("b", 6), ("a", 4)], "u2": [("a", 1), ("b", 1)], "u3": [], "u4": []}
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate explode(concat" not in plan and plan.count("Generate") == 2
+
+
+@pytest.mark.parametrize("size", [1, 8 << 20])
+def test_a_lexicon_that_is_joined_gives_the_longest_words_however_many_substrings_pass(spark, monkeypatch, size):
+    """With a filter of 8 bits nearly all substrings pass; words are those of the broadcast set, and no word of a text is dealt out."""
+    monkeypatch.setattr(segment, "FILTER_BYTES", size)
+    monkeypatch.setattr(segment, "CHUNK_CHARS", 40)
+    words = spark.createDataFrame([("天地",), ("地玄黄",), ("玄黄宇宙",), ("宇",), ("𠀀𠀁",), ("plain",)], "word string")
+    texts = ["天地玄黄宇宙", "地玄黄宇宙ab天地", "x𠀀𠀁𠀀地玄", "", None, "only letters", "宇宙 宇 洪荒"]
+    rows = spark.createDataFrame([(i % 5, t) for i, t in enumerate(texts * 4)], "id int, msg string")
+    want = segment.segment(rows, lexicon=words)
+    found = segment.segment(rows, lexicon=words, max_bytes=0)
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect())) and found.schema == want.schema
+    assert "posexplode" not in found._jdf.queryExecution().optimizedPlan().toString()
