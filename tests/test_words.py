@@ -319,3 +319,19 @@ def test_a_lexicon_that_is_joined_gives_the_longest_words_however_many_substring
     found = segment.segment(rows, lexicon=words, max_bytes=0)
     assert sorted(map(str, found.collect())) == sorted(map(str, want.collect())) and found.schema == want.schema
     assert "posexplode" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_documents_are_dealt_out_once_to_their_vectors(spark, monkeypatch):
+    """Large vectors: lists are filtered in the one chunk pass that sums, weighted lists are made once, and vectors travel in single precision only if nothing is lost."""
+    from topicloom.operators import docvec
+
+    docs = spark.createDataFrame([("a", ["x", "q", "y", "x"]), ("b", ["x", "q", "q"]), ("c", None), (None, ["x", "y"])], "id string, words array<string>")
+    for exact, cell in ((0.5, "float"), (0.1, "double")):
+        known = spark.createDataFrame([("x", [1.0, 2.0]), ("y", [exact, -1.0])], "word string, vec array<double>")
+        made = docvec.doc_vectors(docs, known, "sum", min_tokens=1, max_bytes=0)
+        assert [(r.id, r.words, r.vec) for r in made.collect()] == [("a", ["x", "y", "x"], [2.0 + exact, 3.0])]
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("FlatMapCoGroupsInArrow") == 1 and ("as float" in plan) == (cell == "float")
+    lists = stats.doc_tfidf_lists(docs.where("id is not null"), min_df=0)
+    made = docvec.doc_vectors(lists, known, "tfidf", min_tokens=0, max_bytes=0)
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("FlatMapCoGroupsInArrow") == 1 and made.count() == 2
