@@ -256,3 +256,19 @@ def test_copies_of_a_vector_do_not_grow_with_the_vectors():
     blocks = [-(-n // similarity._block_size(n, similarity.BLOCK_ROWS)) for n in (10_256, 51_282, 102_564, 393_216)]
     assert len(set(blocks)) == 1
     assert -(-615_384 // similarity._block_size(615_384, similarity.BLOCK_ROWS)) <= 2 * blocks[0]
+
+
+@pytest.mark.parametrize("block_rows", [2, 20, 2048])
+def test_matches_leave_in_pieces_however_many_they_are(spark, monkeypatch, block_rows):
+    """Dense vectors: almost every pair matches, no group is returned as a whole, and all pairs are there with their similarity."""
+    from topicloom.operators import similarity
+
+    monkeypatch.setattr(similarity, "PIECE_ROWS", 7)
+    rng = np.random.default_rng(4)
+    rows = [(f"{i:03d}", (np.ones(6) + 0.3 * rng.normal(size=6)).tolist()) for i in range(90)] + [("zero", [0.0] * 6)]
+    found = cosine_self_join(spark.createDataFrame(rows, "id string, vec array<double>"), 0.5, block_rows=block_rows)
+    units = {i: np.array(v) / np.linalg.norm(v) for i, v in rows[:-1]}
+    want = {(a, b): units[a] @ units[b] for a in units for b in units if a < b and units[a] @ units[b] > 0.5}
+    got = {(r.id, r.partner): r.sim for r in found.collect()}
+    assert len(want) > 3000 and got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want) and found.count() == len(want)
+    assert "FlatMapCoGroups" not in found._jdf.queryExecution().optimizedPlan().toString()

@@ -15,6 +15,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,8 @@ BLOCKS = 6
 MAX_BLOCK_ROWS = 65_536
 # Products that a task holds at a time.
 PRODUCTS = 1 << 22
+# Matches that leave a task at a time.
+PIECE_ROWS = 65_536
 # Similarities are compared to this many decimals, so that the order of floating sums
 # cannot change a tie.
 DECIMALS = 12
@@ -234,6 +238,8 @@ def _blocked(
     lefts, rights = _range_blocks(left.withColumn("cell", F.lit(0)), homes.withColumn("cell", F.lit(0)), rows)
     if lefts is None:
         return spark.createDataFrame([], kind)
+    if pick is None:
+        return _all_matches(lefts, rights, thres, cells, *((radius, group_radius) if cells is not None else (None, None)))
     names_out = [part.split()[0] for part in kind.split(", ")]
 
     def multiply(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
@@ -287,6 +293,74 @@ def _blocked(
     return lefts.groupBy("cell", "lb", "rb").cogroup(units).applyInPandas(multiply, kind)
 
 
+def _vectors(lists: pa.Array) -> np.ndarray:
+    if pc.count_distinct(pc.list_value_length(lists)).as_py() > 1:
+        raise ValueError("vectors differ in size")
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+
+
+def _all_matches(
+    lefts: DataFrame, rights: DataFrame, thres: float, cells: _Cells | None, radius: np.ndarray | None, group_radius: np.ndarray | None
+) -> DataFrame:
+    """(id, partner, sim): every match of each pair of blocks, whose number has no bound.
+
+    The rows of a pair of blocks follow one another, right ones first: a task holds one right block, left rows pass by in
+    batches, and matches leave in pieces of up to ``PIECE_ROWS``."""
+    home = F.lit(None).cast("int") if cells is None else F.col("r_home")
+    a = lefts.select("lb", "rb", F.lit(1).alias("side"), "id", "u", F.lit(None).cast("int").alias("home"))
+    b = rights.select(F.col("rlb").alias("lb"), F.col("rrb").alias("rb"), F.lit(0).alias("side"), F.col("partner").alias("id"), F.col("v").alias("u"), home.alias("home"))
+    piece = PIECE_ROWS
+
+    def matches(run: pa.RecordBatch, names: np.ndarray, partners: pa.Array, ub: np.ndarray, homes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        ids, ua = run.column("id"), _vectors(run.column("u"))
+        # Place of each left id among the right ids: partners start there.
+        start = np.searchsorted(names, np.array(ids.to_pylist(), dtype=object), side="right")
+        order = np.arange(len(ids)) if cells is None else np.argsort(cells.home(ua)[0], kind="stable")
+        step = max(1, min(512, PRODUCTS // len(ub)))
+        for lo in range(0, len(ids), step):
+            at = order[lo : lo + step]
+            spots = np.arange(start[at].min(), len(ub))
+            if cells is not None and len(spots):
+                spots = spots[cells.reach(ua[at], radius, group_radius)[homes[spots]]]
+            if not len(spots):
+                continue
+            sims = ua[at] @ ub[spots].T
+            # Only what may be above the threshold after rounding is rounded.
+            i, j = np.nonzero((sims > thres - SLACK) & (spots[None, :] >= start[at, None]))
+            sims = np.round(sims[i, j], DECIMALS)
+            hit = sims > thres
+            i, j, sims = at[i[hit]], spots[j[hit]], sims[hit]
+            for k in range(0, len(sims), piece):
+                part = slice(k, k + piece)
+                yield pa.record_batch([ids.take(pa.array(i[part])), partners.take(pa.array(j[part])), pa.array(sims[part])], names=["id", "partner", "sim"])
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair, parts, right = None, [], None
+        for batch in batches:
+            marks = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("lb", "rb", "side")])
+            bounds = [0, *(np.flatnonzero((np.diff(marks) != 0).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for lo, hi in zip(bounds, bounds[1:], strict=False):
+                if hi == lo:
+                    continue
+                run = batch.slice(lo, hi - lo)
+                if pair != (marks[0, lo], marks[1, lo]):
+                    pair, parts, right = (marks[0, lo], marks[1, lo]), [], None
+                if marks[2, lo] == 0:
+                    parts.append(run)
+                elif parts or right:
+                    if right is None:
+                        block = pa.Table.from_batches(parts)
+                        names = np.array(block.column("id").to_pylist(), dtype=object)
+                        by_id = np.argsort(names, kind="stable")
+                        held = (block.column(c).combine_chunks() for c in ("id", "u", "home"))
+                        partners, units, homes = (c.take(pa.array(by_id)) for c in held)
+                        right, parts = (names[by_id], partners, _vectors(units), pc.fill_null(homes, 0).to_numpy(zero_copy_only=False)), []
+                    yield from matches(run, *right)
+
+    rows = b.unionByName(a).repartition("lb", "rb").sortWithinPartitions("lb", "rb", "side")
+    return rows.mapInArrow(multiply, "id string, partner string, sim double")
+
+
 def _size(units: DataFrame) -> tuple[int, float]:
     row = units.agg(F.count("*"), F.max(vec_norm("u"))).first()
     return row[0], row[1] or 0.0
