@@ -56,9 +56,9 @@ def greedy_matching(pairs: DataFrame) -> DataFrame:
     return free.groupBy("parent").agg(F.min("id").alias("id")).select("id", F.col("parent").alias("partner"))
 
 
-def _decide(state: DataFrame, settled: DataFrame) -> DataFrame:
+def _decide(state: DataFrame, settled: DataFrame | None) -> DataFrame:
     """One round. ``state`` holds the undecided nodes and those decided in the last round; links
-    may lead to a node decided in any round, all of which are in ``settled``."""
+    may lead to a node decided in any round, all of which are in ``settled`` (None before the first)."""
     below = (
         state.where("parent is not null")
         .groupBy(F.col("parent").alias("id"))
@@ -69,7 +69,7 @@ def _decide(state: DataFrame, settled: DataFrame) -> DataFrame:
         )
     )
     open_nodes = state.where("taken is null")
-    seen = open_nodes.unionByName(settled).select(
+    seen = (open_nodes if settled is None else open_nodes.unionByName(settled)).select(
         F.col("id").alias("ref"), F.col("ref").alias("ref_ref"), F.col("odd").alias("ref_odd"), F.col("taken").alias("ref_taken")
     )
     # Nodes without a link yet get a key of their own that meets nothing, so they spread over all tasks.
